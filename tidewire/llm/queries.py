@@ -6,6 +6,8 @@ import importlib
 
 #: Query name: module with query(spark, sf_dir) and perhaps ORACLE_SQL.
 MODULES = {
+    "op1_mixing": "mixing",
+    "op2_fingerprints": "fingerprints",
     "op3_token_counts": "token_counts",
     "op7_packing": "packing",
 }
