@@ -9,6 +9,7 @@ MODULES = {
     "op1_mixing": "mixing",
     "op2_fingerprints": "fingerprints",
     "op3_token_counts": "token_counts",
+    "op4_near_dedup": "near_dedup",
     "op7_packing": "packing",
 }
 
