@@ -41,8 +41,8 @@ def min_labels(links: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, payload: Callable[[DataFrame], DataFrame], load: Callable, alike: Callable, kind: str = "string") -> DataFrame:
     """Those of pairs (a, b) whose payloads are alike. payload(ids) gives (id, payload) for a table of
-    ids; load(payload array) makes a list of values; alike(value, [values]) gives booleans. A leader's
-    payload is sent once for each block of its pairs."""
+    ids; load(payload array) makes a list of values; alike([values], [values]) gives a boolean for each
+    pair. A leader's payload is sent once for each block of its pairs."""
     spark = pairs.sparkSession
     runtime.prepare(spark)
     blocks = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK_PAIRS).cast("int").alias("n"))
@@ -57,7 +57,7 @@ def verified(pairs: DataFrame, payload: Callable[[DataFrame], DataFrame], load:
         for batch in batches:
             values = load(batch.column(4))
             a, block, role, ids = (batch.column(i).to_pylist() for i in range(4))
-            out, start, n = [], 0, len(a)
+            leads, at_rows, start, n = [], [], 0, len(a)
             while start < n:
                 key, end = (a[start], block[start]), start + 1
                 while end < n and (a[end], block[end]) == key:
@@ -66,10 +66,12 @@ def verified(pairs: DataFrame, payload: Callable[[DataFrame], DataFrame], load:
                 while first < end and role[first] == 0:
                     at, lead = key, values[first]
                     first += 1
-                if at == key and first < end:
-                    out += [(key[0], ids[i]) for i, ok in zip(range(first, end), alike(lead, values[first:end]), strict=True) if ok]
+                if at == key:
+                    at_rows += range(first, end)
+                    leads += [lead] * (end - first)
                 start = end
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            found = [i for i, ok in zip(at_rows, alike(leads, [values[i] for i in at_rows]), strict=True) if ok]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for i in found], pa.int64()) for x in (a, ids)], names=["a", "b"])
 
     return rows.mapInArrow(compare, "a long, b long")
 

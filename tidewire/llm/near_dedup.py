@@ -164,8 +164,8 @@ def near_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHO
         runs, edges, _ = shingles(column, words)
         return [np.sort(runs[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
-    def alike(lead: np.ndarray, others: list[np.ndarray]) -> list[bool]:
-        return [min(len(lead), len(x)) >= threshold * max(len(lead), len(x)) and similarity(lead, x) >= threshold for x in others]
+    def alike(some: list[np.ndarray], others: list[np.ndarray]) -> list[bool]:
+        return [min(len(x), len(y)) >= threshold * max(len(x), len(y)) and similarity(x, y) >= threshold for x, y in zip(some, others, strict=True)]
 
     labels, _ = linking.classes(buckets, lambda pairs: linking.verified(pairs, payload, load, alike))
     named = texts.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))

@@ -11,6 +11,7 @@ MODULES = {
     "op3_token_counts": "token_counts",
     "op4_near_dedup": "near_dedup",
     "op7_packing": "packing",
+    "op10_line_dedup": "line_dedup",
 }
 
 
