@@ -10,6 +10,7 @@ MODULES = {
     "op2_fingerprints": "fingerprints",
     "op3_token_counts": "token_counts",
     "op4_near_dedup": "near_dedup",
+    "op5_toxicity": "toxicity",
     "op6_topk": "topk",
     "op7_packing": "packing",
     "op10_line_dedup": "line_dedup",

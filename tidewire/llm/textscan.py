@@ -66,12 +66,24 @@ def _slices(space: np.ndarray, offsets: np.ndarray):
         start = end
 
 
+_SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+#: For words of letters and digits only: every ASCII byte but those separates.
+_PUNCTUATION = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
+
+
 def word_hashes(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word in order, bounds): the words of text i are hashes[bounds[i]:bounds[i+1]].
     With lower, A-Z count as a-z."""
+    (hashes,), bounds = word_parts(column, lower)
+    return hashes, bounds
+
+
+def word_parts(column: pa.Array, lower: bool = True, prefixes: tuple[int, ...] = (), letters: bool = False) -> tuple[list[np.ndarray], np.ndarray]:
+    """([hashes of words, hashes of their first n bytes for each n], bounds); a word shorter than n
+    has 0 there. With letters, words are runs of letters and digits (and bytes above 127)."""
     raw, offsets = text_bytes(column)
-    space = (raw == 32) | ((raw >= 9) & (raw <= 13))
-    hashes, firsts = [], []
+    space = (_PUNCTUATION if letters else _SPACE)[raw]
+    hashes, firsts = [[] for _ in (0, *prefixes)], []
     for a, b in _slices(space, offsets):
         part = raw[a:b]
         if lower:
@@ -88,8 +100,12 @@ def word_hashes(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.nd
         with np.errstate(over="ignore"):
             total = np.zeros(b - a + 1, np.uint64)
             np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[: b - a], out=total[1:])
-            hashes.append(mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64)))
+            base, back = total[s], down[s]
+            hashes[0].append(mix((total[e] - base) * back + (e - s).astype(np.uint64)))
+            for n, found in zip(prefixes, hashes[1:], strict=True):
+                stop = np.minimum(s + n, e)
+                found.append(np.where(e - s >= n, mix((total[stop] - base) * back + np.uint64(1 << 40) * np.uint64(n)), np.uint64(0)))
         firsts.append(s + a)
-    if not hashes:
-        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(firsts), offsets)
+    if not firsts:
+        return [np.empty(0, np.uint64) for _ in hashes], np.zeros(len(offsets), np.int64)
+    return [np.concatenate(x) for x in hashes], np.searchsorted(np.concatenate(firsts), offsets)
