@@ -13,6 +13,7 @@ MODULES = {
     "op5_toxicity": "toxicity",
     "op6_topk": "topk",
     "op7_packing": "packing",
+    "op8_lm_scoring": "lm",
     "op9_pii": "pii",
     "op10_line_dedup": "line_dedup",
 }
