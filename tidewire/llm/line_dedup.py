@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from . import linking, runtime, textscan
 
 MIN_CHARS, EDITS = 40, 2
+#: Groups of letters by whose counts pairs in large buckets are ruled out.
+LETTERS = 16
 #: Code points of lines that are hashed at a time.
 SLICE = 1 << 19
 _BLANK = " \t\n\r\x0b\x0c"
@@ -53,35 +55,41 @@ def probes(length: int, edits: int) -> list[tuple[int, int, int, int]]:
 
 
 def line_keys(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the line, bucket key) for all lines' probes, by prefix sums of a polynomial hash."""
-    owners, keys, plans = [], [], {}
+    """(index of the line, bucket key) for all lines' probes, by prefix sums of a polynomial hash. All
+    lines of 2 * (edits + 1)**2 points or more have as many probes, at the same offsets from a segment."""
+    owners, keys, parts = [], [], edits + 1
+    lengths = np.array([len(x) for x in lines], np.int64)
     start = 0
     while start < len(lines):
-        end, size = start, 0
-        while end < len(lines) and (size == 0 or size + len(lines[end]) <= SLICE):
-            size += len(lines[end])
-            end += 1
+        end = max(start + 1, start + int(np.searchsorted(np.cumsum(lengths[start:]), SLICE, side="right")))
+        n, size = lengths[start:end], int(lengths[start:end].sum())
         points = np.frombuffer("".join(lines[start:end]).encode("utf-32-le", "surrogatepass"), np.uint32)
         up, down = textscan._power_tables(size + 1)
         total = np.zeros(size + 1, np.uint64)
-        lengths = np.array([len(x) for x in lines[start:end]])
-        first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        first = np.cumsum(n) - n
         with np.errstate(over="ignore"):
-            np.cumsum((points.astype(np.uint64) + np.uint64(1)) * up[:size], out=total[1:])
-            for n in np.unique(lengths):
-                if n not in plans:
-                    plans[n] = [np.array(x) for x in zip(*probes(int(n), edits), strict=True)]
-                of, segment, at, width = plans[n]
-                mine = np.flatnonzero(lengths == n)
-                a = (first[mine][:, None] + at).ravel()
-                hashed = (total[a + np.tile(width, len(mine))] - total[a]) * down[a]
-                salt = textscan.mix((of * (edits + 1) + segment).astype(np.uint64) + np.uint64(0x51ED27))
-                keys.append(textscan.mix(hashed + np.tile(salt, len(mine))))
-                owners.append(np.repeat(mine + start, len(at)))
+            np.cumsum((points + np.uint64(1)) * up[:size], out=total[1:])
+
+            def add(mine, of, i, at, width):
+                a = first[mine] + at
+                keys.append((total[a + width] - total[a]) * down[a] + textscan.mix((of * parts + i).astype(np.uint64) + np.uint64(0x51ED27)))
+                owners.append(mine + start)
+
+            even = np.flatnonzero(n >= 2 * parts**2)
+            for d in range(parts):
+                of = n[even] - d
+                short, longer = of // parts, of % parts
+                for i in range(parts):
+                    at, width = i * short + np.maximum(0, i - (parts - longer)), short + (i >= parts - longer)
+                    for p in range(max(-i, d - edits + i), min(i, d + edits - i) + 1):
+                        add(even, of, i, at + p, width)
+            for k in np.flatnonzero(n < 2 * parts**2):
+                for of, i, at, width in probes(int(n[k]), edits):
+                    add(np.array([k]), np.array([of]), i, np.array([at]), width)
         start = end
     if not keys:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(owners), np.concatenate(keys).view(np.int64)
+    return np.concatenate(owners), textscan.mix(np.concatenate(keys)).view(np.int64)
 
 
 def within(some: list[str], others: list[str], edits: int) -> np.ndarray:
@@ -208,10 +216,19 @@ def line_classes(docs: DataFrame, places: DataFrame, min_chars: int = MIN_CHARS,
         held = _sources(docs).join(runtime.small(of), F.col("doc_id").eqNullSafe(F.col("at")), "left_semi").mapInArrow(lines, "id long, payload string")
         return held.join(near, "id", "left_semi").dropDuplicates(["id"])
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        return linking.verified(pairs, payload, lambda column: column.to_pylist(), lambda a, b: within(a, b, edits))
+    def vectors(payloads: DataFrame) -> DataFrame:
+        names = ["id", *[f"v{i}" for i in range(LETTERS)]]
 
-    return linking.classes(buckets, verify)[0]
+        def count(batches):
+            for batch in batches:
+                rows = [np.bincount(np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) % LETTERS, minlength=LETTERS) for x in batch.column(1).to_pylist()]
+                table = np.array(rows, np.int32).reshape(-1, LETTERS)
+                yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(table[:, i]) for i in range(LETTERS)]], names=names)
+
+        return payloads.select("id", "payload").mapInArrow(count, "id long, " + ", ".join(f"{x} int" for x in names[1:]))
+
+    # an edit takes one letter and brings one at most
+    return linking.classes(buckets, payload, lambda column: column.to_pylist(), lambda a, b: within(a, b, edits), vectors=vectors, most_apart=2 * edits)
 
 
 def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS) -> DataFrame:
@@ -220,8 +237,11 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDIT
     labels = line_classes(docs, places, min_chars, edits)
     named = places.join(runtime.small(labels), F.col("h1") == F.col("id"), "left")
     named = named.select("doc_id", "digest", "number", F.coalesce("label", "h1").alias("x"), F.when(F.col("label").isNull(), F.col("h2")).otherwise(0).alias("y"))
-    repeated = named.groupBy("x", "y").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "digest", "number")).alias("first")).filter("n > 1")
-    again = named.join(repeated, ["x", "y"]).filter(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest")) & (F.col("number") == F.col("first.number"))))
+    more = runtime.written(named.groupBy("x", "y").count().filter("count > 1").select("x", "y"))
+    repeated = runtime.written(named.join(runtime.small(more), ["x", "y"], "left_semi"))
+    place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "digest", "number")
+    firsts = runtime.written(repeated.groupBy("x", "y").agg(F.min(place).alias("first")))
+    again = repeated.join(runtime.small(firsts), ["x", "y"]).filter(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest")) & (F.col("number") == F.col("first.number"))))
     return again.groupBy("doc_id", "digest").agg(F.array_sort(F.collect_set("number")).alias("removed"))
 
 

@@ -113,7 +113,7 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signed(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, f1, f2 (digest of the word sequence), bands (bucket keys; none for a text without words)."""
+    """doc_id, digest (of the text), f1, f2 (of the word sequence), bands (keys; none without words)."""
     runtime.prepare(docs.sparkSession, 500)
 
     def sign(batches):
@@ -123,9 +123,10 @@ def signed(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int =
             keys = band_keys(signatures, bands, rows)
             some = np.diff(edges) > 0
             ends = np.concatenate([[0], np.cumsum(some * bands)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lanes[0].view(np.int64)), pa.array(lanes[1].view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[some].ravel()))], names=["doc_id", "f1", "f2", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(lanes[0].view(np.int64)), pa.array(lanes[1].view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[some].ravel()))], names=["doc_id", "digest", "f1", "f2", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(sign, "doc_id long, f1 long, f2 long, bands array<long>")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("digest")).mapInArrow(sign, "doc_id long, digest long, f1 long, f2 long, bands array<long>")
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -139,7 +140,7 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def near_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, f1, f2, class_id (the least doc_id of the class), text_doc_id (least among copies)."""
+    """doc_id, digest, class_id (the least doc_id of the class), label (a number of the class)."""
     runtime.prepare(docs.sparkSession, 500)
     sketches = runtime.written(signed(docs, words, bands, rows))
     texts = sketches.groupBy("f1", "f2").agg(F.min("doc_id").alias("text_doc_id"))
@@ -167,11 +168,34 @@ def near_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHO
     def alike(some: list[np.ndarray], others: list[np.ndarray]) -> list[bool]:
         return [min(len(x), len(y)) >= threshold * max(len(x), len(y)) and similarity(x, y) >= threshold for x, y in zip(some, others, strict=True)]
 
-    labels, _ = linking.classes(buckets, lambda pairs: linking.verified(pairs, payload, load, alike))
+    def features(payloads: DataFrame) -> DataFrame:
+        def spread(batches):
+            for batch in batches:
+                of, n, owner = counted(*shingles(batch.column(1), words)[:2])
+                for at in range(0, len(of), 100_000):
+                    part = slice(at, at + 100_000)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[part])), pa.array(of[part].view(np.int64)), pa.array(n[part])], names=["id", "feature", "n"])
+
+        return payloads.select("id", "payload").mapInArrow(spread, "id long, feature long, n long")
+
+    labels = linking.classes(buckets, payload, load, alike, features, threshold / (1 + threshold))
     named = texts.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     least = named.groupBy("label").agg(F.min("text_doc_id").alias("class_id"))
-    known = runtime.written(named.join(least, "label").select("f1", "f2", "class_id", "text_doc_id"))
-    return sketches.select("doc_id", "f1", "f2").join(runtime.small(known), ["f1", "f2"])
+    known = runtime.written(named.join(least, "label").select("f1", "f2", "class_id", "label"))
+    return sketches.select("doc_id", "digest", "f1", "f2").join(runtime.small(known), ["f1", "f2"]).select("doc_id", "digest", "class_id", "label")
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """docs with one row of each class: the least doc_id (nulls last), the least text digest of it, and
+    one of rows that are equal in both."""
+    found = near_classes(docs)
+    place = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id"), F.col("digest"))
+    first = runtime.written(found.groupBy("label").agg(F.min(place).alias("p")).select(F.col("p.doc_id").alias("_id"), F.col("p.digest").alias("_digest")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_digest"))
+    kept = docs.join(runtime.small(first), same)
+    if not runtime.is_empty(found.groupBy("doc_id", "digest").count().filter("count > 1")):
+        kept = kept.dropDuplicates(["_id", "_digest"])
+    return kept.drop("_id", "_digest")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

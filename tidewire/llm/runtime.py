@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of a table that a join may broadcast; beyond it the join shuffles.
@@ -41,20 +41,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 def written(df: DataFrame) -> DataFrame:
     """df written once to the shared folder and read back: computed once, lineage cut, and readable
-    whichever executors are lost afterwards."""
+    whichever executors are lost afterwards. Its row count is taken on the way."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path, seen = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}", Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._rows_written = seen.get["rows"]
+    return table
+
+
+def rows_of(df: DataFrame) -> int:
+    """The row count of a written table; of another one, counted."""
+    known = getattr(df, "_rows_written", None)
+    return df.count() if known is None else known
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A written table, hinted for broadcast only if it holds at most `rows` rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if rows_of(df) <= rows else df
 
 
 def is_empty(df: DataFrame) -> bool:
-    return not df.take(1)
+    return not rows_of(df) if hasattr(df, "_rows_written") else not df.take(1)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
