@@ -114,15 +114,15 @@ def offsets(sized: DataFrame, rows: int) -> DataFrame:
     h = sized.filter("size > 0").withColumn("h", F.xxhash64(F.lit(7), "doc_id")).withColumn("k", F.pmod("h", F.lit(buckets)))
     before = W.partitionBy("s").orderBy("k").rowsBetween(W.unboundedPreceding, -1)
     base = h.groupBy("s", "k").agg(F.sum("size").alias("n")).select("s", "k", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    inside = W.partitionBy("s", "k").orderBy("h", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("s", "k").orderBy("h", "doc_id", "digest").rowsBetween(W.unboundedPreceding, -1)
     placed = h.withColumn("inner_start", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     return placed.join(base, ["s", "k"]).withColumn("start", F.col("base") + F.col("inner_start")).drop("h", "k", "base", "inner_start")
 
 
 def mixed(docs: DataFrame, weights=WEIGHTS) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken: one row for each document."""
+    """doc_id, source, size, digest (of the text), source_size, target, taken: a row for each document."""
     spark = docs.sparkSession
-    sized = runtime.written(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size")))
+    sized = runtime.written(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size"), F.xxhash64(F.col("text").cast("string")).alias("digest")))
     table = source_table(sized, weights)
     known = spark.createDataFrame([tuple(x.values()) for x in table], "s int, name string, source_size long, target double, block_words long, blocks long, slots long")
     rows = sized.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("name"))).drop("name")
@@ -134,11 +134,23 @@ def mixed(docs: DataFrame, weights=WEIGHTS) -> DataFrame:
     placed = offsets(rows, sized.count())
     touched = placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / F.col("block_words")), F.floor((F.col("start") + F.col("size") - 1) / F.col("block_words")))))
     overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * F.col("block_words")) - F.greatest(F.col("start"), F.col("block") * F.col("block_words"))
-    keys = ["doc_id", "source", "size", "source_size", "target"]
+    keys = ["doc_id", "source", "size", "digest", "source_size", "target"]
     some = touched.join(took, ["s", "block"], "left").groupBy(*keys, "start").agg(F.sum(overlap * F.coalesce("passes", F.lit(0))).alias("taken"))
     none = rows.filter("size = 0").select(*keys, F.lit(0).cast("long").alias("taken"))
     return some.select(*keys, F.col("taken").cast("long").alias("taken")).unionByName(none)
 
 
+def repeated(docs: DataFrame, weights=WEIGHTS) -> DataFrame:
+    """docs as the mix takes them: each row as often as its taken words over its size, the fraction rounded
+    up with that probability by a hash of the row. Rows equal in doc_id, source and text share alike."""
+    takes = mixed(docs, weights).filter("size > 0").groupBy("doc_id", "source", "digest").agg((F.sum("taken") / F.sum("size")).alias("rate"))
+    chance = F.pmod(F.xxhash64(F.lit("round"), "doc_id", "digest"), F.lit(1 << 30)) / float(1 << 30)
+    takes = takes.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("digest").alias("_digest"), F.floor(F.col("rate") + chance).cast("int").alias("_times"))
+    takes = runtime.written(takes.filter("_times > 0"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & F.col("source").cast("string").eqNullSafe(F.col("_source")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_digest"))
+    rows = docs.join(runtime.small(takes), same)
+    return rows.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_id", "_source", "_digest", "_times", "_time")
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return mixed(runtime.documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
