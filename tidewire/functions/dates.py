@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col, squeeze, text
+from .text import col, let, squeeze, text
 
 _MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 _ZONES = {"ut": 0, "utc": 0, "gmt": 0, "z": 0, "ast": -240, "adt": -180, "est": -300, "edt": -240, "cst": -360, "cdt": -300, "mst": -420, "mdt": -360, "pst": -480, "pdt": -420}
@@ -74,7 +74,10 @@ def _week_date(low: Column) -> Column:
 
 def relative(c: Column | str, as_of: Column) -> Column:
     """A timestamp from "2 hours ago", "3天前", "yesterday", "just now" and the like; else null."""
-    low = squeeze(F.lower(text(c)))
+    return let(squeeze(F.lower(text(c))), lambda low: _relative(low, as_of))
+
+
+def _relative(low: Column, as_of: Column) -> Column:
     english, chinese = r"\b(\d{1,6})\s*(minutes|minute|min|hours|hour|hrs|hr|days|day)\s+ago\b", r"(\d{1,6})\s*(分钟|小时|天)前"
 
     def back(pattern: str, minute: str, hour: str) -> Column:
@@ -90,11 +93,18 @@ def relative(c: Column | str, as_of: Column) -> Column:
 
 def parse_datetime(c: Column | str, as_of: Column) -> Column:
     """struct(ts, status): ok, missing, unparseable_relative or unparseable_other. Text without a zone is UTC."""
-    low = squeeze(F.lower(text(c)))
-    found = F.coalesce(*[_matched(low, *form) for form in _FORMS], _week_date(low), relative(low, as_of))
+    return let(squeeze(F.lower(text(c))), lambda low: _parsed(low, as_of))
+
+
+def _parsed(low: Column, as_of: Column) -> Column:
+    found = F.coalesce(*[_matched(low, *form) for form in _FORMS], _week_date(low), _relative(low, as_of))
     hinted = F.lit(False)
     for hint in _RELATIVE_HINTS:
         hinted = hinted | F.contains(low, F.lit(hint))
+    return let(found, lambda value: _with_status(low, value, hinted, as_of))
+
+
+def _with_status(low: Column, found: Column, hinted: Column, as_of: Column) -> Column:
     status = F.when(low == "", "missing").when(found.isNotNull(), "ok").when(hinted, "unparseable_relative").otherwise("unparseable_other")
     ts = F.when(low == "", as_of).otherwise(F.coalesce(found, F.timestamp_seconds(F.lit(0))))
     return F.struct(ts.alias("ts"), status.alias("status"))
@@ -102,7 +112,10 @@ def parse_datetime(c: Column | str, as_of: Column) -> Column:
 
 def parse_in_region(c: Column | str, region: Column | str, as_of: Column) -> Column:
     """As parse_datetime, but a domestic text without an explicit offset is in UTC+8."""
-    parsed = parse_datetime(c, as_of)
+    return let(parse_datetime(c, as_of), lambda parsed: _in_region(c, region, parsed))
+
+
+def _in_region(c: Column | str, region: Column | str, parsed: Column) -> Column:
     explicit = text(c).rlike(r"(?i)(z|[+-]\d{2}:?\d{2})\s*$")
     shift = (F.lower(col(region)) == "domestic") & ~explicit & (parsed["status"] == "ok") & text(c).rlike(r"^\s*\d{4}")
     return F.struct(F.when(shift, parsed["ts"] - F.expr("INTERVAL 8 HOURS")).otherwise(parsed["ts"]).alias("ts"), parsed["status"].alias("status"))

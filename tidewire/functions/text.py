@@ -31,6 +31,11 @@ def strip(c: Column | str) -> Column:
     return F.regexp_replace(text(c), f"^{SPACE}+|{SPACE}+$", "")
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def clean_text(c: Column | str) -> Column:
     """Tags to blanks, then squeezed."""
     return squeeze(F.regexp_replace(text(c), "<[^>]+>", " "))

@@ -114,6 +114,12 @@ def drop_reason(settings: Settings, run_date: str, as_of: Column) -> Column:
     )
 
 
+def _once(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """rows with the columns, computed once: later filters and uses aren't folded into them."""
+    kept = [c for c in rows.columns if c not in columns]
+    return rows.select(*kept, F.inline(F.array(F.struct(*[v.alias(k) for k, v in columns.items()]))))
+
+
 def with_signals(rows: DataFrame, settings: Settings) -> DataFrame:
     """Adds the arrays of hits. Scores and bonuses are functions of these."""
     title, whole = F.lower(tx.strip("title")), F.lower(F.concat_ws(" ", tx.strip("title"), tx.strip("content"), tx.strip("source_name")))
@@ -129,7 +135,7 @@ def with_signals(rows: DataFrame, settings: Settings) -> DataFrame:
         "semantic_hits": tx.hits("_all", settings.semantic), "negative_hits": tx.hits("_all", exclude), "autonomy_hits": tx.hits("_all", V.AUTONOMY_CONTEXT),
         "level_hits": tx.hits("_all", V.LEVEL_TERMS), "truck_hits": tx.hits("_all", V.TRUCK_TERMS), "fast_pass_hits": tx.hits("_title", tx.words_of(settings.fast_pass_titles)),
     }
-    return rows.withColumns(found)
+    return _once(rows, found)
 
 
 def score_parts(settings: Settings) -> dict[str, Column]:
@@ -159,10 +165,10 @@ def judged(items: DataFrame, sources: DataFrame, settings: Settings, run_date: s
     relevance_score, the score's breakdown and the matched words. Rows that break a hard constraint take
     no part in scoring: each later column is guarded, so their signals aren't evaluated."""
     rows = with_sources(items, sources)
-    rows = rows.withColumns({"profile": profile(F.col("s_source_profile"), F.col("s_category")), "_hard": drop_reason(settings, run_date, as_of)})
+    rows = _once(rows, {"profile": profile(F.col("s_source_profile"), F.col("s_category")), "_hard": drop_reason(settings, run_date, as_of)})
     rows = with_signals(rows, settings)
     ok = F.col("_hard").isNull()
-    rows = rows.withColumns({f"p_{k}": v for k, v in score_parts(settings).items()})
+    rows = _once(rows, {f"p_{k}": v for k, v in score_parts(settings).items()})
     total = F.greatest(F.lit(0), F.least(F.lit(100), sum((F.col(f"p_{k}") for k in COMPONENTS[1:]), F.col("p_core"))))
     signal = F.size("company_hits") + F.size("brand_hits") + F.size("context_hits")
     fast = F.lit(settings.fast_pass) & (F.size("fast_pass_hits") > 0) & ((signal > 0) | F.lit(not settings.fast_pass_needs_signal))
@@ -174,9 +180,11 @@ def judged(items: DataFrame, sources: DataFrame, settings: Settings, run_date: s
         F.when(~ok, F.col("_hard")).when(fast, F.lit("fast_pass")).when(~gate, F.lit("candidate_gate_miss")).when(pair_broken, F.lit("pair_rule_mismatch"))
         .when(general, F.lit("general_no_core_or_company")).when(total < threshold, F.lit("score_below_threshold")).otherwise(F.lit("kept"))
     )
+    rows = _once(rows, {"relevance_reason": reason})
+    reason = F.col("relevance_reason")
     scored = reason.isin("pair_rule_mismatch", "general_no_core_or_company", "score_below_threshold", "kept")
     rows = rows.withColumns({
-        "relevance_reason": reason, "relevance_stage": F.when(~ok, F.lit("hard")).when(reason == "fast_pass", F.lit("fast_pass")).otherwise(F.lit("stage2")),
+        "relevance_stage": F.when(~ok, F.lit("hard")).when(reason == "fast_pass", F.lit("fast_pass")).otherwise(F.lit("stage2")),
         "relevance_score": F.when(reason == "fast_pass", 100).when(scored, total).otherwise(0),
         "relevance_score_breakdown": F.when(scored, F.struct(*[F.col(f"p_{k}").cast("int").alias(k) for k in COMPONENTS])),
         "method": normalize_method("s_source_type"),

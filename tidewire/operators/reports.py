@@ -56,7 +56,7 @@ def rebuilt_funnel(funnel_counts: DataFrame, stats: DataFrame) -> DataFrame:
 def reason_pivot(judged: DataFrame) -> DataFrame:
     """A row for each reason: its total and a count for each method, of dropped rows with a method."""
     dropped = judged.filter(~F.col("relevance_keep") & (F.col("method") != ""))
-    wide = dropped.groupBy(F.col("relevance_reason_zh").alias("reason")).pivot("method", list(V.METHODS)).agg(F.count("*"))
+    wide = dropped.groupBy(F.col("relevance_reason_zh").alias("reason")).pivot("method", list(V.METHODS)).agg(F.count(F.lit(1)))
     filled = wide.select("reason", *[F.coalesce(m, F.lit(0)).cast("long").alias(m) for m in V.METHODS])
     return filled.withColumn("total", sum((F.col(m) for m in V.METHODS[1:]), F.col(V.METHODS[0])))
 
