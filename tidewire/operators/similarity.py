@@ -2,7 +2,7 @@
 
 Greedy order matters: a row goes only if it is like an earlier row that stayed. Similar pairs come from a
 join on shared terms (map-side combined), and the greedy fold runs over those pairs alone, one small list a
-row, in rounds: a row is settled once all its earlier neighbours are. Rounds end when all are settled.
+row, in rounds: a row without an unsettled earlier neighbour stays and beats its later ones.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import text as tx
+from ..tables import BROADCAST_ROWS, rows_of, small, written
 
 
 def term_counts(rows: DataFrame, key: str, text: Column | str) -> DataFrame:
@@ -53,17 +54,17 @@ def jaccard_pairs(sets: DataFrame, key: str, threshold: float) -> DataFrame:
 def greedy_keep(ranked: DataFrame, pairs: DataFrame, key: str, place: str) -> DataFrame:
     """ranked (key, place) without rows that are paired with an earlier row that stays."""
     at = ranked.select(F.col(key).alias("k"), F.col(place).alias("place"))
-    ends = pairs.select(F.col("a"), F.col("b")).join(at.select(F.col("k").alias("a"), F.col("place").alias("pa")), "a").join(at.select(F.col("k").alias("b"), F.col("place").alias("pb")), "b")
-    edges = ends.select(F.when(F.col("pa") < F.col("pb"), F.col("a")).otherwise(F.col("b")).alias("early"), F.when(F.col("pa") < F.col("pb"), F.col("b")).otherwise(F.col("a")).alias("late")).persist()
-    state = edges.select(F.col("late").alias("k")).union(edges.select("early")).distinct().withColumn("kept", F.lit(None).cast("boolean")).persist()
-    while True:
-        known = state.select(F.col("k").alias("early"), F.col("kept").alias("early_kept"))
-        seen = edges.join(known, "early").groupBy("late").agg(F.max(F.coalesce("early_kept", F.lit(False))).alias("beaten"), F.min(F.col("early_kept").isNotNull()).alias("settled"))
-        new = state.join(seen, F.col("k") == F.col("late"), "left").select("k", F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.col("late").isNull(), True).when(F.col("beaten"), False).when(F.col("settled"), True).alias("kept"))
-        new = new.persist()
-        open_rows = new.filter("kept is null").count()
-        state.unpersist()
-        state = new
-        if not open_rows:
-            break
-    return ranked.join(state.filter("not kept").select(F.col("k").alias(key)), key, "left_anti")
+    ends = pairs.select("a", "b").join(at.select(F.col("k").alias("a"), F.col("place").alias("pa")), "a").join(at.select(F.col("k").alias("b"), F.col("place").alias("pb")), "b")
+    first = F.col("pa") < F.col("pb")
+    edges = written(ends.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("early"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("late")))
+    beaten = None
+    while rows_of(edges):
+        # rows without an open earlier neighbour stay, and beat all their later ones
+        stays = edges.select("early").distinct().join(edges.select(F.col("late").alias("early")).distinct(), "early", "left_anti")
+        lost = written(edges.join(small(written(stays)), "early", "left_semi").select("late").distinct())
+        beaten = lost if beaten is None else beaten.union(lost)
+        gone = lost.select(F.col("late").alias("early"))
+        gone = F.broadcast(gone) if rows_of(lost) <= BROADCAST_ROWS else gone
+        open_late = edges.join(small(lost), "late", "left_anti")
+        edges = written(open_late.join(gone, "early", "left_anti"))
+    return ranked if beaten is None else ranked.join(beaten.distinct().withColumnRenamed("late", key), key, "left_anti")
