@@ -197,3 +197,26 @@ def test_streaming(spark, tmp_path):
         query.stop()
     assert spark.table("once").count() == 2
     assert sorted(r.n for r in spark.table("daily").collect()) == [1, 2]
+
+
+def test_cli_from_captures_to_digest(spark, tmp_path):
+    from tidewire import cli
+    from tidewire.sources import connectors
+
+    config = {
+        "defaults": {"core_keywords_foreign": ["robotaxi"]}, "companies": [{"id": "w", "name": "Waymo", "aliases": []}], "query_sets": {"q": ["robotaxi", {"q": "l4", "group": "G"}]},
+        "sources": [
+            {"id": "r", "name": "R", "source_type": "rss", "rss_urls": ["http://r/feed"], "region": "foreign"}, {"id": "off", "name": "Off", "enabled": False, "rss_urls": ["http://x/f"], "region": "foreign"},
+            {"id": "b", "name": "B", "source_type": "search_result", "provider": "bing_news", "query_set": "q", "region": "foreign"}, {"id": "g", "name": "G", "source_type": "query_rss", "query_set": "q", "region": "foreign"},
+        ],
+    }
+    urls = [r.url for r in connectors.planned(spark, config).collect()]
+    assert len(urls) == 5 and any("q=robotaxi+when%3A1d" in u for u in urls)
+    feed = "<rss><channel>" + "".join(f"<item><title>Waymo robotaxi {i}</title><link>https://r.com/a/{i}</link><description>robotaxi fleet {i}</description><pubDate>Sun, 14 Jan 2024 0{i}:00:00 GMT</pubDate></item>" for i in range(3)) + "</channel></rss>"
+    (tmp_path / fetching.capture_name("http://r/feed")).write_text(feed)
+    (tmp_path / "config.json").write_text(json.dumps(config))
+    assert cli.main(["all", "--config", str(tmp_path / "config.json"), "--date", "2024-01-15", "--root", str(tmp_path / "out"), "--captures", str(tmp_path)]) == 0
+    stats = {r.source_id: (r.status, r.error_reason_code) for r in spark.read.parquet(str(tmp_path / "out/source_stats")).collect()}
+    assert stats == {"r": ("ok", ""), "b": ("fail", "not_found"), "g": ("fail", "not_found")}
+    assert "Waymo robotaxi" in (tmp_path / "out/digest/2024-01-15.html").read_text()
+    assert spark.read.parquet(str(tmp_path / "out/state/seen")).count() == 3

@@ -29,17 +29,20 @@ def write_lines(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").json(path)
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    """A report of one row as one pretty JSON file."""
-    spark = report.sparkSession
-    rows = report.toJSON().take(1)
-    body = json.dumps(json.loads(rows[0]) if rows else {}, ensure_ascii=False, indent=2)
+def write_text(spark: SparkSession, body: str, path: str) -> None:
+    """A small file, in whatever store the path names."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
     out.write(bytearray(body.encode()))
     out.close()
 
 
+def write_report(report: DataFrame, path: str) -> None:
+    """A report of one row as one pretty JSON file."""
+    rows = report.toJSON().take(1)
+    write_text(report.sparkSession, json.dumps(json.loads(rows[0]) if rows else {}, ensure_ascii=False, indent=2), path)
+
+
 def write_health(stats: DataFrame, path: str) -> None:
     """Source health as tab-separated rows."""
     stats.select("source_id", "status", "fetched_items", F.substring(F.regexp_replace(F.coalesce("error", F.lit("")), r"[\t\n]", " "), 1, 120).alias("error")).write.mode("overwrite").option("header", True).option("sep", "\t").csv(path)
