@@ -1,0 +1,475 @@
+"""Each operator against a brute-force version on small tables: nulls, empties, ties, repeats, long texts,
+empty tables and extra columns."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from tidewire.llm import fingerprints, line_dedup, linking, lm, mixing, near_dedup, packing, pii, queries, runtime, textscan, token_counts, tokens, topk, toxicity
+
+random.seed(7)
+WORDS = ["alpha", "beta", "Gamma", "delta,", "épsilon", "zeta", "eta.", "theta", "iota", "kappa", "λ", "mu"]
+
+
+def prose(n, seed):
+    r = random.Random(seed)
+    return " ".join(r.choice(WORDS) + str(r.randint(0, 400)) for _ in range(n))
+
+
+LONG = prose(6000, 1)
+BASE = prose(120, 2)
+NEAR = BASE.replace(BASE.split()[60], "changed", 1)
+TEXTS = [None, "", "  ", "one", "One", BASE, BASE, NEAR, BASE.upper(), LONG, prose(200, 3), prose(90, 4), "a <|endoftext|> b", "naïve café ﬁ Å", "naïve café fi Å", "x" * 3000, "tab\tand\nline", "𝔘nicode ² ½"]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, ["s0", "s1", None, "é"][i % 4], "en", i) for i, t in enumerate(TEXTS)]
+    rows += [(None, "no id", "s0", "en", 0), (3, "one", "s0", "en", 0), (3, "one", "s0", "en", 0), (5, "same id, other text", "s1", "en", 0)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, h1 int").cache()
+
+
+@pytest.fixture(scope="module")
+def nothing(spark, docs):
+    return spark.createDataFrame([], docs.schema)
+
+
+def table(docs):
+    return [(r.doc_id, r.text) for r in docs.collect()]
+
+
+# --- words -------------------------------------------------------------------------------------------------
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="aB é\t\n.x", max_size=30)), max_size=8), st.integers(2, 40))
+def test_word_hashes(texts, size):
+    was, textscan.SLICE = textscan.SLICE, size
+    try:
+        hashes, bounds = textscan.word_hashes(pa.array(texts, pa.string()))
+    finally:
+        textscan.SLICE = was
+    want = [(x or "").encode().lower().split() for x in texts]
+    assert np.diff(bounds).tolist() == [len(w) for w in want]
+    by = {}
+    for w, h in zip([w for ws in want for w in ws], hashes.tolist(), strict=True):
+        assert by.setdefault(w, h) == h
+    assert len(set(by.values())) == len(by)
+
+
+# --- 1 mixing ----------------------------------------------------------------------------------------------
+
+
+def test_targets():
+    assert mixing.capped_targets([100, 100, 100], [5, 2, 1]) == pytest.approx([187.5, 75, 37.5])
+    assert mixing.capped_targets([10, 100, 100], [5, 2, 1]) == pytest.approx([30, 120, 60])
+    assert mixing.capped_targets([0, 0], [5, 2]) == [0, 0]
+
+
+def test_mixing(spark, docs, nothing):
+    got = mixing.mixed(docs).collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.size) for r in got) == sorted((i if i is not None else -1, len((t or "").encode().split())) for i, t in table(docs))
+    by = {}
+    for r in got:
+        assert 0 <= r.taken <= 3 * r.size
+        s = by.setdefault(r.source, [0, 0, r.source_size, r.target])
+        s[0] += r.taken
+        s[1] += r.size
+    for taken, size, said, target in by.values():
+        assert size == said and abs(taken - target) <= max(8, 0.02 * target)
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mixed(docs).collect()))
+    assert mixing.mixed(nothing).count() == 0
+
+
+def test_schedule_ranks(spark):
+    slots = [{"slots": n} for n in (70000, 20000, 1)]
+    rows = sorted((r.slot, r.s, r["rank"]) for r in mixing.schedule(spark, slots).collect())
+    seen = Counter()
+    for slot, s, rank in rows:
+        assert rank == seen[s]
+        seen[s] += 1
+    assert [abs(seen[i] - slots[i]["slots"]) <= 3 for i in range(3)] == [True] * 3
+
+
+# --- 2 fingerprints -----------------------------------------------------------------------------------------
+
+
+def test_fingerprints(spark, docs, nothing):
+    got = fingerprints.fingerprints(docs.filter("doc_id is not null and (doc_id <> 3 or h1 > 0) and (doc_id <> 5 or h1 > 0)")).collect()
+    by = {r.doc_id: r for r in got}
+    ids = sorted(by)
+    for i, d in enumerate(ids):
+        t, nxt = TEXTS[d] or "", TEXTS[ids[(i + 1) % len(ids)]] or ""
+        half = len(t) // 2
+        edited = t[: len(t) - half] + nxt[:half]
+        assert by[d].n_chars == len(t) and by[d].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert by[d].near_next == float(by[d].fingerprint == by[ids[(i + 1) % len(ids)]].fingerprint)
+    assert by[5].fingerprint == by[6].fingerprint == by[8].fingerprint != by[7].fingerprint
+    assert by[13].fingerprint == by[14].fingerprint and by[3].fingerprint == by[4].fingerprint and by[0].fingerprint == by[1].fingerprint == by[2].fingerprint
+    assert fingerprints.fingerprints(nothing).count() == 0
+    assert len(fingerprints.fingerprints(docs).collect()) == docs.count()
+
+
+def test_fingerprint_collisions(spark, monkeypatch, docs):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(fingerprints, "lanes", lambda canon: [F.lit(1).cast("long"), F.char_length(canon).cast("long") * 0])
+    got = fingerprints.fingerprints(docs.select("doc_id", "text")).select("doc_id", "fingerprint").collect()
+    prints = {i: r for i, r in ((r.doc_id, r.fingerprint) for r in got)}
+    assert prints[6] == prints[8] != prints[7] and prints[10] != prints[11] and len(set(r.fingerprint for r in got)) > 10
+
+
+# --- 3 token counts, 7 packing ---------------------------------------------------------------------------------
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=20))
+def test_encoder_agrees_with_the_library(text):
+    e = tokens.encoder()
+    want = e.library.encode(text, add_special_tokens=False).ids
+    assert e.ids(text).tolist() == want
+    if token_counts._plain(text):
+        assert sum(len(e.library.encode(p, add_special_tokens=False).ids) for p in token_counts._SPLIT.findall(text)) == len(want)
+
+
+def test_token_counts(docs, nothing):
+    library = tokens.encoder().library
+    want = sorted((-1 if i is None else i, len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in table(docs))
+    got = token_counts.token_counts(docs, limit=100, table=20).collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_tokens) for r in got) == want
+    assert all(r.over_limit == (r.n_tokens > 100) for r in got)
+    assert token_counts.token_counts(nothing).count() == 0
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=80))
+def test_best_fit_decreasing(lengths):
+    bins, offsets = packing.best_fit_decreasing(np.array(lengths, np.int64), 64)
+    plain = []  # capacities of open bins, by a scan
+    for n in sorted(lengths, reverse=True):
+        fits = [i for i, room in enumerate(plain) if room >= n]
+        if fits:
+            i = min(fits, key=lambda i: plain[i])
+            plain[i] -= n
+        else:
+            plain.append(64 - n)
+    assert len(set(bins.tolist())) == len(plain)
+    for b in set(bins.tolist()):
+        at = 0
+        for o, n in sorted((offsets[i], lengths[i]) for i in np.flatnonzero(bins == b)):
+            assert o == at
+            at += n
+        assert at <= 64
+
+
+def test_packing(docs, nothing):
+    library = tokens.encoder().library
+    got = packing.packed(docs, 256).collect()
+    by = {}
+    for r in got:
+        by.setdefault((r.sequence_id), []).append((r.offset, r.length))
+    for spans in by.values():
+        spans.sort()
+        assert spans[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:])) and spans[-1][0] + spans[-1][1] <= 256
+    ids = np.array([*library.encode(LONG, add_special_tokens=False).ids, 0], "<u4")
+    mine = sorted((r.piece, r.start, r.length, r.ids_crc32) for r in got if r.doc_id == 9)
+    assert [m[1] for m in mine] == np.cumsum([0, *[m[2] for m in mine[:-1]]]).tolist() and all(m[2] == 256 for m in mine[1:])
+    assert [m[3] for m in mine] == [zlib.crc32(ids[a : a + n].tobytes()) for _, a, n, _ in mine] and sum(m[2] for m in mine) == len(ids)
+    assert len({(r.doc_id) for r in got}) == len({i for i, _ in table(docs)})
+    assert packing.packed(nothing).count() == 0
+
+
+# --- 4 near-dedup ------------------------------------------------------------------------------------------------
+
+
+def shingle_counts(text):
+    w = (text or "").encode().lower().split()
+    return Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else Counter([tuple(w)] if w else [])
+
+
+def jaccard(a, b):
+    both = sum((a & b).values())
+    return both / (sum(a.values()) + sum(b.values()) - both) if a or b else 1.0
+
+
+def classes_of(items, like):
+    label = list(range(len(items)))
+    for i in range(len(items)):
+        for j in range(i):
+            if like(items[i], items[j]):
+                a, b = label[i], label[j]
+                label = [min(a, b) if x in (a, b) else x for x in label]
+    return label
+
+
+def test_near_dedup(spark, docs, nothing):
+    base = prose(60, 9).split()
+    rows = []
+    for i in range(90):  # a large group around one text, with chains and stragglers
+        r, w = random.Random(i), list(base)
+        for _ in range(r.choice([0, 1, 1, 2, 3])):
+            w[r.randrange(len(w))] = f"w{r.randint(0, 9)}"
+        rows.append((100 + i, " ".join(w)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").unionByName(docs.filter("doc_id is not null and h1 = doc_id").select("doc_id", "text"))
+    items = sorted(table(frame))
+    counts = [shingle_counts(t) for _, t in items]
+    want = [items[k][0] for k in classes_of(counts, lambda a, b: jaccard(a, b) >= 0.8)]
+    got = {r.doc_id: r.class_id for r in near_dedup.near_classes(frame).collect()}
+    assert [got[i] for i, _ in items] == want
+    kept = near_dedup.deduplicated(docs)
+    assert kept.columns == docs.columns and near_dedup.near_classes(docs).count() == docs.count()
+    assert sorted(r.doc_id for r in kept.filter("doc_id in (5, 6, 7, 8)").collect()) == [5, 5, 8]  # 5 holds two texts; 8 differs in letters beyond A-Z
+    assert near_dedup.near_classes(nothing).count() == 0
+
+
+def test_signatures_are_unbiased():
+    a = np.arange(1, 301, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    runs, counts, owner = np.concatenate([a, a]), np.concatenate([np.ones(300, int), np.where(np.arange(300) < 100, 3, 1)]), np.repeat([0, 1], 300)
+    s = near_dedup.bag_minhash(runs, counts, owner, 2, 4096)
+    assert abs((s[0] == s[1]).mean() - 300 / 500) < 0.04
+
+
+# --- 5 toxicity ---------------------------------------------------------------------------------------------------
+
+
+def test_toxicity(spark, nothing):
+    rows = []
+    for i in range(900):
+        bad = i % 5 == 0
+        t = prose(30, i)
+        rows.append((i, t + (" you absolute grumbletoad fool" if bad else ""), "en", int(bad)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, y int")
+    labels = frame.selectExpr("doc_id", "y toxic")
+    model = toxicity.fit(frame, labels.filter(~toxicity.held_out(labels["doc_id"])))
+    got = toxicity.score(frame.select("doc_id", "text", "lang", "y"), model).collect()
+    held = [r for r in got if zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
+    assert len(held) > 150 and sum(r.toxic == (r.y == 1) for r in held) / len(held) > 0.97
+    assert all(0 <= r.score <= 1 for r in got)
+    none = toxicity.fit(frame, labels.limit(0))
+    assert {r.score for r in toxicity.score(frame.limit(3), none).collect()} == {0.0}
+    odd = spark.createDataFrame([(1, None, None), (2, "", "xx"), (2, "", "xx")], "doc_id long, text string, lang string")
+    assert len({r.score for r in toxicity.score(odd, model).collect()}) == 1
+    assert toxicity.score(nothing, model).count() == 0
+
+
+# --- 6 top-k -------------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e4, 3e5])
+def test_top_k(spark, scale):
+    r = np.random.default_rng(3)
+    vectors = [(i, (r.normal(size=8) * scale).astype(np.float32).tolist()) for i in range(240)]
+    vectors += [(500, None), (550, [float("nan")] * 8), (600, [1.0, None, *[0.0] * 6]), (650, [1.0] * 5), (651, [2.0] * 5), (700, vectors[3][1]), (701, vectors[3][1]), (None, vectors[4][1])]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    ok = {i: [int(np.floor(256.0 * x)) for x in v] for i, v in vectors if i is not None and v and all(x is not None and np.isfinite(x) for x in v)}
+    want = []
+    for q in (i for i in ok if i % 50 == 0):
+        best = sorted((-sum(a * b for a, b in zip(ok[q], v)), i) for i, v in ok.items() if i != q and len(v) == len(ok[q]))[:5]
+        want += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+    for block in (4096, 2):
+        topk.BLOCK_QUERIES, was = block, topk.BLOCK_QUERIES
+        got = topk.top_k(frame, frame.filter("vec_id % 50 = 0")).collect()
+        topk.BLOCK_QUERIES = was
+        assert sorted(map(tuple, got)) == sorted(want)
+    assert topk.top_k(frame.limit(0), frame.limit(0)).count() == 0
+
+
+# --- 8 language model ---------------------------------------------------------------------------------------------------
+
+
+def test_language_model(spark, docs, nothing):
+    import math
+
+    train = docs.filter(~lm.held_out(docs["doc_id"]))
+    words, counted, network = lm.fit(train)
+    got = lm.scored(docs, words, counted, network).collect()
+    c = Counter(w for i, t in table(train) for w in [*(t or "").encode().lower().split(), b"\n"])
+    n, v = sum(c.values()), len(c)
+    want = sorted((-1 if i is None else i, round(sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws), 6), len(ws), sum(c[w] > 0 for w in ws)) for i, t in table(docs) for ws in [[*(t or "").encode().lower().split(), b"\n"]])
+    assert sorted((-1 if r.doc_id is None else r.doc_id, round(r.base_score, 6), r.n_tokens, r.n_known) for r in got) == want
+    assert all(r.score < 0 for r in got)
+    assert lm.scored(nothing, words, counted, network).count() == 0
+    words, counted, network = lm.fit(nothing)
+    assert lm.scored(docs, words, counted, network).count() == docs.count()
+
+
+def test_network_is_a_distribution_and_windows_carry_state():
+    counts = np.random.default_rng(0).integers(0, 50, lm.SYMBOLS)
+    net = lm.Network(counts)
+    h = np.random.default_rng(1).normal(size=(1, lm.STATE)).astype(np.float32)
+    total = np.exp(net.log_probability(np.repeat(h, lm.SYMBOLS, 0), np.arange(lm.SYMBOLS))).sum()
+    assert abs(total - 1) < 1e-3
+    texts = [np.random.default_rng(i).integers(0, lm.SYMBOLS, n).astype(np.int32) for i, n in enumerate((1, 700, 30, 5))]
+    whole = net.score(texts, 64)
+    was, lm.WINDOW_STATES = lm.WINDOW_STATES, 64
+    assert np.allclose(net.score(texts, 64), whole, rtol=1e-4)
+    lm.WINDOW_STATES = was
+
+
+def test_gradients():
+    net = lm.Network(np.ones(lm.SYMBOLS, int))
+    r = np.random.default_rng(2)
+    xs, ts = r.integers(0, lm.SYMBOLS, (4, 3)), r.integers(0, lm.SYMBOLS, (4, 3))
+    fs, h = np.zeros((4, 3), bool), np.zeros((3, lm.STATE), np.float32)
+    fs[2, 1] = True
+    net.p = {k: x.astype(np.float64) for k, x in net.p.items()}
+
+    def loss():
+        state, out = h.astype(float), 0.0
+        for x, t, f in zip(xs, ts, fs):
+            state = np.where(f[:, None], 0, state)
+            state = net.step(net.p["embed"][x] @ net.p["wx"] + net.p["b"], state)[0]
+            logits = state @ net.p["wc"] + net.p["bc"]
+            for i, s in enumerate(t):
+                y = state[i] @ net.p["ws"][s % lm.CLASSES] + net.p["bs"][s % lm.CLASSES]
+                out -= logits[i, s % lm.CLASSES] - np.log(np.exp(logits[i]).sum()) + y[s // lm.CLASSES] - np.log(np.exp(y).sum())
+        return out / ts.size
+
+    grads, _ = net.gradients(xs, ts, fs, h)
+    for k in ("wx", "wh", "b", "wc", "embed", "ws"):
+        i = np.unravel_index(np.abs(grads[k]).argmax(), grads[k].shape)
+        was = net.p[k][i]
+        net.p[k][i] = was + 1e-4
+        up = loss()
+        net.p[k][i] = was - 1e-4
+        down = loss()
+        net.p[k][i] = was
+        assert abs((up - down) / 2e-4 - grads[k][i]) < 1e-3 * max(1, abs(grads[k][i]) * 10)
+
+
+# --- 9 personal data --------------------------------------------------------------------------------------------------------
+
+PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(s):
+    return sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(map(int, reversed(s)))) % 10 == 0
+
+
+def base_spans(t):
+    def fine(k, m):
+        d = re.sub("[^0-9]", "", m)
+        return all(int(p) <= 255 for p in m.split(".")) if k == "ip" else 14 <= len(d) <= 19 and luhn(d) if k == "card" else 10 <= len(d) <= 15 if k == "phone" else True
+
+    found = sorted((m.start(), n, k, m.end()) for n, (k, p) in enumerate(PLAIN.items()) for m in re.finditer(p, t or "") if fine(k, m[0]))
+    return ",".join(f"{k}:{a}:{e}" for a, _, k, e in found)
+
+
+def test_personal_data(spark, docs, nothing):
+    cases = ["a.b@c.de, x@y.z_w@q.rs", "1.2.3.4 256.1.1.1 0001.2.3.4.5", "4111 1111 1111 1111 and 4111-1111-1111-1112", "+1 (325) 555-3423 +12", "é 9.9.9.9é " * 40, "1 2 3 " * 3000, "7" * 4000, "@@@", "+1+23456789012 ", None, ""]
+    frame = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.personal_data(frame).select("doc_id", pii.joined("base").alias("base"), pii.joined("spans").alias("spans")).collect()}
+    for i, t in enumerate(cases):
+        assert got[i].base == base_spans(t), t
+        assert set(filter(None, got[i].base.split(","))) <= set(filter(None, got[i].spans.split(",")))
+    assert pii.personal_data(docs).count() == docs.count() and pii.personal_data(nothing).count() == 0
+
+
+def test_personal_data_learns_from_context(spark):
+    r = random.Random(4)
+    rows = [(i, f"{prose(5, i)} dial +1 ({r.randint(200, 999)}) 555-{r.randint(1000, 9999)} now") for i in range(80)]
+    rows += [(500, "please dial (212) 555-1234 now"), (501, "order (212) 555-1234 parts")]
+    got = {r.doc_id: r.spans for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", pii.joined("spans").alias("spans")).collect()}
+    assert got[500] == "phone:12:26"
+
+
+# --- 10 line dedup ------------------------------------------------------------------------------------------------------------
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="abé", max_size=24), st.text(alphabet="abé", max_size=24), st.integers(0, 3))
+def test_within(a, b, k):
+    assert bool(line_dedup.within([a], [b], k)[0]) == (edit_distance(a, b) <= k)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="abcd", min_size=8, max_size=60), st.lists(st.tuples(st.integers(0, 99), st.sampled_from("idr"), st.sampled_from("abcd")), max_size=2))
+def test_alike_lines_share_a_bucket(line, edits):
+    other = list(line)
+    for at, kind, c in edits:
+        at %= len(other)
+        other[at : at + 1] = {"i": [c, other[at]], "d": [], "r": [c]}[kind]
+    owners, keys = line_dedup.line_keys([line, "".join(other)], 2)
+    assert set(keys[owners == 0]) & set(keys[owners == 1])
+
+
+def test_line_dedup(spark, docs, nothing):
+    line = lambda i: prose(9, 50 + i)[:70].ljust(60, "x")
+    texts = []
+    for i in range(40):
+        r = random.Random(i)
+        own = [line(100 + i), line(i % 6), line(i % 3)[:20] + r.choice("xyzq") + line(i % 3)[21:], "short", ""]
+        r.shuffle(own)
+        texts.append("\n".join(own))
+    frame = spark.createDataFrame([(i, t, len(t), "k") for i, t in enumerate(texts)], "doc_id long, text string, n_chars long, removed string")
+    lines = [(i, n, x.strip()) for i, t in enumerate(texts) for n, x in enumerate(t.split("\n")) if len(x.strip()) >= 40]
+    label = classes_of([x for *_, x in lines], lambda a, b: abs(len(a) - len(b)) <= 2 and edit_distance(a, b) <= 2)
+    gone, seen = set(), set()
+    for (i, n, _), k in zip(lines, label):
+        digest_order = k in seen
+        seen.add(k)
+        if digest_order:
+            gone.add((i, n))
+    want = {i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in gone) for i, t in enumerate(texts)}
+    got = {r.doc_id: r for r in line_dedup.deduplicated(frame).collect()}
+    assert {i: r.text for i, r in got.items()} == want and all(r.n_chars == len(r.text) and r.removed == "k" for r in got.values())
+    assert line_dedup.deduplicated(docs).count() == docs.count() and line_dedup.deduplicated(nothing).count() == 0
+
+
+def test_min_labels(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(100, 200), (200, 150)], "a long, b long")
+    got = {r.id: r.label for r in linking.min_labels(links).collect()}
+    assert got == {i: 0 for i in range(31)} | {100: 100, 150: 100, 200: 100}
+
+
+# --- queries and the pipeline ----------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", queries.MODULES)
+def test_query_columns(spark, sf_dir, name):
+    got = queries.queries()[name](spark, sf_dir)
+    assert len(set(got.columns)) == len(got.columns) and got.count() > 0
+
+
+def test_top_k_against_sql(spark, sf_dir):
+    import duckdb
+
+    duckdb.sql(f"create or replace view embeddings as select * from '{sf_dir}/embeddings.parquet'")
+    want = duckdb.sql(queries.oracle_sql()["op6_topk"]).fetchall()
+    assert sorted(map(tuple, topk.query(spark, sf_dir).collect())) == sorted(want)
+
+
+def test_pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    docs = runtime.documents(spark, sf_dir)
+    columns, rows = docs.columns, docs.count()
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = runtime.written(stage(spark, docs, sf_dir))
+        assert 0 < docs.count() <= 4 * rows
+        if i + 1 < len(corpus_pipeline.STAGES):
+            assert docs.columns == columns
+    assert {"sequence_id", "offset"} <= set(docs.columns)
+
+
+def test_no_python_in_native_plans(spark, sf_dir):
+    for name in ("op2_fingerprints", "op9_pii"):
+        plan = queries.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow", plan)
