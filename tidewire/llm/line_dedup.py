@@ -176,7 +176,7 @@ def occurrences(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
             at = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), pa.array(number, pa.int32()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())], names=["doc_id", "digest", "number", "h1", "h2"])
 
-    return _sources(docs).mapInArrow(lines, "doc_id long, digest long, number int, h1 long, h2 long")
+    return _sources(docs).mapInArrow(runtime.frugal(lines), "doc_id long, digest long, number int, h1 long, h2 long")
 
 
 def line_buckets(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS) -> DataFrame:
@@ -190,7 +190,7 @@ def line_buckets(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS
             ids = np.array([_hash(x)[0] for x in distinct], np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(ids[owners])], names=["key", "id"])
 
-    return _sources(docs).mapInArrow(keys, "key long, id long")
+    return _sources(docs).mapInArrow(runtime.frugal(keys), "key long, id long")
 
 
 def line_classes(docs: DataFrame, places: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS) -> DataFrame:
@@ -213,7 +213,7 @@ def line_classes(docs: DataFrame, places: DataFrame, min_chars: int = MIN_CHARS,
                 found = {_hash(line)[0]: line for text in batch.column(1) for _, line in _long_lines(text.as_py(), min_chars)}
                 yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.string())], names=["id", "payload"])
 
-        held = _sources(docs).join(runtime.small(of), F.col("doc_id").eqNullSafe(F.col("at")), "left_semi").mapInArrow(lines, "id long, payload string")
+        held = _sources(docs).join(runtime.small(of), F.col("doc_id").eqNullSafe(F.col("at")), "left_semi").mapInArrow(runtime.frugal(lines), "id long, payload string")
         return held.join(near, "id", "left_semi").dropDuplicates(["id"])
 
     def vectors(payloads: DataFrame) -> DataFrame:
@@ -225,7 +225,7 @@ def line_classes(docs: DataFrame, places: DataFrame, min_chars: int = MIN_CHARS,
                 table = np.array(rows, np.int32).reshape(-1, LETTERS)
                 yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(table[:, i]) for i in range(LETTERS)]], names=names)
 
-        return payloads.select("id", "payload").mapInArrow(count, "id long, " + ", ".join(f"{x} int" for x in names[1:]))
+        return payloads.select("id", "payload").mapInArrow(runtime.frugal(count), "id long, " + ", ".join(f"{x} int" for x in names[1:]))
 
     # an edit takes one letter and brings one at most
     return linking.classes(buckets, payload, lambda column: column.to_pylist(), lambda a, b: within(a, b, edits), vectors=vectors, most_apart=2 * edits)

@@ -50,7 +50,7 @@ def verified(pairs: DataFrame, held: DataFrame, load: Callable, alike: Callable)
     """Those of pairs (a, b) whose payloads are alike. held has (id, payload); load(payload array) makes a
     list of values; alike([values], [values]) gives a boolean for each pair. A leader's payload is sent
     once for each block of its pairs."""
-    runtime.prepare(pairs.sparkSession, 500)
+    runtime.prepare(pairs.sparkSession, 300)
     blocks = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK_PAIRS).cast("int").alias("n"))
     leads = blocks.select("a", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("block"), F.col("a").alias("id"), F.lit(0).alias("role"))
     rest = pairs.join(blocks, "a").select("a", F.pmod(F.xxhash64("b"), F.col("n")).cast("int").alias("block"), F.col("b").alias("id"), F.lit(1).alias("role"))
@@ -78,7 +78,7 @@ def verified(pairs: DataFrame, held: DataFrame, load: Callable, alike: Callable)
             found = [i for i, ok in zip(at_rows, alike(leads, [values[i] for i in at_rows]), strict=True) if ok]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for i in found], pa.int64()) for x in (a, ids)], names=["a", "b"])
 
-    return rows.mapInArrow(compare, "a long, b long")
+    return rows.mapInArrow(runtime.frugal(compare), "a long, b long")
 
 
 def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:

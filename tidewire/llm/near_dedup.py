@@ -114,7 +114,7 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def signed(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, digest (of the text), f1, f2 (of the word sequence), bands (keys; none without words)."""
-    runtime.prepare(docs.sparkSession, 500)
+    runtime.prepare(docs.sparkSession, 300)
 
     def sign(batches):
         for batch in batches:
@@ -126,7 +126,7 @@ def signed(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int =
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(lanes[0].view(np.int64)), pa.array(lanes[1].view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[some].ravel()))], names=["doc_id", "digest", "f1", "f2", "bands"])
 
     text = F.col("text").cast("string")
-    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("digest")).mapInArrow(sign, "doc_id long, digest long, f1 long, f2 long, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("digest")).mapInArrow(runtime.frugal(sign), "doc_id long, digest long, f1 long, f2 long, bands array<long>")
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -141,7 +141,7 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 def near_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, digest, class_id (the least doc_id of the class), label (a number of the class)."""
-    runtime.prepare(docs.sparkSession, 500)
+    runtime.prepare(docs.sparkSession, 300)
     sketches = runtime.written(signed(docs, words, bands, rows))
     texts = sketches.groupBy("f1", "f2").agg(F.min("doc_id").alias("text_doc_id"))
     texts = runtime.written(texts.select("f1", "f2", "text_doc_id", F.monotonically_increasing_id().alias("id")))
@@ -158,7 +158,7 @@ def near_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHO
 
         of = wanted.select(F.col("text_doc_id").alias("doc_id")).distinct()
         near = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(runtime.small(runtime.written(of)), "doc_id", "left_semi")
-        with_digest = near.mapInArrow(fingerprint, "doc_id long, payload string, f1 long, f2 long")
+        with_digest = near.mapInArrow(runtime.frugal(fingerprint), "doc_id long, payload string, f1 long, f2 long")
         return with_digest.join(runtime.small(wanted), ["f1", "f2"]).filter(F.col("doc_id") == F.col("text_doc_id")).select("id", "payload").dropDuplicates(["id"])
 
     def load(column: pa.Array) -> list[np.ndarray]:
@@ -176,7 +176,7 @@ def near_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHO
                     part = slice(at, at + 100_000)
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[part])), pa.array(of[part].view(np.int64)), pa.array(n[part])], names=["id", "feature", "n"])
 
-        return payloads.select("id", "payload").mapInArrow(spread, "id long, feature long, n long")
+        return payloads.select("id", "payload").mapInArrow(runtime.frugal(spread), "id long, feature long, n long")
 
     labels = linking.classes(buckets, payload, load, alike, features, threshold / (1 + threshold))
     named = texts.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))

@@ -3,10 +3,13 @@ folder, joins whose broadcast is checked by size, and bounded Arrow batches."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +28,29 @@ def prepare(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+def trim() -> None:
+    """Give freed memory back: workers live on between tasks, and allocators keep what they once held."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+
+
+def frugal(function):
+    """A function of Arrow batches, which trims memory now and then and when its task ends."""
+
+    def run(batches):
+        for i, out in enumerate(function(batches)):
+            yield out
+            if i % 16 == 15:
+                trim()
+        trim()
+
+    return run
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Only where a session has
     none, as in tests, one of our own is made."""

@@ -52,7 +52,7 @@ def frequent_pretokens(docs: DataFrame, table: int = TABLE) -> DataFrame:
         top = seen.most_common(TASK_FREQUENT)
         yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["piece", "n"])
 
-    counted = docs.select(F.col("text").cast("string")).mapInArrow(count, "piece string, n long")
+    counted = docs.select(F.col("text").cast("string")).mapInArrow(runtime.frugal(count), "piece string, n long")
     return counted.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(table)
 
 
@@ -83,7 +83,7 @@ def token_counts(docs: DataFrame, limit: int = 1024, table: int = TABLE, vocabul
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(counts, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long").alias("n_bytes"))
-    return rows.mapInArrow(look_up, "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)
+    return rows.mapInArrow(runtime.frugal(look_up), "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import os
 import re
+from functools import cached_property
 
 import numpy as np
 
@@ -40,11 +41,7 @@ def _path(name: str) -> str:
 
 class Encoder:
     def __init__(self, vocabulary: str, ranks: str | None):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(_path(vocabulary))
-        self.fast = None
+        self.vocabulary, self.fast = vocabulary, None
         if ranks:
             import public_tokenizers
             import tiktoken
@@ -53,6 +50,14 @@ class Encoder:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
+    @cached_property
+    def library(self):
+        """Loaded where a text first needs it."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(_path(self.vocabulary))
+
     def ids(self, text: str) -> np.ndarray:
         """Ids of a whole text without added specials, as uint32."""
         if self.fast is not None and not _ODD.search(text):

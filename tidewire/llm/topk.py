@@ -104,7 +104,7 @@ def _block(candidates: DataFrame, queries: dict[int, tuple[np.ndarray, np.ndarra
             sums = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(names) + 1) * lists, lists, dtype=np.int32)), pa.array(least[key].T.ravel()))
             yield pa.RecordBatch.from_arrays([pa.array(names[at[0]]), pa.array(ids[at]), pa.array(scores[at]), sums.take(pa.array(at[0]))], names=["query_id", "vec_id", "score", "least"])
 
-    leading = runtime.written(candidates.mapInArrow(lead, _ANSWERS + ", least array<long>"))
+    leading = runtime.written(candidates.mapInArrow(runtime.frugal(lead), _ANSWERS + ", least array<long>"))
     ranked = leading.withColumn("r", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score")))).filter(F.col("r") <= k)
     lows = leading.groupBy("query_id").agg(*[F.min(F.element_at("least", i + 1)).alias(f"m{i}") for i in range(lists)])
     cut = ranked.groupBy("query_id").agg(F.min("score").alias("cutoff"), F.count("*").alias("n")).join(lows, "query_id")
@@ -134,7 +134,7 @@ def _block(candidates: DataFrame, queries: dict[int, tuple[np.ndarray, np.ndarra
                 at, score = (at[0][order], at[1][order]), score[order]
             yield pa.RecordBatch.from_arrays([pa.array(names[at[0]]), pa.array(ids[at[1]]), pa.array(score)], names=["query_id", "vec_id", "score"])
 
-    return candidates.mapInArrow(resolve, _ANSWERS)
+    return candidates.mapInArrow(runtime.frugal(resolve), _ANSWERS)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = LISTS, scale: int = SCALE) -> DataFrame:
