@@ -16,8 +16,9 @@ _TRIM = r" \t\n\r,，;；"
 
 def _labels(low: Column, table: dict[str, Sequence[str]], order: Sequence[str], default: str, most: int) -> Column:
     """The labels, in order, of which a word occurs in the text; at most `most`; else the default."""
-    found = F.filter(F.array(*[F.when(tx.any_hit(low, table.get(label, ())), F.lit(label)) for label in order]), lambda x: x.isNotNull())
-    return F.slice(F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(default))), 1, most)
+    each = lambda text: F.array(*[F.when(tx.any_hit(text, table.get(label, ())), F.lit(label)) for label in order])
+    found = F.filter(tx.let(low, each), lambda x: x.isNotNull())
+    return tx.let(found, lambda x: F.slice(F.when(F.size(x) > 0, x).otherwise(F.array(F.lit(default))), 1, most))
 
 
 def infer_tags(text: Column | str) -> Column:
@@ -30,11 +31,14 @@ def infer_impact_targets(text: Column | str, taxonomy: Sequence[str] = V.IMPACT_
 
 def topic(tags: Column | str) -> Column:
     """The topic of the first tag."""
-    first = F.trim(F.coalesce(F.try_element_at(tx.col(tags), F.lit(1)), F.lit("")))
-    out = F.lit(V.DEFAULT_TOPIC)
-    for name, members in V.TOPICS:
-        out = F.when(first.isin(*members), F.lit(name)).otherwise(out)
-    return out
+
+    def named(first: Column) -> Column:
+        out = F.lit(V.DEFAULT_TOPIC)
+        for name, members in V.TOPICS:
+            out = F.when(first.isin(*members), F.lit(name)).otherwise(out)
+        return out
+
+    return tx.let(F.trim(F.coalesce(F.try_element_at(tx.col(tags), F.lit(1)), F.lit(""))), named)
 
 
 def event_region(region: Column | str, title: Column | str) -> Column:

@@ -124,7 +124,7 @@ def with_signals(rows: DataFrame, settings: Settings) -> DataFrame:
     """Adds the arrays of hits. Scores and bonuses are functions of these."""
     title, whole = F.lower(tx.strip("title")), F.lower(F.concat_ws(" ", tx.strip("title"), tx.strip("content"), tx.strip("source_name")))
     body = F.lower(F.concat_ws(" ", tx.strip("title"), tx.strip("content")))
-    rows = rows.withColumns({"_title": title, "_all": whole, "_body": body, "_region": F.lower(F.coalesce(F.nullif(tx.strip("region"), F.lit("")), F.lit("foreign")))})
+    rows = _once(rows, {"_title": title, "_all": whole, "_body": body, "_region": F.lower(F.coalesce(F.nullif(tx.strip("region"), F.lit("")), F.lit("foreign")))})
     listed = lambda c: F.filter(F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x: F.lower(F.trim(x))), lambda x: x != "")
     by_region = lambda lists: _in_region(F.col("_region"), lists, lambda ws: F.array(*[F.lit(w) for w in ws]) if ws else F.array().cast("array<string>"))
     core = F.array_sort(F.array_union(by_region(settings.core), listed("s_include_keywords")))
