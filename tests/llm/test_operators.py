@@ -300,6 +300,19 @@ def test_language_model(spark, docs, nothing):
     assert lm.scored(docs, words, counted, network).count() == docs.count()
 
 
+def test_every_training_document_trains(spark):
+    text = " ".join(["alpha beta gamma"] * 30)
+    before, after = [], []
+    for i in range(4):  # each alone, so that none can hide behind another
+        frame = spark.createDataFrame([(i, text)], "doc_id long, text string")
+        words, _, network = lm.fit(frame)
+        ids = [lm._symbols(text.encode().split(), words.words, words.symbols)[0]]
+        first = int(words.symbols[words.words[lm.END]])
+        before.append(lm.Network(words.counts).score(ids, first)[0])
+        after.append(network.score(ids, first)[0])
+    assert all(y > x + 1 for x, y in zip(before, after))
+
+
 def test_network_is_a_distribution_and_windows_carry_state():
     counts = np.random.default_rng(0).integers(0, 50, lm.SYMBOLS)
     net = lm.Network(counts)

@@ -6,8 +6,8 @@ the last two bytes, for all other words; a tail word's probability is its symbol
 of the counts below that symbol, so any text has a proper probability. The softmax is factored: classes
 of symbols, then symbols in a class. Biases start at the unigram probabilities.
 
-Training: truncated backpropagation over windows, state carried on and reset where a document begins. A
-fixed share of the training documents (by hash) is dealt to trainers of about TRAINER_DOCS documents,
+Training: truncated backpropagation over windows, state carried on and reset where a document begins.
+All training documents are dealt (by hash) to trainers of about TRAINER_DOCS documents,
 so their number grows with the input; their parameters are averaged (weighted by tokens) where they
 lie, chunk by chunk, and a second round goes on from the average.
 
@@ -35,7 +35,7 @@ from . import runtime, textscan
 
 SYMBOLS, TAILS, CLASSES, EMBED, STATE = 4096, 64, 64, 16, 24
 LANES, WINDOW, RATE, ROUNDS = 64, 16, 0.05, 2
-SHARE, TRAINER_DOCS = 16, 1500
+TRAINER_DOCS = 1500
 #: Words of the broadcast table; entries at which a task's counter is handed on.
 FREQUENT, COUNTER_ENTRIES = 131_072, 200_000
 #: Documents scored side by side, and states of a window.
@@ -193,7 +193,14 @@ class Network:
         for at in range(0, per, WINDOW):
             xs, ts, fs = given[:, at : at + WINDOW].T, target[:, at : at + WINDOW].T, fresh[:, at : at + WINDOW].T
             grads, h = self.gradients(xs, ts, fs, h)
+            met = np.unique(xs)  # other rows of embed have no gradient
             for k, g in grads.items():
+                if k == "embed":
+                    g = g[met]
+                    squared = squares[k][met] + g * g
+                    squares[k][met] = squared
+                    self.p[k][met] -= RATE * g / np.sqrt(squared)
+                    continue
                 squares[k] += g * g
                 self.p[k] -= RATE * g / np.sqrt(squares[k])
         return n
@@ -221,31 +228,39 @@ class Network:
         dh = y @ p["wc"].T
         order = np.argsort(of, kind="stable")
         edges = np.searchsorted(of[order], np.arange(CLASSES + 1))
-        for c in np.flatnonzero(np.diff(edges)):
-            rows = order[edges[c] : edges[c + 1]]
-            hc = flat[rows]
-            q = hc @ p["ws"][c] + p["bs"][c]
-            q = np.exp(q - q.max(1, keepdims=True))
-            q /= q.sum(1, keepdims=True)
-            q[np.arange(len(rows)), place[rows]] -= 1
-            q *= scale
-            g["ws"][c], g["bs"][c] = hc.T @ q, q.sum(0)
-            dh[rows] += q @ p["ws"][c].T
+        hs_, met = flat[order], np.flatnonzero(np.diff(edges))  # by class
+        q = p["bs"][of[order]]
+        for c in met:
+            q[edges[c] : edges[c + 1]] += hs_[edges[c] : edges[c + 1]] @ p["ws"][c]
+        q = np.exp(q - q.max(1, keepdims=True))
+        q /= q.sum(1, keepdims=True)
+        q[np.arange(len(of)), place[order]] -= 1
+        q *= scale
+        g["bs"][met] = np.add.reduceat(q, edges[met])
+        back = np.empty_like(hs_)
+        for c in met:
+            a, b = edges[c], edges[c + 1]
+            g["ws"][c] = hs_[a:b].T @ q[a:b]
+            back[a:b] = q[a:b] @ p["ws"][c].T
+        dh[order] += back
         dh = dh.reshape(steps, lanes, STATE)
-        dx, carry = np.empty((steps, lanes, 3 * STATE), np.float32), np.zeros((lanes, STATE), np.float32)
+        before, z, r, n, u = (np.stack(x) for x in zip(*saved, strict=True))
+        to_n, to_z, to_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), u[:, :, 2 * STATE :] * r * (1 - r)
+        du, dx_n, carry = np.empty((steps, lanes, 3 * STATE), np.float32), np.empty((steps, lanes, STATE), np.float32), np.zeros((lanes, STATE), np.float32)
+        back, lives = p["wh"].T, (~fs).astype(np.float32)[:, :, None]
         for t in reversed(range(steps)):
-            before, z, r, n, u = saved[t]
             d = dh[t] + carry
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (before - n) * z * (1 - z)
-            dr = dn * u[:, 2 * STATE :] * r * (1 - r)
-            du = np.concatenate([dz, dr, dn * r], 1)
-            dx[t] = np.concatenate([dz, dr, dn], 1)
-            g["wh"] += before.T @ du
-            carry = np.where(fs[t][:, None], np.float32(0), d * z + du @ p["wh"].T)
+            dn = d * to_n[t]
+            dx_n[t], du[t, :, :STATE] = dn, d * to_z[t]
+            du[t, :, STATE : 2 * STATE], du[t, :, 2 * STATE :] = dn * to_r[t], dn * r[t]
+            carry = (d * z[t] + du[t] @ back) * lives[t]
+        g["wh"] += before.reshape(-1, STATE).T @ du.reshape(-1, 3 * STATE)
+        dx = np.concatenate([du[:, :, : 2 * STATE], dx_n], 2)
         flat_dx = dx.reshape(-1, 3 * STATE)
         g["wx"], g["b"] = e.reshape(-1, EMBED).T @ flat_dx, flat_dx.sum(0)
-        np.add.at(g["embed"], xs.ravel(), flat_dx @ p["wx"].T)
+        order = np.argsort(xs, axis=None, kind="stable")
+        at, first = np.unique(xs.ravel()[order], return_index=True)
+        g["embed"][at] = np.add.reduceat((flat_dx @ p["wx"].T)[order], first, axis=0)
         return g, h
 
     def score(self, texts: list[np.ndarray], first: int) -> np.ndarray:
@@ -289,12 +304,11 @@ def _symbols(words: list[bytes], known: dict, symbols: np.ndarray) -> tuple[np.n
     return np.append(found, symbols[known[END]]), ranks
 
 
-def trained(docs: DataFrame, words: Vocabulary, share: int = SHARE) -> Network:
-    """A network trained on every share-th (by hash) of docs, the training documents."""
+def trained(docs: DataFrame, words: Vocabulary) -> Network:
+    """A network trained on all of docs, the training documents."""
     spark = docs.sparkSession
     network = Network(words.counts)
-    h = F.xxhash64(F.lit("trainer"), "doc_id", "text")
-    drawn = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter(F.pmod(h, F.lit(share)) == 0)
+    given = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     held = spark.sparkContext.broadcast((words.words, words.symbols))
 
     def encode(batches):
@@ -302,7 +316,7 @@ def trained(docs: DataFrame, words: Vocabulary, share: int = SHARE) -> Network:
             lists = [_symbols(x, *held.value)[0].astype(np.int16) for x in token_lists(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in lists], pa.binary())], names=["doc_id", "ids"])
 
-    encoded = runtime.written(drawn.mapInArrow(runtime.frugal(encode), "doc_id long, ids binary"))
+    encoded = runtime.written(given.mapInArrow(runtime.frugal(encode), "doc_id long, ids binary"))
     rows = runtime.rows_of(encoded)
     if not rows:
         return network
