@@ -5,7 +5,7 @@ is written as Parquet and read again as the next one's docs. All but the last re
 documents. run() applies them to the table.
 
 1. toxicity: documents that the classifier rejects (score at or above the threshold of their language) go.
-2. line dedup: lines of 40 code points or more that repeat, up to two edits, stay once; documents of which
+2. line dedup: lines that repeat, up to two edits from 40 code points on, stay once; documents of which
    nothing is left but blanks go, unless nothing was there before.
 3. near dedup: of each class of near copies the document with the least doc_id stays (the least text
    among rows that share it).
@@ -32,7 +32,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = line_dedup.deduplicated(docs.select(*COLUMNS))
+    left = line_dedup.deduplicated(docs.select(*COLUMNS), exact_chars=1)
     return left.filter((F.size("lines_removed") == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]")).select(*COLUMNS)
 
 

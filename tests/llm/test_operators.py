@@ -446,6 +446,21 @@ def test_line_dedup(spark, docs, nothing):
     assert line_dedup.deduplicated(docs).count() == docs.count() and line_dedup.deduplicated(nothing).count() == 0
 
 
+def test_short_lines_that_repeat_go(spark, tmp_path):
+    texts = ["All rights reserved.\nown line a\n\nx", "own line b\n  All rights reserved.\n\nx", "All rights reserved!\nx\nx", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    seen, want = set(), {}
+    for i, t in enumerate(texts):
+        want[i] = []
+        for n, x in enumerate((t or "").split("\n")):
+            if x.strip() and x.strip() in seen:
+                want[i].append(str(n))
+            seen.add(x.strip())
+    got = {r.doc_id: r.removed for r in line_dedup.query(spark, str(tmp_path)).collect()}
+    assert got == {i: ",".join(x) for i, x in want.items()} and got[1] == "1,3" and got[2] == "1,2"
+
+
 def test_min_labels(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(100, 200), (200, 150)], "a long, b long")
     got = {r.id: r.label for r in linking.min_labels(links).collect()}
