@@ -229,6 +229,16 @@ def test_near_dedup(spark, docs, nothing):
     assert near_dedup.near_classes(nothing).count() == 0
 
 
+def test_near_copies_without_doc_ids(spark, tmp_path):
+    far = prose(120, 77)
+    frame = spark.createDataFrame([(None, BASE), (None, NEAR), (None, BASE), (None, far), (None, far), (7, prose(120, 78))], "doc_id long, text string")
+    assert len({r.label for r in near_dedup.near_classes(frame).collect()}) == 3
+    kept = [r.text for r in near_dedup.deduplicated(frame).collect()]
+    assert len(kept) == 3 and far in kept and (BASE in kept) != (NEAR in kept)
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    assert sum(r.kept for r in near_dedup.query(spark, str(tmp_path)).collect()) == 3
+
+
 def test_signatures_are_unbiased():
     a = np.arange(1, 301, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     runs, counts, owner = np.concatenate([a, a]), np.concatenate([np.ones(300, int), np.where(np.arange(300) < 100, 3, 1)]), np.repeat([0, 1], 300)

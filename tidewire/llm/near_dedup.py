@@ -157,9 +157,12 @@ def near_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHO
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(x.view(np.int64)) for x in lanes]], names=["doc_id", "payload", "f1", "f2"])
 
         of = wanted.select(F.col("text_doc_id").alias("doc_id")).distinct()
-        near = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(runtime.small(runtime.written(of)), "doc_id", "left_semi")
+        given, of = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), runtime.written(of)
+        near = given.join(runtime.small(of), "doc_id", "left_semi")
+        if not runtime.is_empty(of.filter("doc_id is null")):  # not by a join, which would deal all of them to one task
+            near = near.unionByName(given.filter("doc_id is null"))
         with_digest = near.mapInArrow(runtime.frugal(fingerprint), "doc_id long, payload string, f1 long, f2 long")
-        return with_digest.join(runtime.small(wanted), ["f1", "f2"]).filter(F.col("doc_id") == F.col("text_doc_id")).select("id", "payload").dropDuplicates(["id"])
+        return with_digest.join(runtime.small(wanted), ["f1", "f2"]).filter(F.col("doc_id").eqNullSafe(F.col("text_doc_id"))).select("id", "payload").dropDuplicates(["id"])
 
     def load(column: pa.Array) -> list[np.ndarray]:
         runs, edges, _ = shingles(column, words)
@@ -200,5 +203,10 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     """One row a document: its class and whether it is the one of the class that stays."""
-    found = near_classes(runtime.documents(spark, sf_dir))
-    return found.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    found = runtime.written(near_classes(runtime.documents(spark, sf_dir)).withColumn("row", F.monotonically_increasing_id()))
+    least = F.col("doc_id").eqNullSafe(F.col("class_id"))
+    # rows that share the least doc_id, or have none: the first by digest stays
+    shared = found.filter(least).groupBy("label").agg(F.count("*").alias("n"), F.min(F.struct("digest", "row")).alias("first"))
+    shared = runtime.written(shared.filter("n > 1").select("label", F.col("first.row").alias("first_row")))
+    kept = least & F.coalesce(F.col("row") == F.col("first_row"), F.lit(True))
+    return found.join(runtime.small(shared), "label", "left").select("doc_id", "class_id", kept.alias("kept"))
