@@ -1,0 +1,22 @@
+"""TF-IDF and cosines over whole texts, against brute force."""
+
+import math
+from collections import Counter
+
+from tidewire.plans import contract
+
+
+def test_whole_texts(spark, tmp_path):
+    body = "alpha beta gamma delta epsilon zeta theta iota kappa lambda"
+    texts = [f"first\n{body}", f"other\n{body} alpha", "first\nnothing in common with those words", "last\nred green blue", "red\ngreen blue blue", "one\ntwo the the"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    counts = [Counter(t.split()) for t in texts]
+    df = Counter(w for c in counts for w in c)
+    want = [{w: n / c.total() * (math.log((1 + len(texts)) / (1 + df[w])) + 1) for w, n in c.items()} for c in counts]
+    got = {(r.doc_id, r.term): r.w for r in contract.tfidf_text(spark, str(tmp_path)).collect()}
+    flat = {(i, w): x for i, v in enumerate(want) for w, x in v.items()}
+    assert got.keys() == flat.keys() and all(abs(got[k] - x) < 1e-6 for k, x in flat.items())
+    norm = [math.sqrt(sum(x * x for x in v.values())) for v in want]
+    cosine = {(i, j): sum(x * want[j].get(w, 0) for w, x in want[i].items()) / norm[i] / norm[j] for i in range(6) for j in range(i + 1, 6)}
+    pairs = {(r.a, r.b): r.cosine for r in contract.cosine_pairs_text(spark, str(tmp_path)).collect()}
+    assert pairs.keys() == {k for k, x in cosine.items() if x >= 0.75} >= {(0, 1)} and all(abs(x - cosine[k]) < 1e-6 for k, x in pairs.items())

@@ -31,14 +31,17 @@ def tfidf(rows: DataFrame, key: str, text: Column | str) -> DataFrame:
 
 def cosine_pairs(vectors: DataFrame, key: str, threshold: float) -> DataFrame:
     """a, b (a < b), cosine of the pairs at or above threshold. Vectors are scaled first, and only terms
-    that can bring a pair to the threshold meet: a row's heaviest terms until the rest can't reach it."""
+    that can bring a pair to the threshold meet: a row's rarest terms until the rest can't reach it."""
     norms = vectors.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")).filter("norm > 0")
     unit = vectors.join(norms, key).select(F.col(key).alias("k"), "term", (F.col("w") / F.col("norm")).alias("w"))
-    # the squares of what is left out sum to less than threshold**2, so a pair at threshold shares a kept term of each side
-    left = F.coalesce(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("k").orderBy("w", "term").rowsBetween(W.unboundedPreceding, 0)), F.lit(0.0))
-    heads = unit.withColumn("left", left).filter(F.col("left") >= threshold * threshold - 1e-9).select("k", "term")
-    a, b = heads.select(F.col("k").alias("a"), "term"), unit.select(F.col("k").alias("b"), "term")
-    met = a.join(b, "term").filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # terms have one order, so the rarest that a pair shares is a head of both: all they share is left out of a row else, and
+    # what is left out has a norm below threshold
+    held = unit.groupBy("term").agg(F.count("*").alias("df"))
+    order = W.partitionBy("k").orderBy(F.desc("df"), "term").rowsBetween(W.unboundedPreceding, 0)
+    left = F.coalesce(F.sum(F.col("w") * F.col("w")).over(order), F.lit(0.0))
+    heads = unit.join(held, "term").withColumn("left", left).filter(F.col("left") >= threshold * threshold - 1e-9).select("k", "term")
+    a, b = heads.select(F.col("k").alias("a"), "term"), heads.select(F.col("k").alias("b"), "term")
+    met = a.join(b, "term").filter("a < b").select("a", "b").distinct()
     full = met.join(unit.select(F.col("k").alias("a"), "term", F.col("w").alias("wa")), "a").join(unit.select(F.col("k").alias("b"), "term", F.col("w").alias("wb")), ["b", "term"])
     return full.groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine")).filter(F.col("cosine") >= threshold - 1e-12)
 

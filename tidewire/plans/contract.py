@@ -163,6 +163,17 @@ def cosine_pairs(spark, d):
     return similarity.cosine_pairs(vectors, "doc_id", 0.75).select("a", "b", F.round("cosine", 6).alias("cosine"))
 
 
+def tfidf_text(spark, d):
+    """tfidf over whole texts."""
+    return similarity.tfidf(_docs(spark, d), "doc_id", "text").select("doc_id", "term", F.round("w", 6).alias("w"))
+
+
+def cosine_pairs_text(spark, d):
+    """cosine_pairs over whole texts."""
+    vectors = similarity.tfidf(_docs(spark, d), "doc_id", "text")
+    return similarity.cosine_pairs(vectors, "doc_id", 0.75).select("a", "b", F.round("cosine", 6).alias("cosine"))
+
+
 def semantic_dedup(spark, d):
     rows = _sketches(spark, d)
     pairs = similarity.cosine_pairs(similarity.tfidf(rows, "doc_id", "sketch"), "doc_id", 0.75)
@@ -299,7 +310,7 @@ def parse_dates(spark, d):
 
 _QUERIES = (
     clean_text_pages, normalize_title_docs, normalize_url_pages, tokenize_counts, detect_language_docs, dedup_link_pages, dedup_title_docs, history_antijoin, prev_day_window, recency_days,
-    keyword_hits, relevance_score, drop_reasons_top3, pass_rate, kept_by_source, stage_funnel, reason_method_pivot, url_rules, source_cap, tfidf, cosine_pairs, semantic_dedup, title_jaccard_dedup, infer_tags,
+    keyword_hits, relevance_score, drop_reasons_top3, pass_rate, kept_by_source, stage_funnel, reason_method_pivot, url_rules, source_cap, tfidf, cosine_pairs, tfidf_text, cosine_pairs_text, semantic_dedup, title_jaccard_dedup, infer_tags,
     impact_distribution, topic_digest, notify_topn, company_infer, region_infer, sentence_validate, article_extract, link_extract, page_titles, enrich_longer, seen_upsert, cache_ttl, error_classify, source_health, config_violations, parse_dates,
 )
 
