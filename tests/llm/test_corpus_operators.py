@@ -336,6 +336,41 @@ def test_network_is_a_distribution_and_windows_carry_state():
     lm.WINDOW_STATES = was
 
 
+def test_scores_are_those_of_the_plain_recurrence():
+    r = np.random.default_rng(5)
+    net = lm.Network(r.integers(0, 50, lm.SYMBOLS))
+    net.p["wc"], net.p["ws"] = net.p["wc"] * 20, net.p["ws"] * 20
+    p, s = {k: x.astype(float) for k, x in net.p.items()}, lm.STATE
+    texts = [r.integers(0, lm.SYMBOLS, n).astype(np.int16) for n in (40, 1, 133)]
+    got = net.score(texts, 64)
+    for text, mine in zip(texts, got):
+        h, given, total = np.zeros(s), 64, 0.0
+        for t in text.tolist():
+            x, u = p["embed"][given] @ p["wx"] + p["b"], h @ p["wh"]
+            z, g = (1 / (1 + np.exp(-(x + u)[i * s : (i + 1) * s])) for i in (0, 1))
+            h = (1 - z) * np.tanh(x[2 * s :] + g * u[2 * s :]) + z * h
+            a, b = h @ p["wc"] + p["bc"], h @ p["ws"][t % lm.CLASSES] + p["bs"][t % lm.CLASSES]
+            total += a[t % lm.CLASSES] - np.log(np.exp(a).sum()) + b[t // lm.CLASSES] - np.log(np.exp(b).sum())
+            given = t
+        assert abs(mine - total / np.log(10)) < 1e-3 * abs(mine)
+
+
+def test_language_model_beats_the_base_on_held_out_documents(spark):
+    rows = [r for r in lm.query(spark, "/root/testdata/sf0.01").collect() if r.held_out]
+    n = sum(r.n_tokens for r in rows)
+    assert sum(r.score for r in rows) / n > sum(r.base_score for r in rows) / n + 0.3
+
+
+def test_models_average_by_levels(spark, monkeypatch):
+    texts = [(i, " ".join(random.Random(i).choices(["alpha", "beta", "gamma"], k=40))) for i in range(60)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    monkeypatch.setattr(lm, "TRAINER_TOKENS", 100)
+    monkeypatch.setattr(lm, "PIECE_TOKENS", 16)
+    one = lm.fit(frame)[2].flat()
+    monkeypatch.setattr(lm, "AVERAGED", 3)
+    assert np.allclose(lm.fit(frame)[2].flat(), one, atol=1e-5) and not np.allclose(one, lm.Network(lm.fit(frame)[0].counts).flat(), atol=1e-3)
+
+
 def test_gradients():
     net = lm.Network(np.ones(lm.SYMBOLS, int))
     r = np.random.default_rng(2)

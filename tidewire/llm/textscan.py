@@ -78,12 +78,10 @@ def word_hashes(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.nd
     return hashes, bounds
 
 
-def word_parts(column: pa.Array, lower: bool = True, prefixes: tuple[int, ...] = (), letters: bool = False) -> tuple[list[np.ndarray], np.ndarray]:
-    """([hashes of words, hashes of their first n bytes for each n], bounds); a word shorter than n
-    has 0 there. With letters, words are runs of letters and digits (and bytes above 127)."""
-    raw, offsets = text_bytes(column)
+def word_slices(raw: np.ndarray, offsets: np.ndarray, lower: bool = True, prefixes: tuple[int, ...] = (), letters: bool = False):
+    """For each slice of texts' bytes: the hashes of its words, those of their first n bytes for each n (0 where a word
+    is shorter), and where the words start and end."""
     space = (_PUNCTUATION if letters else _SPACE)[raw]
-    hashes, firsts = [[] for _ in (0, *prefixes)], []
     for a, b in _slices(space, offsets):
         part = raw[a:b]
         if lower:
@@ -101,11 +99,18 @@ def word_parts(column: pa.Array, lower: bool = True, prefixes: tuple[int, ...] =
             total = np.zeros(b - a + 1, np.uint64)
             np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[: b - a], out=total[1:])
             base, back = total[s], down[s]
-            hashes[0].append(mix((total[e] - base) * back + (e - s).astype(np.uint64)))
-            for n, found in zip(prefixes, hashes[1:], strict=True):
+            hashes = [mix((total[e] - base) * back + (e - s).astype(np.uint64))]
+            for n in prefixes:
                 stop = np.minimum(s + n, e)
-                found.append(np.where(e - s >= n, mix((total[stop] - base) * back + np.uint64(1 << 40) * np.uint64(n)), np.uint64(0)))
-        firsts.append(s + a)
-    if not firsts:
-        return [np.empty(0, np.uint64) for _ in hashes], np.zeros(len(offsets), np.int64)
-    return [np.concatenate(x) for x in hashes], np.searchsorted(np.concatenate(firsts), offsets)
+                hashes.append(np.where(e - s >= n, mix((total[stop] - base) * back + np.uint64(1 << 40) * np.uint64(n)), np.uint64(0)))
+        yield hashes, s + a, e + a
+
+
+def word_parts(column: pa.Array, lower: bool = True, prefixes: tuple[int, ...] = (), letters: bool = False) -> tuple[list[np.ndarray], np.ndarray]:
+    """([hashes of words, hashes of their first n bytes for each n], bounds); a word shorter than n
+    has 0 there. With letters, words are runs of letters and digits (and bytes above 127)."""
+    raw, offsets = text_bytes(column)
+    found = list(word_slices(raw, offsets, lower, prefixes, letters))
+    if not found:
+        return [np.empty(0, np.uint64) for _ in (0, *prefixes)], np.zeros(len(offsets), np.int64)
+    return [np.concatenate(x) for x in zip(*(hashes for hashes, _, _ in found), strict=True)], np.searchsorted(np.concatenate([s for _, s, _ in found]), offsets)
