@@ -6,13 +6,13 @@ which any alike line holds one unedited, within a few places of where it stood;
 line (with its length) and the substrings at those places of lines up to EDITS longer (probing with
 the shorter length) meet in a bucket. Candidates are verified by a banded bit-parallel edit distance.
 Of each class of lines linked so, the first line by (doc_id, digest of the text, line number) stays.
-With exact_chars, shorter lines of that many code points or more are alike if they are equal; segments
-of so few points would tie lines that have little else in common. The query and the pipeline set it to 1.
+Shorter lines, of EXACT_CHARS code points or more, are alike if they are equal: two edits in so few points,
+and segments of so few, would tie lines that have little else in common.
 
 Shuffled are hashes and places, and text only of candidate lines and of documents that lose lines. Copies
 of one line are one item, so a line may make up any share of all rows.
 
-Defined results: null text counts as empty and stays null; lines shorter than MIN_CHARS and exact_chars always stay; rows equal in
+Defined results: null text counts as empty and stays null; blank lines always stay; rows equal in
 doc_id and text keep the same lines; a document may lose all its lines and then has an empty text;
 an empty table gives no rows; columns other than text and n_chars are handed on unchanged.
 """
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import linking, runtime, textscan
 
-MIN_CHARS, EDITS = 40, 2
+MIN_CHARS, EXACT_CHARS, EDITS = 40, 1, 2
 #: Groups of letters by whose counts pairs in large buckets are ruled out.
 LETTERS = 16
 #: Code points of lines that are hashed at a time.
@@ -233,7 +233,7 @@ def line_classes(docs: DataFrame, places: DataFrame, min_chars: int = MIN_CHARS,
     return linking.classes(buckets, payload, lambda column: column.to_pylist(), lambda a, b: within(a, b, edits), vectors=vectors, most_apart=2 * edits)
 
 
-def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS, exact_chars: int = MIN_CHARS) -> DataFrame:
+def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS, exact_chars: int = EXACT_CHARS) -> DataFrame:
     """doc_id, digest, removed: the numbers of the lines that go, for documents that lose some."""
     places = runtime.written(occurrences(docs, min(min_chars, exact_chars)))
     labels = line_classes(docs, places, min_chars, edits)
@@ -247,20 +247,22 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDIT
     return again.groupBy("doc_id", "digest").agg(F.array_sort(F.collect_set("number")).alias("removed"))
 
 
-def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS, exact_chars: int = MIN_CHARS) -> DataFrame:
-    """docs with the removed lines gone from text (n_chars follows, if there), and two columns more:
-    lines_before and lines_removed (numbers from 0)."""
-    gone = runtime.written(removed_lines(docs, min_chars, edits, exact_chars)).toDF("_id", "_digest", "lines_removed")
-    keyed = docs.withColumn("_of", F.xxhash64(F.col("text").cast("string")))
-    both = keyed.join(runtime.small(gone), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_digest")), "left")
+def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS, exact_chars: int = EXACT_CHARS) -> DataFrame:
+    """docs with the removed lines gone from text (n_chars follows, if there), and two columns, in place of any of
+    these names: lines_before and lines_removed (numbers from 0)."""
+    docs = docs.drop("lines_before", "lines_removed")
+    gone = runtime.written(removed_lines(docs, min_chars, edits, exact_chars))
+    own, of, digest, removed = runtime.unused(docs, "own_digest", "gone_id", "gone_digest", "gone_lines")
+    keyed = docs.withColumn(own, F.xxhash64(F.col("text").cast("string")))
+    both = keyed.join(runtime.small(gone.toDF(of, digest, removed)), F.col("doc_id").cast("long").eqNullSafe(F.col(of)) & (F.col(own) == F.col(digest)), "left")
     lines = F.split(F.col("text").cast("string"), "\n", -1)
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("lines_removed", i)), "\n")
-    out = both.withColumn("lines_before", F.coalesce(F.size(lines), F.lit(0))).withColumn("text", F.when(F.col("lines_removed").isNull(), F.col("text").cast("string")).otherwise(left))
-    out = out.withColumn("lines_removed", F.coalesce("lines_removed", F.array().cast("array<int>"))).drop("_of", "_id", "_digest")
+    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(removed, i)), "\n")
+    out = both.withColumn("lines_before", F.coalesce(F.size(lines), F.lit(0))).withColumn("text", F.when(F.col(removed).isNull(), F.col("text").cast("string")).otherwise(left))
+    out = out.withColumn("lines_removed", F.coalesce(removed, F.array().cast("array<int>"))).drop(own, of, digest, removed)
     return out.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """One row a document: its lines, those that go, and the digest of what is left."""
     docs = runtime.documents(spark, sf_dir).select("doc_id", "text")
-    return deduplicated(docs, exact_chars=1).select("doc_id", F.col("lines_before").alias("n_lines"), F.size("lines_removed").alias("n_removed"), F.array_join(F.col("lines_removed").cast("array<string>"), ",").alias("removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("left_sha256"))
+    return deduplicated(docs).select("doc_id", F.col("lines_before").alias("n_lines"), F.size("lines_removed").alias("n_removed"), F.array_join(F.col("lines_removed").cast("array<string>"), ",").alias("removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("left_sha256"))

@@ -193,12 +193,13 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     one of rows that are equal in both."""
     found = near_classes(docs)
     place = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id"), F.col("digest"))
-    first = runtime.written(found.groupBy("label").agg(F.min(place).alias("p")).select(F.col("p.doc_id").alias("_id"), F.col("p.digest").alias("_digest")))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_digest"))
+    of, digest = runtime.unused(docs, "first_id", "first_digest")
+    first = runtime.written(found.groupBy("label").agg(F.min(place).alias("p")).select(F.col("p.doc_id").alias(of), F.col("p.digest").alias(digest)))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(of)) & (F.xxhash64(F.col("text").cast("string")) == F.col(digest))
     kept = docs.join(runtime.small(first), same)
     if not runtime.is_empty(found.groupBy("doc_id", "digest").count().filter("count > 1")):
-        kept = kept.dropDuplicates(["_id", "_digest"])
-    return kept.drop("_id", "_digest")
+        kept = kept.dropDuplicates([of, digest])
+    return kept.drop(of, digest)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -87,6 +87,17 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows_of(df) <= rows else df
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of df has."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def is_empty(df: DataFrame) -> bool:
     return not rows_of(df) if hasattr(df, "_rows_written") else not df.take(1)
 
