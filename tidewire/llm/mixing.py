@@ -8,10 +8,7 @@ blocks, so no pass takes a word twice and at most MAX_PASSES passes are made.
 
 Shuffled are one small row a document, one a block that a document touches, and one a slot; never text.
 Ranks and offsets are prefix sums in two levels (in chunks or hash buckets, then over their totals), so
-no source's rows meet in one task.
-
-The table of sources is gathered on the driver: a mix is over a list of sources that a person weighs,
-at most SOURCES of them (more raise an error).
+no source's rows meet in one task. Sources are a table like any other, of any length.
 
 Defined results: null text has size 0; a null source is a source of its own, last in order; texts
 without words take 0; repeated rows are rows of their own; an empty table gives no rows; other columns
@@ -20,6 +17,8 @@ are ignored.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,7 +29,6 @@ from . import runtime
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_PASSES = 3
-SOURCES = 100_000
 #: Words of a block at most, slots of a source at least (fewer if it has fewer words), slots of a chunk.
 BLOCK_WORDS, SOURCE_SLOTS, CHUNK = 4096, 1024, 1 << 16
 _GOLDEN = 0x9E3779B97F4A7C15  # 2**64 / golden ratio
@@ -42,7 +40,8 @@ def word_count(text):
 
 
 def capped_targets(sizes: list[int], weights: list[float], cap: float = MAX_PASSES) -> list[float]:
-    """Shares of sum(sizes) by weight, none above cap times its size; excess goes to the others by weight."""
+    """Shares of sum(sizes) by weight, none above cap times its size; excess goes to the others by weight.
+    (The rule of source_table, for a list.)"""
     targets, left, rest = [0.0] * len(sizes), set(range(len(sizes))), float(sum(sizes))
     while left:
         total = sum(weights[i] for i in left)
@@ -58,84 +57,115 @@ def capped_targets(sizes: list[int], weights: list[float], cap: float = MAX_PASS
     return targets
 
 
-def source_table(sized: DataFrame, weights=WEIGHTS) -> list[dict]:
-    """For each source, by code point with null last: index, size, target, words a block, blocks, slots."""
-    rows = sized.groupBy("source").agg(F.sum("size").alias("size")).orderBy(F.asc_nulls_last("source")).limit(SOURCES + 1).collect()
-    if len(rows) > SOURCES:
-        raise ValueError(f"more than {SOURCES} sources")
-    targets = capped_targets([r.size for r in rows], [weights[i % len(weights)] for i in range(len(rows))])
-    table = []
-    for i, (r, target) in enumerate(zip(rows, targets, strict=True)):
-        block = max(1, min(BLOCK_WORDS, int(target) // SOURCE_SLOTS))
-        table.append({"s": i, "source": r.source, "source_size": r.size, "target": target, "block_words": block, "blocks": -(-r.size // block), "slots": round(target / block)})
-    return table
-
-
-def schedule(spark, table: list[dict]) -> DataFrame:
-    """slot, s, rank: the source of every slot and the slot's rank among that source's."""
-    total = sum(x["slots"] for x in table)
+def running(rows: DataFrame, value: str, before: str) -> DataFrame:
+    """rows, a written table with place (from monotonically_increasing_id(), so ordered within each partition),
+    with the sum of value over all rows of lesser place: over partitions' totals, and within each."""
+    part = F.shiftright("place", 33)
+    totals = rows.groupBy(part.alias("part")).agg(F.sum(value).alias("n"))
+    bases = totals.select("part", F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("base"))  # a row a partition
+    inside = W.partitionBy("part").orderBy("place").rowsBetween(W.unboundedPreceding, -1)
+    within = rows.withColumn("part", part).withColumn("inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return within.join(F.broadcast(bases), "part").withColumn(before, F.col("base") + F.col("inside")).drop("part", "base", "inside")
+
+
+def source_table(sized: DataFrame, weights=WEIGHTS) -> DataFrame:
+    """s (number by code point, null last), name, source_size, target, block_words, blocks, slots, first_slots (slots of
+    earlier sources): a written table with a row for each source, however many there are."""
+    by_name = sized.groupBy(F.col("source").alias("name")).agg(F.sum("size").alias("source_size")).orderBy(F.asc_nulls_last("name"))
+    listed = runtime.written(by_name.withColumn("place", F.monotonically_increasing_id()).withColumn("one", F.lit(1)))
+    numbered = running(listed, "one", "s").withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("s") % len(weights) + 1).cast("int")))
+    numbered = runtime.written(numbered.select("s", "place", "name", "source_size", "weight"))
+    level, most = 0.0, F.lit(float(MAX_PASSES)) * F.col("source_size")
+    total = numbered.agg(F.sum("source_size")).first()[0] or 0
+    while True:  # the words a unit of weight gets; it only rises, as sources reach their caps
+        full = F.lit(level) * F.col("weight") > most
+        taken, left = numbered.agg(F.sum(F.when(full, most)), F.sum(F.when(~full, F.col("weight")))).first()
+        after = max(0.0, total - (taken or 0.0)) / left if left else level
+        if after <= level * (1 + 1e-12):
+            break
+        level = after
+    target = F.least(most, F.lit(level) * F.col("weight"))
+    block = F.greatest(F.lit(1), F.least(F.lit(BLOCK_WORDS), F.floor(target / SOURCE_SLOTS))).cast("long")
+    planned = numbered.withColumn("target", target).withColumn("block_words", block)
+    planned = planned.withColumn("blocks", F.ceil(F.col("source_size") / F.col("block_words"))).withColumn("slots", F.round(F.col("target") / F.col("block_words")).cast("long"))
+    return runtime.written(running(runtime.written(planned.drop("weight")), "slots", "first_slots").drop("place"))
+
+
+def schedule(spark, table: DataFrame) -> DataFrame:
+    """slot, s, rank: the source of every slot and the slot's rank among that source's. table has s, slots and
+    first_slots. A slot's point is met with the first points of the sources' shares in a range of points, so a
+    range's task holds neither all slots nor all sources."""
+    total = int(table.agg(F.sum("slots")).first()[0] or 0)
     if not total:
-        return spark.createDataFrame([], "slot long, s int, rank long")
+        return spark.createDataFrame([], "slot long, s long, rank long")
     runtime.prepare(spark)
-    edges = np.array([min((1 << 64) - 1, (e << 64) // total) for e in np.cumsum([x["slots"] for x in table], dtype=object)][:-1], np.uint64)
-
-    def drawn(chunk: int) -> np.ndarray:
-        slots = np.arange(chunk * CHUNK, min(total, (chunk + 1) * CHUNK), dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            return np.searchsorted(edges, slots * np.uint64(_GOLDEN), side="right")
+    chunks = -(-total // CHUNK)
+    bits = min(20, max(4, chunks.bit_length()))  # of a point, that choose its range
 
-    def counts(batches):
+    def points(batches):
         for batch in batches:
             for c in batch.column(0).to_pylist():
-                s, n = np.unique(drawn(c), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), c)), pa.array(s.astype(np.int32)), pa.array(n.astype(np.int64))], names=["chunk", "s", "n"])
-
-    def ranked(t: pa.Table) -> pa.Table:
-        chunk = t.column("chunk")[0].as_py()
-        s = drawn(chunk)
-        base = np.zeros(int(s.max()) + 1, np.int64)
-        base[t.column("s").to_numpy()] = t.column("before").to_numpy()
-        order = np.argsort(s, kind="stable")
-        first = np.searchsorted(s[order], np.arange(len(base)))
-        rank = np.empty(len(s), np.int64)
-        rank[order] = np.arange(len(s)) - first[s[order]]
-        return pa.table({"slot": pa.array(np.arange(len(s), dtype=np.int64) + chunk * CHUNK), "s": pa.array(s.astype(np.int32)), "rank": pa.array(rank + base[s])})
-
-    chunks = -(-total // CHUNK)
-    per_chunk = spark.range(0, chunks, 1, min(chunks, 1024)).mapInArrow(counts, "chunk long, s int, n long")
+                slots = np.arange(c * CHUNK, min(total, (c + 1) * CHUNK), dtype=np.uint64)
+                with np.errstate(over="ignore"):
+                    point = slots * np.uint64(_GOLDEN)
+                yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int64)), pa.array((point ^ np.uint64(1 << 63)).view(np.int64))], names=["slot", "point"])
+
+    drawn = spark.range(0, chunks, 1, min(chunks, 1024)).mapInArrow(runtime.frugal(points), "slot long, point long")
+    # a share begins at first_slots / total of all points, shifted to signed ones
+    whole = F.floor(F.col("first_slots").cast("decimal(18,0)") * F.lit(Decimal(1 << 64)) / F.lit(total).cast("decimal(18,0)"))
+    edges = table.filter("slots > 0").select("s", (whole.cast("decimal(20,0)") - F.lit(Decimal(1 << 63))).cast("long").alias("point"))
+    zone = F.shiftright(F.col("point"), 64 - bits)
+    edges = runtime.written(edges.withColumn("zone", zone))
+    last = edges.groupBy("zone").agg(F.max(F.struct("point", "s")).alias("last"))  # a row a range at most
+    zones = spark.range(-(1 << (bits - 1)), 1 << (bits - 1)).withColumnRenamed("id", "zone").join(F.broadcast(last), "zone", "left")
+    opening = zones.select("zone", F.last("last.s", ignorenulls=True).over(W.orderBy("zone").rowsBetween(W.unboundedPreceding, -1)).alias("opening"))
+    marks = edges.select("zone", "point", F.lit(-1).cast("long").alias("slot"), "s").unionByName(drawn.select(zone.alias("zone"), "point", "slot", F.lit(None).cast("long").alias("s")))
+    at = W.partitionBy("zone").orderBy("point", "slot").rowsBetween(W.unboundedPreceding, 0)
+    met = marks.withColumn("met", F.last("s", ignorenulls=True).over(at)).filter("slot >= 0").join(F.broadcast(opening), "zone")
+    found = runtime.written(met.select("slot", F.coalesce("met", "opening").alias("s"), F.floor(F.col("slot") / CHUNK).alias("chunk")))
     earlier = W.partitionBy("s").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
-    bases = per_chunk.select("chunk", "s", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    return bases.groupBy("chunk").applyInArrow(ranked, "slot long, s int, rank long")
+    bases = found.groupBy("s", "chunk").agg(F.count("*").alias("n")).select("s", "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    inside = found.withColumn("inside", F.row_number().over(W.partitionBy("s", "chunk").orderBy("slot")) - 1)
+    return inside.join(bases, ["s", "chunk"]).select("slot", "s", (F.col("base") + F.col("inside")).alias("rank"))
 
 
 def offsets(sized: DataFrame, rows: int) -> DataFrame:
-    """Adds start: the words that precede each row in its source's shuffled line; rows of size > 0."""
+    """Adds start: the words that precede each row in its source's shuffled line; rows of size > 0. Rows are dealt to
+    buckets by doc_id and text; rows equal in both are dealt by the partition they were written in, too."""
     buckets = max(64, rows // 100_000)
-    h = sized.filter("size > 0").withColumn("h", F.xxhash64(F.lit(7), "doc_id")).withColumn("k", F.pmod("h", F.lit(buckets)))
+    some = sized.filter("size > 0")
+    again = runtime.written(some.groupBy("doc_id", "digest").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("of"), F.col("digest").alias("of_digest")))
+    copies = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_digest"))
+    h = some.join(runtime.small(again), copies, "left").withColumn("salt", F.when(F.col("of_digest").isNotNull(), F.shiftright("row", 33)).otherwise(0)).drop("of", "of_digest")
+    h = h.withColumn("h", F.xxhash64(F.lit(7), "doc_id", "digest", "salt")).withColumn("k", F.pmod("h", F.lit(buckets)))
     before = W.partitionBy("s").orderBy("k").rowsBetween(W.unboundedPreceding, -1)
     base = h.groupBy("s", "k").agg(F.sum("size").alias("n")).select("s", "k", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    inside = W.partitionBy("s", "k").orderBy("h", "doc_id", "digest").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("s", "k").orderBy("h", "doc_id", "digest", "row").rowsBetween(W.unboundedPreceding, -1)
     placed = h.withColumn("inner_start", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    return placed.join(base, ["s", "k"]).withColumn("start", F.col("base") + F.col("inner_start")).drop("h", "k", "base", "inner_start")
+    return placed.join(base, ["s", "k"]).withColumn("start", F.col("base") + F.col("inner_start")).drop("h", "k", "salt", "base", "inner_start")
 
 
 def mixed(docs: DataFrame, weights=WEIGHTS) -> DataFrame:
     """doc_id, source, size, digest (of the text), source_size, target, taken: a row for each document."""
     spark = docs.sparkSession
-    sized = runtime.written(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size"), F.xxhash64(F.col("text").cast("string")).alias("digest")))
+    sized = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size"), F.xxhash64(F.col("text").cast("string")).alias("digest"))
+    sized = runtime.written(sized.withColumn("row", F.monotonically_increasing_id()))
     table = source_table(sized, weights)
-    known = spark.createDataFrame([tuple(x.values()) for x in table], "s int, name string, source_size long, target double, block_words long, blocks long, slots long")
-    rows = sized.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("name"))).drop("name")
+    known = table.drop("slots", "first_slots")
+    known._rows_written = runtime.rows_of(table)
+    rows = sized.join(runtime.small(known), F.col("source").eqNullSafe(F.col("name"))).drop("name")
+    passes = known.select("s", "blocks")
+    passes._rows_written = runtime.rows_of(table)
     took = (
-        schedule(spark, table).join(F.broadcast(known.select("s", "blocks")), "s")
+        schedule(spark, table).join(runtime.small(passes), "s")
         .filter(F.col("rank") < MAX_PASSES * F.col("blocks"))
         .groupBy("s", (F.col("rank") % F.col("blocks")).alias("block")).agg(F.count("*").alias("passes"))
     )
-    placed = offsets(rows, sized.count())
+    placed = offsets(rows, runtime.rows_of(sized))
     touched = placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / F.col("block_words")), F.floor((F.col("start") + F.col("size") - 1) / F.col("block_words")))))
     overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * F.col("block_words")) - F.greatest(F.col("start"), F.col("block") * F.col("block_words"))
     keys = ["doc_id", "source", "size", "digest", "source_size", "target"]
-    some = touched.join(took, ["s", "block"], "left").groupBy(*keys, "start").agg(F.sum(overlap * F.coalesce("passes", F.lit(0))).alias("taken"))
+    some = touched.join(took, ["s", "block"], "left").groupBy("row", *keys).agg(F.sum(overlap * F.coalesce("passes", F.lit(0))).alias("taken"))
     none = rows.filter("size = 0").select(*keys, F.lit(0).cast("long").alias("taken"))
     return some.select(*keys, F.col("taken").cast("long").alias("taken")).unionByName(none)
 
@@ -145,11 +175,12 @@ def repeated(docs: DataFrame, weights=WEIGHTS) -> DataFrame:
     up with that probability by a hash of the row. Rows equal in doc_id, source and text share alike."""
     takes = mixed(docs, weights).filter("size > 0").groupBy("doc_id", "source", "digest").agg((F.sum("taken") / F.sum("size")).alias("rate"))
     chance = F.pmod(F.xxhash64(F.lit("round"), "doc_id", "digest"), F.lit(1 << 30)) / float(1 << 30)
-    takes = takes.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("digest").alias("_digest"), F.floor(F.col("rate") + chance).cast("int").alias("_times"))
-    takes = runtime.written(takes.filter("_times > 0"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & F.col("source").cast("string").eqNullSafe(F.col("_source")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_digest"))
+    of, source, digest, times, time = runtime.unused(docs, "take_id", "take_source", "take_digest", "take_times", "take_time")
+    takes = takes.select(F.col("doc_id").alias(of), F.col("source").alias(source), F.col("digest").alias(digest), F.floor(F.col("rate") + chance).cast("int").alias(times))
+    takes = runtime.written(takes.filter(F.col(times) > 0))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(of)) & F.col("source").cast("string").eqNullSafe(F.col(source)) & (F.xxhash64(F.col("text").cast("string")) == F.col(digest))
     rows = docs.join(runtime.small(takes), same)
-    return rows.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_id", "_source", "_digest", "_times", "_time")
+    return rows.withColumn(time, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(of, source, digest, times, time)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
