@@ -1,10 +1,13 @@
 """Best-fit packing of tokenised documents into sequences of bounded length.
 
 Each document's ids, with an end id, are one piece unless longer than a sequence; then they are cut
-into full pieces, of which only the first may be shorter. Pieces are dealt by hash into groups and
-packed best fit decreasing: a segment tree over the remaining capacities finds the tightest open
-sequence for a piece in logarithmic time. Only lengths are shuffled, never text. A group leaves at
-most about one sequence unfilled, which the group's size makes negligible.
+into full pieces, of which only the first may be shorter. All pieces are packed together, best fit
+decreasing: a segment tree over the remaining capacities finds the tightest open sequence for a piece in
+logarithmic time. Pieces of one length are alike, so the plan is made from the counts of lengths alone (a row
+for each length up to a sequence's): open sequences of one history are a class, and a run of pieces goes to a
+class at once, several to a sequence while they fit, just as one by one. A length's run can split two classes,
+so the plan has a bounded size too, whatever the number of pieces. A piece's rank among its length's then
+says its place. Only lengths are shuffled, never text.
 
 Defined results: null text counts as empty (one end id); repeated rows are packed each, also under one
 doc_id, null doc_ids too; an empty table gives no rows; extra columns are ignored.
@@ -18,12 +21,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from . import runtime, tokens
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Pieces a group holds on average.
-GROUP_PIECES = 2500
 
 
 def pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, vocabulary: str = tokens.VOCABULARY, ranks: str | None = tokens.RANKS) -> DataFrame:
@@ -44,15 +46,15 @@ def pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, vocabulary: s
 
 
 class OpenBins:
-    """Open bins by remaining capacity. The tree's node counts the bins below it."""
+    """Open bins by remaining capacity. The tree's node counts the entries below it."""
 
     def __init__(self, capacity: int):
         self.size = 1 << capacity.bit_length()
         self.count = [0] * (2 * self.size)
-        self.bins: list[list[int]] = [[] for _ in range(capacity + 1)]
+        self.bins: list[list] = [[] for _ in range(capacity + 1)]
 
-    def put(self, room: int, bin_id: int) -> None:
-        self.bins[room].append(bin_id)
+    def put(self, room: int, entry) -> None:
+        self.bins[room].append(entry)
         self._add(room, 1)
 
     def _add(self, room: int, d: int) -> None:
@@ -61,8 +63,8 @@ class OpenBins:
             self.count[k] += d
             k >>= 1
 
-    def take(self, least: int) -> tuple[int, int] | None:
-        """(room, bin) of the open bin with the least room of at least `least`."""
+    def take(self, least: int) -> tuple | None:
+        """(room, entry) with the least room of at least `least`."""
         k = least + self.size
         if not self.count[k]:
             while k > 1 and (k & 1 or not self.count[k + 1]):
@@ -77,34 +79,74 @@ class OpenBins:
         return room, self.bins[room].pop()
 
 
-def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bin, offset) of each length, none above capacity; bins count from 0."""
-    bins, offsets, made, tree = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64), 0, OpenBins(capacity)
-    for i in np.argsort(-lengths, kind="stable"):
-        n = int(lengths[i])
-        room, b = tree.take(n) or (capacity, made)
-        made += b == made
-        bins[i], offsets[i] = b, capacity - room
-        if room > n:
-            tree.put(room - n, b)
-    return bins, offsets
-
+def plan(counts: dict[int, int], capacity: int) -> tuple[np.ndarray, int]:
+    """(rows of length, first rank, first bin, pieces a bin, offset of the first; the number of bins) by best fit
+    decreasing over counts of lengths."""
+    runs, made, tree = [], 0, OpenBins(capacity)  # entries: (first bin, bins) of one history
+    for n in sorted(counts, reverse=True):
+        rank, left = 0, counts[n]
+        while left:
+            room, (first, bins) = tree.take(n) or (capacity, (made, -(-left // (capacity // n))))
+            if first == made:
+                made += bins
+            each = room // n  # the tightest bin stays the tightest until n doesn't fit it
+            full = min(bins, left // each)
+            if full:
+                runs.append((n, rank, first, each, capacity - room))
+                if room - each * n:
+                    tree.put(room - each * n, (first, full))
+                rank, left = rank + full * each, left - full * each
+            if full < bins and left:  # the last one of the run, in part
+                runs.append((n, rank, first + full, left, capacity - room))
+                tree.put(room - left * n, (first + full, 1))
+                rank, left, full = rank + left, 0, full + 1
+            if full < bins:
+                tree.put(room, (first + full, bins - full))
+    return np.array(runs, np.int64).reshape(-1, 5), made
 
-def pack(cut: DataFrame, capacity: int = 2048, group_pieces: int = GROUP_PIECES) -> DataFrame:
-    """Adds sequence_id and offset to pieces(); cut is a written table, as it is read twice."""
-    groups = max(1, round(cut.count() / group_pieces))
 
-    def one(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])
-        bins, offsets = best_fit_decreasing(table.column("length").to_numpy(), capacity)
-        group = table.column("g")[0].as_py()
-        return table.drop_columns(["g"]).append_column("sequence_id", pa.array(bins + (group << 32), pa.int64())).append_column("offset", pa.array(offsets, pa.int64()))
+def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bin, offset) of each length, none above capacity; bins count from 0."""
+    found, n = np.unique(lengths, return_counts=True)
+    runs, _ = plan(dict(zip(found.tolist(), n.tolist(), strict=True)), capacity)
+    rank, order = np.empty(len(lengths), np.int64), np.argsort(lengths, kind="stable")
+    rank[order] = np.arange(len(lengths)) - np.repeat(np.cumsum(n) - n, n)
+    return places(lengths, rank, runs)
+
+
+def places(lengths: np.ndarray, ranks: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bin, offset) of pieces by length and rank among their length's."""
+    keys = (runs[:, 0] << 46) + runs[:, 1]
+    order = np.argsort(keys)
+    run = runs[order[np.searchsorted(keys[order], (lengths << 46) + ranks, side="right") - 1]] if len(lengths) else runs[:0]
+    step, at = np.divmod(ranks - run[:, 1], run[:, 3])
+    return run[:, 2] + step, run[:, 4] + at * lengths
+
+
+def pack(cut: DataFrame, capacity: int = 2048) -> DataFrame:
+    """Adds sequence_id and offset to pieces(); cut is a written table, with row from
+    monotonically_increasing_id()."""
+    spark = cut.sparkSession
+    part = F.shiftright("row", 33)
+    counted = runtime.written(cut.groupBy("length", part.alias("part")).agg(F.count("*").alias("n")))
+    counts = {r.length: r.n for r in counted.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
+    runs = spark.sparkContext.broadcast(plan(counts, capacity)[0])
+    earlier = W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    bases = runtime.written(counted.select("length", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base")))
+    inside = F.row_number().over(W.partitionBy("length", "part").orderBy("row")) - 1  # of the pieces one task cut
+    ranked = cut.withColumn("part", part).withColumn("inside", inside).join(runtime.small(bases), ["length", "part"])
+    ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("inside")).alias("rank"))
+
+    def put(batches):
+        for batch in batches:
+            bins, offsets = places(batch.column(3).to_numpy(), batch.column(5).to_numpy(), runs.value)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(bins), pa.array(offsets)], names=[*batch.schema.names[:5], "sequence_id", "offset"])
 
-    return cut.withColumn("g", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(groups))).groupBy("g").applyInArrow(one, PIECES + ", sequence_id long, offset long")
+    return ranked.mapInArrow(runtime.frugal(put), PIECES + ", sequence_id long, offset long")
 
 
 def packed(docs: DataFrame, capacity: int = 2048, **kwargs) -> DataFrame:
-    return pack(runtime.written(pieces(docs, capacity, **kwargs)), capacity)
+    return pack(runtime.written(pieces(docs, capacity, **kwargs).withColumn("row", F.monotonically_increasing_id())), capacity)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
