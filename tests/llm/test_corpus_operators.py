@@ -88,9 +88,34 @@ def test_mixing(spark, docs, nothing):
     assert mixing.mixed(nothing).count() == 0
 
 
+def test_any_number_of_sources(spark):
+    r = random.Random(3)
+    sized = [(None if i == 700 else f"s{i:04}é", r.choice([0, 1, 2, 50, 5000])) for i in range(701)]
+    frame = spark.createDataFrame(sized, "source string, size long").repartition(5)
+    got = mixing.source_table(frame.withColumn("x", frame.size)).orderBy("s").collect()
+    names = sorted({x for x, _ in sized if x}) + [None]
+    sizes = [sum(n for x, n in sized if x == name) for name in names]
+    assert [(x.s, x.name, x.source_size) for x in got] == list(zip(range(701), names, sizes))
+    assert [x.target for x in got] == pytest.approx(mixing.capped_targets(sizes, [mixing.WEIGHTS[i % 3] for i in range(701)]))
+    assert [x.first_slots for x in got] == np.cumsum([0, *[x.slots for x in got[:-1]]]).tolist()
+
+
+def test_mixing_of_copies_without_ids(spark):
+    rows = [(None, "a b c d", "x")] * 300 + [(i, prose(9, i), "y") for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    got = mixing.mixed(frame).collect()
+    assert len(got) == 330 and all(0 <= r.taken <= 3 * r.size for r in got)
+    for name in "xy":
+        mine = [r for r in got if r.source == name]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 0.02 * mine[0].target + 8
+
+
 def test_schedule_ranks(spark):
-    slots = [{"slots": n} for n in (70000, 20000, 1)]
-    rows = sorted((r.slot, r.s, r["rank"]) for r in mixing.schedule(spark, slots).collect())
+    slots = [{"s": i, "slots": n, "first_slots": before} for i, (n, before) in enumerate([(70000, 0), (20000, 70000), (1, 90000)])]
+    rows = sorted((r.slot, r.s, r["rank"]) for r in mixing.schedule(spark, spark.createDataFrame(slots, "s long, slots long, first_slots long")).collect())
+    assert len(rows) == 90001
+    point = [(i * 0x9E3779B97F4A7C15) % (1 << 64) / (1 << 64) for i, *_ in rows]
+    assert [s for _, s, _ in rows] == [0 if x < 70000 / 90001 else 1 if x < 90000 / 90001 else 2 for x in point]
     seen = Counter()
     for slot, s, rank in rows:
         assert rank == seen[s]
@@ -169,6 +194,19 @@ def test_best_fit_decreasing(lengths):
         assert at <= 64
 
 
+def test_packing_in_one(spark, sf_dir):
+    """All pieces are packed together, whatever the number of partitions."""
+    docs = runtime.documents(spark, sf_dir).repartition(7)
+    got = packing.packed(docs).collect()
+    bins, _ = packing.best_fit_decreasing(np.array([r.length for r in got], np.int64), 2048)
+    assert len({r.sequence_id for r in got}) == len(set(bins.tolist()))
+    ends = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+    assert max(ends.values()) <= 2048
+
+
 def test_packing(docs, nothing):
     library = tokens.encoder().library
     got = packing.packed(docs, 256).collect()
@@ -291,6 +329,16 @@ def test_top_k(spark, scale):
     assert topk.top_k(frame.limit(0), frame.limit(0)).count() == 0
 
 
+def test_ties_stay_in_their_tasks(spark):
+    frame = spark.createDataFrame([(i, [0.5] * 8) for i in range(3000)], "vec_id long, embedding array<float>").repartition(3)
+    queries = topk.quantised(frame.filter("vec_id % 50 = 0")).collect()
+    block = {8: (np.array([r.vec_id for r in queries]), np.array([r.v for r in queries], np.int64))}
+    topk.runtime.prepare(spark, 256)
+    assert topk._block(topk.quantised(frame), block, 5, 4).groupBy("query_id").count().agg({"count": "max"}).first()[0] <= 5 * 3
+    got = topk.top_k(frame, frame.filter("vec_id % 50 = 0")).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == [(q, n, v) for q in range(0, 3000, 50) for n, v in enumerate([x for x in range(7) if x != q][:5], 1)]
+
+
 # --- 8 language model ---------------------------------------------------------------------------------------------------
 
 
@@ -486,7 +534,7 @@ def test_line_dedup(spark, docs, nothing):
         if digest_order:
             gone.add((i, n))
     want = {i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in gone) for i, t in enumerate(texts)}
-    got = {r.doc_id: r for r in line_dedup.deduplicated(frame).collect()}
+    got = {r.doc_id: r for r in line_dedup.deduplicated(frame, exact_chars=40).collect()}
     assert {i: r.text for i, r in got.items()} == want and all(r.n_chars == len(r.text) and r.removed == "k" for r in got.values())
     assert line_dedup.deduplicated(docs).count() == docs.count() and line_dedup.deduplicated(nothing).count() == 0
 

@@ -2,17 +2,19 @@
 
 A vector's components are cut into LISTS ranges; each gives a list of partial scores, and a score is the
 sum over the lists. Partial scores are counted from their list's least value, so that none is negative.
+They come from 32-bit float products whose error has a proven bound, which every comparison allows for;
+only scores themselves are computed in whole numbers.
 
 1. Every task gathers for each query the entries that lead one of its lists, with their whole
    scores. The k-th best of these is a safe cutoff: no answer is below it.
 2. The cutoffs are broadcast (a number a query). An entry whose partial scores all lie below the
    uniform threshold (cutoff less the lists' least values, over the number of lists) can't reach
    the cutoff; the others are collected.
-3. Of those, entries whose bound (known partial scores, the threshold for others) reaches the cutoff
-   are resolved exactly, where they lie. What reaches the cutoff goes to the final ranking.
+3. Of those, entries whose bound (the sum of their partial scores) reaches the cutoff are resolved exactly,
+   where they lie. A task hands on the k best it holds for each query, whatever their number of ties.
 
 Queries go in blocks of BLOCK_QUERIES, each broadcast to all candidates: a block has a fixed size, and
-answers leave a task as rows of (query, vector, score), about k a query over all tasks.
+answers leave a task as rows of (query, vector, score), at most k a query.
 
 Defined results: vectors that are null or hold null or non-finite components take no part; only vectors
 of one length are compared; a null vec_id takes no part; rows that repeat a vec_id are each candidates;
@@ -54,16 +56,43 @@ def _matrices(batch: pa.RecordBatch, queries: dict):
             yield int(n), ids[some], flat[edges[some][:, None] + np.arange(n)]
 
 
-def _partials(queries: np.ndarray, vectors: np.ndarray, lists: int) -> np.ndarray:
-    """(lists, queries, vectors) partial scores as int64; by float products where they are exact."""
-    cuts = [len(queries[0]) * i // lists for i in range(lists + 1)]
-    most = [float(np.abs(x).max(initial=0)) for x in (queries, vectors)]
-    size = most[0] * most[1] * max(1, queries.shape[1])
-    if size >= 2**63:
+def _partials(queries: np.ndarray, vectors: np.ndarray, lists: int) -> tuple[np.ndarray, np.ndarray]:
+    """(lists, queries, vectors) partial scores as 32-bit floats, and how far off each list's may be."""
+    width = queries.shape[1]
+    cuts = [width * i // lists for i in range(lists + 1)]
+    if _most(queries) * _most(vectors) * max(1, width) >= 2**63:
         raise OverflowError("inner products beyond 64 bits")
-    kind = np.float64 if size < 2**53 else np.int64
-    q, v = queries.astype(kind), vectors.astype(kind)
-    return np.stack([(q[:, a:b] @ v[:, a:b].T).astype(np.int64) for a, b in zip(cuts, cuts[1:], strict=False)])
+    q, v = queries.astype(np.float32), vectors.astype(np.float32)
+    out = np.stack([q[:, a:b] @ v[:, a:b].T for a, b in zip(cuts, cuts[1:], strict=False)])
+    # rounding of both factors, of their products and of the sums, to first order; doubled
+    off = [2.0 * (b - a + 3) * 2.0**-24 * (b - a) * _most(queries[:, a:b]) * _most(vectors[:, a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+    return out, np.array(off)
+
+
+def _most(x: np.ndarray) -> float:
+    return float(max(x.max(initial=0), -x.min(initial=0)))
+
+
+def _exact(queries: np.ndarray, vectors: np.ndarray, q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Scores of pairs of rows, some at a time."""
+    out, step = np.empty(len(q), np.int64), max(1, CELLS // max(1, queries.shape[1]))
+    for at in range(0, len(q), step):
+        part = slice(at, at + step)
+        out[part] = np.einsum("ij,ij->i", queries[q[part]], vectors[v[part]])
+    return out
+
+
+class _Best:
+    """The k best (score, then least id) of each query so far."""
+
+    def __init__(self, k: int):
+        self.k, self.q, self.ids, self.scores = k, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, q: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        q, ids, scores = (np.concatenate(x) for x in ((self.q, q), (self.ids, ids), (self.scores, scores)))
+        order = np.lexsort((ids, -scores, q))
+        order = order[np.arange(len(order)) - np.searchsorted(q[order], q[order]) < self.k]
+        self.q, self.ids, self.scores = q[order], ids[order], scores[order]
 
 
 def _block(candidates: DataFrame, queries: dict[int, tuple[np.ndarray, np.ndarray]], k: int, lists: int) -> DataFrame:
@@ -74,65 +103,54 @@ def _block(candidates: DataFrame, queries: dict[int, tuple[np.ndarray, np.ndarra
         for batch in batches:
             for n, ids, vectors in _matrices(batch, held.value):
                 names, matrix = held.value[n]
-                yield names, ids, _partials(matrix, vectors, lists)
+                yield n, names, matrix, ids, vectors, *_partials(matrix, vectors, lists)
 
     def lead(batches):
         least: dict[int, np.ndarray] = {}
-        kept: dict[int, tuple] = {}
-        for names, ids, partial in scored(batches):
-            total, key = partial.sum(0), int(names[0])
-            low = partial.min(2)
-            least[key] = np.minimum(least[key], low) if key in least else low
-            mine = names[:, None] == ids[None, :]
-            picks = np.zeros(total.shape, bool)
-            for part in partial:
-                top = np.argpartition(part, max(0, part.shape[1] - k - 1), axis=1)[:, -k - 1 :]
-                np.put_along_axis(picks, top, True, 1)
-            picks &= ~mine
-            rows = np.where(picks, total, np.iinfo(np.int64).min)
-            top = np.argsort(-rows.astype(np.float64), axis=1, kind="stable")[:, :k]
-            scores = np.take_along_axis(rows, top, 1)
-            if key in kept:
-                _, had_ids, had = kept[key]
-                both, ids_both = np.concatenate([had, scores], 1), np.concatenate([had_ids, ids[top]], 1)
-                order = np.argsort(-both.astype(np.float64), axis=1, kind="stable")[:, :k]
-                kept[key] = (names, np.take_along_axis(ids_both, order, 1), np.take_along_axis(both, order, 1))
-            else:
-                kept[key] = (names, ids[top], scores)
-        for key, (names, ids, scores) in kept.items():
-            at = np.nonzero(scores > np.iinfo(np.int64).min)
-            sums = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(names) + 1) * lists, lists, dtype=np.int32)), pa.array(least[key].T.ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(names[at[0]]), pa.array(ids[at]), pa.array(scores[at]), sums.take(pa.array(at[0]))], names=["query_id", "vec_id", "score", "least"])
-
-    leading = runtime.written(candidates.mapInArrow(runtime.frugal(lead), _ANSWERS + ", least array<long>"))
+        best: dict[int, _Best] = {}
+        for n, names, matrix, ids, vectors, partial, off in scored(batches):
+            low = partial.min(2) - off[:, None]
+            least[n] = np.minimum(least[n], low) if n in least else low
+            picks = np.zeros(partial.shape[1:], bool)
+            for part in partial:  # k, and the query's own entry
+                np.put_along_axis(picks, np.argpartition(part, max(0, part.shape[1] - k - 1), axis=1)[:, -k - 1 :], True, 1)
+            q, v = np.nonzero(picks & (names[:, None] != ids[None, :]))
+            if n not in best:
+                best[n] = _Best(k)
+            best[n].add(q, ids[v], _exact(matrix, vectors, q, v))
+        for n, found in best.items():
+            names = held.value[n][0]
+            sums = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(names) + 1) * lists, lists, dtype=np.int32)), pa.array(least[n].T.ravel().astype(float)))
+            yield pa.RecordBatch.from_arrays([pa.array(names[found.q]), pa.array(found.ids), pa.array(found.scores), sums.take(pa.array(found.q))], names=["query_id", "vec_id", "score", "least"])
+
+    leading = runtime.written(candidates.mapInArrow(runtime.frugal(lead), _ANSWERS + ", least array<double>"))
     ranked = leading.withColumn("r", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score")))).filter(F.col("r") <= k)
     lows = leading.groupBy("query_id").agg(*[F.min(F.element_at("least", i + 1)).alias(f"m{i}") for i in range(lists)])
     cut = ranked.groupBy("query_id").agg(F.min("score").alias("cutoff"), F.count("*").alias("n")).join(lows, "query_id")
     known = {r.query_id: r for r in cut.collect()}  # a row for each query of the block
-    lowest = np.iinfo(np.int64).min
-    cutoffs = spark.sparkContext.broadcast({n: (np.array([known[q].cutoff if q in known and known[q].n >= k else lowest for q in names.tolist()]), np.array([[known[q][f"m{i}"] if q in known else 0 for i in range(lists)] for q in names.tolist()]).reshape(-1, lists)) for n, (names, _) in queries.items()})
+    # without k entries in all there is no cutoff
+    cutoffs = spark.sparkContext.broadcast({n: (np.array([float(known[q].cutoff) if q in known and known[q].n >= k else -np.inf for q in names.tolist()]), np.array([[known[q][f"m{i}"] if q in known else 0.0 for i in range(lists)] for q in names.tolist()]).reshape(-1, lists)) for n, (names, _) in queries.items()})
 
     def resolve(batches):
-        by_name = {int(names[0]): cutoffs.value[n] for n, (names, _) in held.value.items()}
-        for names, ids, partial in scored(batches):
-            cutoff, least = by_name[int(names[0])]
-            # whole numbers: the threshold is rounded down, so it is safe
-            threshold = np.where(cutoff == lowest, 0, (np.maximum(cutoff, lowest // 2) - least.sum(1)) // lists)
-            shifted = partial - least.T[:, :, None]
-            over = shifted >= threshold[None, :, None]
-            collected = over.any(0) | (cutoff == lowest)[:, None]
-            bound = np.where(over, shifted, threshold[None, :, None]).sum(0) + least.sum(1)[:, None]
-            collected &= (bound >= cutoff[:, None]) & (names[:, None] != ids[None, :])
-            at = np.nonzero(collected)
-            score = partial[:, at[0], at[1]].sum(0)
-            good = score >= cutoff[at[0]]
-            at, score = (at[0][good], at[1][good]), score[good]
-            if np.any(cutoff == lowest):  # fewer than k entries in all: a task still needs no more than its k best
-                order = np.lexsort((ids[at[1]], -score, at[0]))
-                place = np.arange(len(order)) - np.searchsorted(at[0][order], at[0][order])
-                order = order[place < k]
-                at, score = (at[0][order], at[1][order]), score[order]
-            yield pa.RecordBatch.from_arrays([pa.array(names[at[0]]), pa.array(ids[at[1]]), pa.array(score)], names=["query_id", "vec_id", "score"])
+        best: dict[int, _Best] = {}
+        for n, names, matrix, ids, vectors, partial, off in scored(batches):
+            cutoff, least = cutoffs.value[n]
+            threshold = np.where(np.isinf(cutoff), -np.inf, (cutoff - least.sum(1)) / lists)
+            slack = off.sum() + 1e-9 * np.where(np.isinf(cutoff), 0, np.abs(cutoff)) + 1
+            collected = np.zeros(partial.shape[1:], bool)
+            for i in range(lists):
+                collected |= partial[i] >= (threshold + least[:, i] - slack)[:, None].astype(np.float32)
+            total = partial.sum(0)
+            slack = slack + 2.0**-22 * lists * np.abs(partial).max(initial=0)  # the sum's own rounding
+            collected &= total >= (cutoff - slack)[:, None]
+            q, v = np.nonzero(collected & (names[:, None] != ids[None, :]))
+            score = _exact(matrix, vectors, q, v)
+            good = score >= cutoff[q] - 1e-9 * np.abs(np.where(np.isinf(cutoff[q]), 0, cutoff[q]))
+            if n not in best:
+                best[n] = _Best(k)
+            best[n].add(q[good], ids[v[good]], score[good])
+        for n, found in best.items():
+            yield pa.RecordBatch.from_arrays([pa.array(held.value[n][0][found.q]), pa.array(found.ids), pa.array(found.scores)], names=["query_id", "vec_id", "score"])
 
     return candidates.mapInArrow(runtime.frugal(resolve), _ANSWERS)
 
