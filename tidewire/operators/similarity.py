@@ -21,14 +21,22 @@ def term_counts(rows: DataFrame, key: str, text: Column | str) -> DataFrame:
 
 
 def tfidf(rows: DataFrame, key: str, text: Column | str) -> DataFrame:
-    """key, term, w = n / tokens * (ln((1 + rows) / (1 + rows with the term)) + 1)."""
-    counts = term_counts(rows, key, text)
+    """key, term, w = n / tokens * (ln((1 + rows) / (1 + rows with the term)) + 1). Texts are read once."""
+    counts = written(term_counts(rows, key, text))
     tokens = counts.groupBy(key).agg(F.sum("n").alias("tokens"))
     held = counts.groupBy("term").agg(F.count("*").alias("df"))
     both = counts.join(tokens, key).join(held, "term").withColumn("rows", F.lit(rows.count()))
     return both.select(key, "term", ((F.col("n") / F.col("tokens")) * (F.log((1.0 + F.col("rows")) / (1.0 + F.col("df"))) + 1.0)).alias("w"))
 
 
+def first_of_equal(rows: DataFrame, place: str, tokens: str) -> DataFrame:
+    """Of rows with equal tokens (an array; none of them empty) the one of the least place, and all rows without any.
+    The others are like it, and like whatever it is like, so a greedy filter never keeps them."""
+    same = F.array_join(F.array_sort(tokens), " ")
+    firsts = rows.filter(F.size(tokens) > 0).groupBy(F.xxhash64(same).alias("_h"), F.md5(same).alias("_m")).agg(F.min(place).alias(place)).select(place)
+    return rows.filter(F.size(tokens) > 0).join(firsts, place, "left_semi").unionByName(rows.filter(F.size(tokens) == 0))
+
+
 def cosine_pairs(vectors: DataFrame, key: str, threshold: float) -> DataFrame:
     """a, b (a < b), cosine of the pairs at or above threshold. Vectors are scaled first, and only terms
     that can bring a pair to the threshold meet: a row's rarest terms until the rest can't reach it."""
@@ -47,15 +55,23 @@ def cosine_pairs(vectors: DataFrame, key: str, threshold: float) -> DataFrame:
 
 
 def jaccard_pairs(sets: DataFrame, key: str, threshold: float) -> DataFrame:
-    """a, b (a < b), jaccard of the pairs of key, tokens (array) at or above threshold."""
-    each = sets.select(F.col(key).alias("k"), F.size(F.array_distinct("tokens")).alias("size"), F.explode(F.array_distinct("tokens")).alias("term"))
-    a, b = (each.select(F.col("k").alias(x), F.col("size").alias(f"n{x}"), "term") for x in "ab")
-    both = a.join(b, "term").filter((F.col("a") < F.col("b")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb") - 1e-9)).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("both"))
-    return both.withColumn("jaccard", F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).filter(F.col("jaccard") >= threshold).select("a", "b", "jaccard")
+    """a, b (a < b), jaccard of the pairs of key, tokens (array) at or above threshold. Only prefixes meet: of n
+    tokens, rarest first, a pair shares one of the first n - ceil(threshold * n) + 1 of both, or isn't alike."""
+    whole = written(sets.select(F.col(key).alias("k"), F.array_distinct("tokens").alias("tokens")).filter(F.size("tokens") > 0))
+    each = whole.select("k", F.size("tokens").alias("size"), F.explode("tokens").alias("term"))
+    held = each.groupBy("term").agg(F.count("*").alias("df"))
+    place = F.row_number().over(W.partitionBy("k").orderBy("df", "term"))
+    heads = each.join(held, "term").withColumn("place", place).filter(F.col("place") <= F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1).filter("df > 1")
+    a, b = (heads.select(F.col("k").alias(x), F.col("size").alias(f"n{x}"), "term") for x in "ab")
+    met = a.join(b, "term").filter((F.col("a") < F.col("b")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb") - 1e-9)).select("a", "b").distinct()
+    full = met.join(whole.select(F.col("k").alias("a"), F.col("tokens").alias("ta")), "a").join(whole.select(F.col("k").alias("b"), F.col("tokens").alias("tb")), "b")
+    both = F.size(F.array_intersect("ta", "tb"))
+    return full.withColumn("jaccard", both / (F.size("ta") + F.size("tb") - both)).filter(F.col("jaccard") >= threshold).select("a", "b", "jaccard")
 
 
 def greedy_keep(ranked: DataFrame, pairs: DataFrame, key: str, place: str) -> DataFrame:
-    """ranked (key, place) without rows that are paired with an earlier row that stays."""
+    """ranked (key, place) without rows that are paired with an earlier row that stays. A chain in which each row
+    is like the next settles two links a round, so rounds follow the longest such chain, not the rows."""
     at = ranked.select(F.col(key).alias("k"), F.col(place).alias("place"))
     ends = pairs.select("a", "b").join(at.select(F.col("k").alias("a"), F.col("place").alias("pa")), "a").join(at.select(F.col("k").alias("b"), F.col("place").alias("pb")), "b")
     first = F.col("pa") < F.col("pb")

@@ -176,14 +176,16 @@ def cosine_pairs_text(spark, d):
 
 def semantic_dedup(spark, d):
     rows = _sketches(spark, d)
-    pairs = similarity.cosine_pairs(similarity.tfidf(rows, "doc_id", "sketch"), "doc_id", 0.75)
-    return similarity.greedy_keep(rows.select("doc_id", "doc_id", "n_chars").toDF("doc_id", "place", "n_chars"), pairs, "doc_id", "place").select("doc_id", "n_chars")
+    vectors = similarity.tfidf(rows, "doc_id", "sketch")
+    first = similarity.first_of_equal(rows.select("doc_id", F.col("doc_id").alias("place"), "n_chars", tx.tokenize("sketch").alias("tokens")), "place", "tokens").drop("tokens")
+    pairs = similarity.cosine_pairs(vectors.join(first.select("doc_id"), "doc_id", "left_semi"), "doc_id", 0.75)
+    return similarity.greedy_keep(first, pairs, "doc_id", "place").select("doc_id", "n_chars")
 
 
 def title_jaccard_dedup(spark, d):
-    rows = _docs(spark, d).select("doc_id", F.array_distinct(tx.tokenize("title")).alias("tokens"), "n_chars")
-    pairs = similarity.jaccard_pairs(rows.filter(F.size("tokens") > 0), "doc_id", 0.45)
-    return similarity.greedy_keep(rows.select("doc_id", F.col("doc_id").alias("place"), "n_chars"), pairs, "doc_id", "place").select("doc_id", "n_chars")
+    rows = _docs(spark, d).select("doc_id", F.array_distinct(tx.tokenize("title")).alias("tokens"), F.col("doc_id").alias("place"), "n_chars")
+    first = similarity.first_of_equal(rows, "place", "tokens")
+    return similarity.greedy_keep(first, similarity.jaccard_pairs(first, "doc_id", 0.45), "doc_id", "place").select("doc_id", "n_chars")
 
 
 def infer_tags(spark, d):
@@ -401,7 +403,26 @@ def oracle_sql() -> dict[str, str]:
     label = lambda c: "case " + c + " " + " ".join(f"when '{k}' then '{labels[k]}'" for k in ("access_forbidden", "timeout", "upstream_h2_reset", "ssl_error", "unknown_error", "")) + " end"
     clause = lambda c: rf"regexp_replace(regexp_replace(trim(regexp_replace({c}, '{SPACES}', ' ', 'g')), '(?i)^(what|why|so\s*what)\s*[:：]\s*', ''), '^[ \t\n\r,，;；]+|[ \t\n\r,，;；]+$', '', 'g')"
     sentence = lambda c: f"case when {c} = '' or regexp_matches({c}, '[。！？!?]$') then {c} else {c} || '。' end"
+    sketch = "concat_ws(' ', split_part(text, chr(10), 1), substring(text, 1, 500))"
+
+    def greedy(pairs: str) -> str:
+        """Rows in the order of doc_id that are like no earlier row that stays."""
+        return f"""with recursive p as materialized ({pairs}), early as materialized (select b, list(a) xs from p group by 1),
+          d as materialized (select doc_id, n_chars, row_number() over (order by doc_id) i from documents), o as materialized (select d.*, coalesce(xs, []) xs from d left join early on b = doc_id),
+          f(i, kept) as (select 0::bigint, []::bigint[] union all select o.i, case when list_has_any(kept, xs) then kept else list_append(kept, o.doc_id) end from f join o on o.i = f.i + 1)
+          select doc_id, n_chars from documents where doc_id in (select unnest(kept) from (select kept from f order by i desc limit 1))"""
+
+    sketched = weights.replace(_TOKENS.format(_TITLE), _TOKENS.format(sketch))
+    similar = f"""with v as materialized (select * from {sketched}), n as (select doc_id, sqrt(sum(w * w)) n from v group by 1), u as materialized (select doc_id, term, w / n w from v join n using (doc_id))
+          select x.doc_id a, y.doc_id b from u x join u y on x.term = y.term and x.doc_id < y.doc_id group by 1, 2 having sum(x.w * y.w) >= 0.75 - 1e-12"""
+    titles = f"""with t as materialized (select doc_id, list_distinct({_TOKENS.format(_TITLE)}) ts from documents), e as (select doc_id, len(ts) n, unnest(ts) term from t)
+          select x.doc_id a, y.doc_id b from e x join e y on x.term = y.term and x.doc_id < y.doc_id group by 1, 2, x.n, y.n having count(*) / (x.n + y.n - count(*)) >= 0.45"""
     return {
+        "semantic_dedup": greedy(similar),
+        "title_jaccard_dedup": greedy(titles),
+        "link_extract": """with l as (select page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) h, generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)"', 1), 1) i from pages),
+          k as (select page_id, case when h like 'http%' then h when h like '/%' then regexp_extract(url, '^https?://[^/]+') || h end link, min(i) i from l group by 1, 2)
+          select page_id, cast(row_number() over (partition by page_id order by i) - 1 as integer) pos, link from k""",
         "clean_text_pages": f"select page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '{SPACES}', ' ', 'g')) body from pages",
         "normalize_title_docs": f"select doc_id, {_TITLE_KEY} title_key, {_PRINT} fingerprint from documents",
         "normalize_url_pages": f"select page_id, {_url('url')} link, lower(regexp_extract(url, '^https?://([^/?#]*)', 1)) host from pages",

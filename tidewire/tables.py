@@ -9,17 +9,19 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of a table that a join may broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 500_000
+#: Rows and stored (compressed) bytes of a table that a join may broadcast; beyond either the join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only where a session has none, as in tests, one of our own is made."""
+    """spark.checkpoint.dir; only where a local session has none, as in tests, one of our own is made."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = held.get() if held.isDefined() else None
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tidewire-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -31,15 +33,24 @@ def written(df: DataFrame) -> DataFrame:
     path, seen = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}", Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
-    table._rows_written = seen.get["rows"]
+    table._rows_written, table._path = seen.get["rows"], path
     return table
 
 
+def bytes_of(df: DataFrame) -> int:
+    """What a written table takes in its folder; 0 for others, whose rows alone are known."""
+    path = getattr(df, "_path", None)
+    if path is None:
+        return 0
+    of = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    return of.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).getContentSummary(of).getLength()
+
+
 def rows_of(df: DataFrame) -> int:
     known = getattr(df, "_rows_written", None)
     return df.count() if known is None else known
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A written table, hinted for broadcast only if it holds at most `rows` rows."""
-    return F.broadcast(df) if rows_of(df) <= rows else df
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """A written table, hinted for broadcast only if it holds at most `rows` rows and `size` bytes."""
+    return F.broadcast(df) if rows_of(df) <= rows and bytes_of(df) <= size else df
