@@ -7,23 +7,28 @@ import ctypes
 import gc
 import os
 import tempfile
-import uuid
+import zipfile
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-#: Rows and stored (compressed) bytes of a table that a join may broadcast; beyond either the join shuffles.
-BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
+from ..tables import bytes_of, rows_of, shared_dir, small, written  # noqa: F401
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def prepare(spark: SparkSession, rows: int = 1000) -> None:
-    """Let Python workers import this package and keep Arrow batches small: whole texts can be long."""
-    env = spark.sparkContext.environment
-    if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, env.get("PYTHONPATH", "")) if x)
+    """Send this package to Python workers, once a session, and keep Arrow batches small: whole texts can be long."""
+    context = spark.sparkContext
+    if getattr(context, "_tidewire_sent", None) is None:
+        context._tidewire_sent = tempfile.mkdtemp(prefix="tidewire-code-")  # the driver serves it
+        archive = os.path.join(context._tidewire_sent, "tidewire.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for folder, _, names in os.walk(os.path.join(_ROOT, "tidewire")):
+                for name in names:
+                    if name.endswith(".py"):
+                        z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), _ROOT))
+        context.addPyFile(archive)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
@@ -51,52 +56,6 @@ def frugal(function):
     return run
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only where a session has
-    none, as in tests, one of our own is made."""
-    conf = spark.sparkContext.getConf()
-    found = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = held.get() if held.isDefined() else None
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="tidewire-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def written(df: DataFrame) -> DataFrame:
-    """df written once to the shared folder and read back: computed once, lineage cut, and readable
-    whichever executors are lost afterwards. Its row count is taken on the way."""
-    spark = df.sparkSession
-    path, seen = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}", Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    table = spark.read.schema(df.schema).parquet(path)
-    table._rows_written, table._path = seen.get["rows"], path
-    return table
-
-
-def bytes_of(df: DataFrame) -> int:
-    """What a written table takes in its folder; 0 for others, whose rows alone are known."""
-    path = getattr(df, "_path", None)
-    if path is None:
-        return 0
-    jvm = df.sparkSession._jvm
-    of = jvm.org.apache.hadoop.fs.Path(path)
-    return of.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).getContentSummary(of).getLength()
-
-
-def rows_of(df: DataFrame) -> int:
-    """The row count of a written table; of another one, counted."""
-    known = getattr(df, "_rows_written", None)
-    return df.count() if known is None else known
-
-
-def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
-    """A written table, hinted for broadcast only if it holds at most `rows` rows and `size` bytes."""
-    return F.broadcast(df) if rows_of(df) <= rows and bytes_of(df) <= size else df
-
-
 def unused(df: DataFrame, *names: str) -> list[str]:
     """Names like these that no column of df has."""
     taken, found = {c.lower() for c in df.columns}, []
