@@ -100,7 +100,7 @@ HTML = """<html><head><title>Big &amp; news</title><meta property="article:publi
 
 def test_markup():
     got = markup.article("http://h/x", HTML)
-    assert (got["title"], got["content"], got["published"], got["attachment_link"]) == ("Head line", "One. Two.", "2024-01-02T03:04:05Z", "http://h/a b.pdf")
+    assert (got["title"], got["content"], got["dates"][0], got["attachment_link"]) == ("Head line", "One. Two.", "2024-01-02T03:04:05Z", "http://h/a b.pdf")
     assert markup.article_jsonld("http://h/x", HTML)["title"] == "H"
     assert markup.links("http://h/x", HTML) == ["http://h/a%20b.pdf"]
     assert markup.article_date(HTML, "http://h/x") == ("2024-05-06", "jsonld")
@@ -125,3 +125,20 @@ def test_cards_and_tokens():
 def test_selector_errors():
     with pytest.raises(ValueError):
         markup.select(markup.parse("<a>"), "a:hover(")
+
+
+def test_nested_jump_links():
+    from urllib.parse import quote
+
+    jump = lambda u: f"https://sou.toutiao.com/search/jump?gid=1&url={quote(u, safe='')}&x=2"
+    assert markup.unwrap_jump(jump(jump("https://a.b/c?d=e"))) == "https://a.b/c?d=e"
+    assert markup.unwrap_jump(" https://a.b ") == "https://a.b" and markup.unwrap_jump(None) == ""
+
+
+def test_article_dates_are_dates(spark):
+    pages = ['<h1>t</h1><time datetime="Mon, 15 Jan 2024 08:00:00 GMT">x</time>', '<h1>t</h1><time datetime="2024-13-45">x</time><p>2024-01-15</p>', "<h1>t</h1><p>none</p>", None]
+    rows = spark.createDataFrame([(i, h) for i, h in enumerate(pages)], "i int, html string")
+    got = {r.i: r.x for r in rows.select("i", markup.article_columns(F.lit("http://h/"), "html").alias("x")).collect()}
+    assert [got[i].published for i in range(4)] == ["Mon, 15 Jan 2024 08:00:00 GMT", "2024-01-15", "", ""]
+    bad = rows.select(markup.article_columns(F.lit("http://h/"), "html", {"title": "h1:first-child>b"}).alias("x")).collect()
+    assert all("selector" in r.x.error for r in bad) and rows.select(markup.links_udf("a:not(b)")(F.lit("http://h/"), "html").alias("x")).first().x == []
