@@ -220,3 +220,59 @@ def test_cli_from_captures_to_digest(spark, tmp_path):
     assert stats == {"r": ("ok", ""), "b": ("fail", "not_found"), "g": ("fail", "not_found")}
     assert "Waymo robotaxi" in (tmp_path / "out/digest/2024-01-15.html").read_text()
     assert spark.read.parquet(str(tmp_path / "out/state/seen")).count() == 3
+
+
+def test_cli_from_structured_sites_to_the_report(spark, tmp_path, monkeypatch):
+    from tidewire import cli
+    from tidewire.sources import connectors
+
+    config = {
+        "defaults": {"core_keywords_foreign": ["robotaxi"]}, "companies": [{"id": "w", "name": "Waymo", "aliases": []}], "query_sets": {"q": ["robotaxi"]},
+        "sources": [
+            {"id": "web", "name": "Web", "source_type": "structured_web", "entry_urls": ["http://w/news"], "max_items_per_run": 2, "selectors": {"article_link": "a.item", "title": "h2"}, "region": "foreign"},
+            {"id": "map", "name": "Map", "source_type": "structured_web", "extractor": "sitemap", "entry_urls": ["http://m/sitemap.xml"], "region": "foreign"},
+            {"id": "r", "name": "R", "source_type": "rss", "rss_urls": ["http://r/1", "http://r/2"], "max_items": 3, "region": "foreign"},
+            {"id": "g", "name": "G", "source_type": "query_rss", "query_set": "q", "max_results_per_query": 2, "region": "foreign"},
+        ],
+    }
+
+    def put(url, body):
+        (tmp_path / fetching.capture_name(url)).write_text(body)
+
+    put("http://w/news", "".join(f"<a class='item' href='/a/{i}'>x</a><a href='/skip'>y</a>" for i in (1, 1, 2, 3)))
+    for i in (1, 2, 3):
+        put(f"http://w/a/{i}", f"<h1>no</h1><h2>Waymo robotaxi web {i}</h2><time datetime='Sun, 14 Jan 2024 04:00:00 GMT'></time><article><p>robotaxi fleet grows {i}</p></article>")
+    put("http://m/sitemap.xml", "<urlset><url><loc>http://m/p</loc></url></urlset>")
+    put("http://m/p", f"<h1>Waymo robotaxi map</h1><time datetime='2024-01-14T05:00:00Z'></time><article><p>short</p><p>{'robotaxi ' * 90}</p></article>")
+    item = lambda n, link: f"<item><title>Waymo robotaxi {n}</title><link>{link}</link><description>robotaxi</description><pubDate>Sun, 14 Jan 2024 03:00:00 GMT</pubDate></item>"
+    for k in (1, 2):
+        put(f"http://r/{k}", "<rss><channel>" + "".join(item(f"feed {k}{i}", f"https://r.com/{k}{i}") for i in range(2)) + "</channel></rss>")
+    query = next(r.url for r in connectors.planned(spark, config).collect() if r.source_id == "g")
+    put(query, "<rss><channel>" + "".join(item(f"query {i}", f"https://q.com/{i}") for i in range(4)) + "</channel></rss>")
+    put("https://q.com/0", "<meta property='article:published_time' content='2024-01-14T06:00:00Z'>")
+    (tmp_path / "config.json").write_text(json.dumps(config))
+    posted = []
+    monkeypatch.setattr(fetching, "post_webhook", lambda url, payload: posted.append((url, payload)) or {"code": 0})
+    args = ["all", "--config", str(tmp_path / "config.json"), "--date", "2024-01-15", "--root", str(tmp_path / "out"), "--captures", str(tmp_path), "--webhook", "http://hook", "--once"]
+    assert cli.main(args) == 0
+    raw = spark.read.parquet(str(tmp_path / "out/raw")).orderBy("seq").collect()
+    assert [r.url for r in raw] == ["http://w/a/1", "http://w/a/2", "http://m/p", "https://r.com/10", "https://r.com/11", "https://r.com/20", "https://q.com/0", "https://q.com/1"]
+    assert len({r.seq for r in raw}) == len(raw) and raw[0].payload["title"] == "Waymo robotaxi web 1"
+    rows = {r.link: r for r in spark.read.parquet(str(tmp_path / "out/canonical")).collect()}
+    assert rows["https://q.com/0"].published_source == "meta_article_published_time" and rows["https://q.com/1"].query_rss_verify_error_code == "fetch_other"
+    assert rows["http://w/a/1"].published_at_utc.startswith("2024-01-14T04:00:00")
+    report = json.loads((tmp_path / "out/reports/2024-01-15/run_report.json").read_text())
+    assert set(report["stage_status"].values()) == {"success"} and report["total_items_raw"] == 8 and report["query_rss_fetch_other_count"] == 1
+    assert {(r["source_id"], r["n"]) for r in report["canonical_by_source"]} == {("web", 2), ("map", 1), ("r", 3), ("g", 2)}
+    assert report["push_status"] == {"status": "success", "error": ""} and posted[0][0] == "http://hook"
+    assert report["brief_count"] == spark.read.parquet(str(tmp_path / "out/brief")).count() > 0
+    assert cli.main(args) == 0 and len(posted) == 1  # once
+
+
+def test_state_survives_a_broken_swap(spark, tmp_path):
+    rows, at = spark.range(3).toDF("id"), str(tmp_path / "s")
+    state.swap_in(rows, at)
+    (tmp_path / "s").rename(tmp_path / "s.old")  # as if it broke off between the two moves
+    assert state.recovered(spark, at) and spark.read.parquet(at).count() == 3
+    state.swap_in(spark.range(5).toDF("id"), at)
+    assert spark.read.parquet(at).count() == 5 and not (tmp_path / "s.old").exists()

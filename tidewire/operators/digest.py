@@ -8,6 +8,7 @@ import html
 from base64 import b64encode
 from string import Template
 
+from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -82,24 +83,40 @@ def response_code(body: dict, keys: tuple[str, ...] = ("code", "StatusCode", "er
 
 
 _PAGE = Template("""<!doctype html><html lang="zh"><head><meta charset="utf-8"><title>$date</title></head><body>
-<h1>$date</h1><p>$kpis</p><nav>$chips</nav>$sections<h2>Funnel</h2><table>$funnel</table><h2>Drop reasons</h2><table>$reasons</table>
+<h1>$date</h1><p>$kpis</p><nav>$chips</nav>$sections<h2>Funnel</h2><table>$funnel</table><h2>Drop reasons</h2><table>$reasons</table><h2>Failed sources</h2><ul>$failed</ul>
 <script>document.querySelectorAll('[data-pick]').forEach(b => b.onclick = () => {
   document.querySelectorAll('article').forEach(a => a.hidden = b.dataset.pick && a.dataset.company !== b.dataset.pick);
   document.querySelectorAll('section').forEach(s => s.hidden = ![...s.querySelectorAll('article')].some(a => !a.hidden));
 });</script></body></html>""")
 
 
-def page(rows: list, funnel: list, reasons: list, date_text: str) -> str:
-    """HTML of the digest's rows (bounded: at most 2 * top_n) and the report's tables."""
+def company_names(rows: DataFrame, companies: DataFrame) -> DataFrame:
+    """rows with company_name: the name configured for company_id, else the id; companies (id, name) is configuration."""
+    named = companies.groupBy(F.col("id").alias("company_id")).agg(F.min("name").alias("_name"))
+    return rows.join(F.broadcast(named), "company_id", "left").withColumn("company_name", F.coalesce(F.nullif(F.trim("_name"), F.lit("")), "company_id")).drop("_name")
+
+
+def shanghai(utc: str) -> str:
+    """A UTC time as cards show it."""
+    try:
+        return (datetime.fromisoformat(utc) + timedelta(hours=8)).strftime("%Y-%m-%d %H:%M")
+    except (TypeError, ValueError):
+        return utc or ""
+
+
+def page(rows: list, funnel: list, reasons: list, date_text: str, failed: list = ()) -> str:
+    """HTML of the digest's rows (bounded: at most 2 * top_n), the report's tables and the first 20 failed sources."""
     e = lambda x: html.escape(str(x if x is not None else ""))
 
     def card(r) -> str:
         mark = "★ " if r["importance"] >= 4 else ""
-        return f"<article data-company='{e(r['company_id'])}'><h3>{mark}<a href='{e(r['link'])}'>{e(r['title_zh'])}</a></h3><small>{e(r['region'])} {e(r['published_at_utc'])}</small><p>{e(r['summary_zh'])}</p></article>"
+        return f"<article data-company='{e(r['company_id'])}'><h3>{mark}<a href='{e(r['link'])}'>{e(r['title_zh'])}</a></h3><small>{e({'domestic': '国内', 'foreign': '海外'}.get(r['region'], r['region']))} {e(shanghai(r['published_at_utc']))}</small><p>{e(r['summary_zh'])}</p></article>"
 
     sections = "".join(f"<section><h2>{e(t)}</h2>{''.join(map(card, own))}</section>" for t, _ in V.TOPICS if (own := [r for r in rows if r["topic"] == t]))
     companies = sorted({r["company_id"] for r in rows} - {"other", "", None})
-    chips = "<button data-pick=''>all</button>" + "".join(f"<button data-pick='{e(c)}'>{e(c)}</button>" for c in companies)
+    names = {r["company_id"]: r.get("company_name") or r["company_id"] for r in rows}
+    chips = "<button data-pick=''>all</button>" + "".join(f"<button data-pick='{e(c)}'>{e(names.get(c, c))}</button>" for c in companies)
+    names_of_failed = "".join(f"<li>{e(name)}: {e(reason)}</li>" for name, reason, *_ in list(failed)[:20]) or "<li>暂无数据</li>"
     table = lambda some: "".join("<tr>" + "".join(f"<td>{e(v)}</td>" for v in r) + "</tr>" for r in some) or "<tr><td>暂无数据</td></tr>"
     kpis = f"{len(rows)} / {sum(r['importance'] >= 4 for r in rows)} / {len(companies)}"
-    return _PAGE.substitute(date=e(date_text), kpis=e(kpis), chips=chips, sections=sections, funnel=table(funnel), reasons=table(reasons))
+    return _PAGE.substitute(date=e(date_text), kpis=e(kpis), chips=chips, sections=sections, funnel=table(funnel), reasons=table(reasons), failed=names_of_failed)

@@ -51,7 +51,9 @@ class Settings:
 def with_sources(items: DataFrame, sources: DataFrame) -> DataFrame:
     """Items with their source's configuration (prefixed s_); unknown ones count as media by RSS. The
     table of sources is configuration: one small row a source, the last of a repeated id."""
-    one = sources.dropDuplicates(["source_id"]).select(F.col("source_id"), *[F.col(c).alias(f"s_{c}") for c in sources.columns if c != "source_id"], F.lit(True).alias("s_known"))
+    given = sources if "ord" in sources.columns else sources.withColumn("ord", F.monotonically_increasing_id())
+    last = given.groupBy("source_id").agg(F.max_by(F.struct(*[c for c in sources.columns if c not in ("source_id", "ord")]), "ord").alias("s"))
+    one = last.select("source_id", *[F.col(f"s.{c}").alias(f"s_{c}") for c in sources.columns if c not in ("source_id", "ord")], F.lit(True).alias("s_known"))
     joined = items.join(F.broadcast(one), "source_id", "left")
     lists = ("entry_urls", "external_link_allow_domains", "url_allow_patterns", "url_block_patterns", "include_keywords", "exclude_keywords")
     known = F.coalesce("s_known", F.lit(False))

@@ -100,3 +100,32 @@ def canonical_metrics(rows: DataFrame, run_date: str, zone: str = "Asia/Shanghai
         F.count_if(dates.same_day("published_at", run_date, zone)).alias("today"), F.count_if(~F.coalesce("resolved_ok", F.lit(True))).alias("unresolved"),
         F.count_if(F.col("region") == "domestic").alias("domestic"), F.count_if(F.col("region") != "domestic").alias("foreign"), F.countDistinct(F.when(~F.col("company_hint").isin("", "other"), F.col("company_hint"))).alias("companies"),
     )
+
+
+def counts_by(rows: DataFrame, *columns: str) -> DataFrame:
+    """How many rows each value of the columns has."""
+    return rows.groupBy(*columns).agg(F.count("*").alias("n"))
+
+
+def breakdown(counts: DataFrame, name: str = "reason") -> DataFrame:
+    """method, reason, n with every known method, unknown ones left out, blank reasons and counts below one dropped."""
+    clean = counts.withColumn(name, tx.strip(name)).filter((F.col(name) != "") & (F.col("n") > 0))
+    known = method_dimension(counts.sparkSession).select("method")
+    return known.join(clean.groupBy("method", name).agg(F.sum("n").cast("long").alias("n")), "method", "left")
+
+
+def discovery_metrics(rows: DataFrame) -> DataFrame:
+    """One row of counts over canonical discovery records: resolved or not, verified or not and why, by kind of source."""
+    search, query = F.col("source_type") == "search_result", F.col("source_type") == "query_rss"
+    resolved, ok, code = F.coalesce("resolved_ok", F.lit(False)), F.col("published_parse_status") == "ok", F.col("query_rss_verify_error_code")
+    counts = {"discovery_items_canonical_count": search | query, "query_rss_resolved_count": query & resolved, "query_rss_resolve_fail_count": query & ~resolved, "search_result_fetch_success_count": search & ok, "search_result_fetch_fail_count": search & ~ok, "search_result_verified_count": search & ok}
+    counts |= {f"query_rss_{c}_count": (search | query) & (code == c) for c in ("fetch_forbidden", "fetch_timeout", "fetch_ssl_error", "fetch_other", "published_not_found")}
+    return rows.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in counts.items()])
+
+
+def filter_metrics(judged: DataFrame) -> DataFrame:
+    """One row of counts over judged rows."""
+    reason, keep = F.col("relevance_reason"), F.col("relevance_keep")
+    dropped = {"published_missing_drop_count": "published_missing_or_unparseable", "query_rss_unresolved_drop_count": "query_rss_unresolved_url", "query_rss_unverified_drop_count": "query_rss_unverified_published", "search_result_unverified_drop_count": "search_result_unverified_published", "not_today_drop_count": "outside_window", "candidate_gate_drop_count": "candidate_gate_miss"}
+    counts = {"relevance_total_in": F.lit(True), "relevance_kept": keep, "relevance_dropped": ~keep} | {n: ~keep & (reason == r) for n, r in dropped.items()}
+    return judged.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in counts.items()])

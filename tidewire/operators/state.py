@@ -54,12 +54,31 @@ def cache_after(cache: DataFrame, briefs: DataFrame, as_of_text: str) -> DataFra
     return cache.join(fresh.select("fingerprint"), "fingerprint", "left_anti").select(*cache.columns).unionByName(fresh)
 
 
+def _store(spark, path: str):
+    jvm = spark.sparkContext._jvm
+    target, fresh, old = (jvm.org.apache.hadoop.fs.Path(path + x) for x in ("", ".new", ".old"))
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target, fresh, old
+
+
+def recovered(spark, path: str) -> bool:
+    """Whether state lies at path, after a swap that broke off is undone: the state before it is never deleted
+    while there is no other."""
+    fs, target, _, old = _store(spark, path)
+    if not fs.exists(target) and fs.exists(old):
+        fs.rename(old, target)
+    return fs.exists(target)
+
+
 def swap_in(table: DataFrame, path: str) -> None:
-    """Write state to a new place beside path, then move it there: readers never see a half-written table."""
+    """Write state to a new place beside path, then move it there: readers never see a half-written table, and
+    at any time the old or the new one is whole."""
     spark = table.sparkSession
-    jvm = spark.sparkContext._jvm
-    target, fresh = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path + ".new")
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, target, fresh, old = _store(spark, path)
+    had = recovered(spark, path)
     table.write.mode("overwrite").parquet(path + ".new")
-    fs.delete(target, True)
-    fs.rename(fresh, target)
+    fs.delete(old, True)
+    if had:
+        fs.rename(target, old)
+    if not fs.rename(fresh, target):
+        raise OSError(f"{path}.new can't be moved")
+    fs.delete(old, True)

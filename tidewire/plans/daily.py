@@ -4,6 +4,7 @@ them where a later one reads them twice."""
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,11 +14,13 @@ from ..functions import dates, markup, summaries as sm, text as tx
 from ..operators import dedup, relevance, reports, state
 
 DISCOVERY = ("query_rss", "search_result")
+#: What a failed page says of a date's verification (fixed values).
+VERIFY_CODES = {"access_forbidden": "fetch_forbidden", "timeout": "fetch_timeout", "ssl_error": "fetch_ssl_error"}
 
 
 def canonical(raw: DataFrame, as_of: Column, pages: DataFrame | None = None) -> DataFrame:
     """Canonical records of raw rows (with seq, their position) that have a title and a link. Discovery
-    rows' dates are verified in pages (link, html, last_modified), if given; a search result's own
+    rows' dates are verified in pages (link, html, last_modified, error), if given; a search result's own
     time is trusted."""
     of = lambda k: F.coalesce(F.try_element_at("payload", F.lit(k)), F.lit(""))
     content = F.coalesce(F.nullif(tx.clean_text(of("content")), F.lit("")), tx.clean_text(of("summary")))
@@ -33,9 +36,10 @@ def canonical(raw: DataFrame, as_of: Column, pages: DataFrame | None = None) ->
     trusted = (F.col("source_type") == "search_result") & (F.col("_feed.status") == "ok")
     resolved = F.when(F.col("source_type") == "search_result", F.col("link") != "").when(F.col("source_type") == "query_rss", F.col("_resolved")).otherwise(F.lit(True))
     if pages is None:
-        rows = rows.withColumns({"_html": F.lit(None).cast("string"), "_modified": F.lit(None).cast("string")})
+        rows = rows.withColumns({c: F.lit(None).cast("string") for c in ("_html", "_modified", "_failed")})
     else:
-        rows = rows.join(pages.select("link", F.col("html").alias("_html"), F.col("last_modified").alias("_modified")), "link", "left")
+        failed = F.col("error") if "error" in pages.columns else F.lit("")
+        rows = rows.join(pages.select("link", F.when(failed == "", F.col("html")).alias("_html"), F.col("last_modified").alias("_modified"), failed.alias("_failed")), "link", "left")
     needed = discovery & ~trusted & resolved & F.col("_html").isNotNull()
     rows = rows.withColumn("_found", F.when(needed, markup.article_date_udf()("_html", "link")))
     rows = rows.withColumns({"_page": dates.parse_in_region("_found.raw", "region", as_of), "_head": dates.parse_datetime("_modified", as_of), "_fetched": dates.parse_datetime("fetched_at", as_of)})
@@ -45,22 +49,44 @@ def canonical(raw: DataFrame, as_of: Column, pages: DataFrame | None = None) ->
     ts = F.when(plain, F.when(F.col("_feed.status") == "ok", F.col("_feed.ts"))).otherwise(F.when(needed & by_page, F.col("_page.ts")).when(needed & by_head, F.col("_head.ts")))
     unverified = F.when(F.col("source_type") == "query_rss", "query_rss_unverified").otherwise("search_result_unverified")
     source = F.when(trusted, "search_result_display_time").when(plain, "feed").when(ts.isNull(), "unresolved").when(by_page, F.col("_found.source")).otherwise("last_modified")
-    code = F.when(plain | ts.isNotNull(), "").when(~resolved, "resolver_failed").when(F.col("_html").isNull(), "fetch_other").otherwise("published_not_found")
+    why = sm.classify_error(F.coalesce("_failed", F.lit("")))
+    kinds = F.create_map(*[F.lit(x) for pair in VERIFY_CODES.items() for x in pair])
+    code = F.when(plain | ts.isNotNull(), "").when(~resolved, "resolver_failed").when(F.col("_html").isNull(), F.coalesce(F.try_element_at(kinds, why["code"]), F.lit("fetch_other"))).otherwise("published_not_found")
     rows = rows.withColumns({"published_at": ts, "published_at_utc": F.coalesce(dates.utc_iso(ts), F.lit("")), "published_missing": ts.isNull()})
     rows = rows.withColumns({
         "published_parse_status": F.when(plain, F.col("_feed.status")).when(ts.isNotNull(), "ok").otherwise(unverified), "published_source": source,
         "query_rss_verify_error_code": code, "resolved_ok": resolved, "resolved_url": F.when(F.col("source_type") == "search_result", F.col("link")).otherwise(F.col("_url")),
         "id": F.sha1(F.concat_ws("|", "link", "published_at_utc", "title")), "fingerprint": tx.fingerprint("title"), "language": tx.detect_language(F.concat_ws(" ", "title", "content")),
-        "query_rss_verify_error_zh": F.when(code == "", "").when(code == "fetch_other", V.UNKNOWN_ERROR[1]).otherwise(F.lit(V.REASON_LABELS["query_rss_unverified_published"])),
+        "query_rss_verify_error_zh": F.when(code == "", "").when(F.startswith(code, F.lit("fetch_")), F.coalesce(F.nullif(why["label"], F.lit("")), F.lit(V.UNKNOWN_ERROR[1]))).otherwise(F.lit(V.REASON_LABELS["query_rss_unverified_published"])),
     })
     return rows.drop(*[c for c in rows.columns if c.startswith("_")], "payload")
 
 
-def deduplicated(rows: DataFrame, seen: DataFrame) -> DataFrame:
-    """By link, then against history, then by title."""
+def to_verify(raw: DataFrame, as_of: Column) -> DataFrame:
+    """link: the pages in which canonical() would look for the dates of discovery rows."""
+    rows = canonical(raw, as_of).filter(F.col("source_type").isin(*DISCOVERY) & F.col("published_missing") & F.col("resolved_ok"))
+    return rows.select("link").distinct()
+
+
+def _steps(rows: DataFrame, seen: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     titled = dedup.dedup_link(rows).withColumn("title_key", F.coalesce(F.nullif(tx.normalize_title("title"), F.lit("")), F.lower(tx.strip("title"))))
     fresh = dedup.unseen(titled, seen, F.col("source_type").isin(*DISCOVERY))
-    return dedup.dedup_title(fresh, "title_key").drop("title_key")
+    return titled, fresh, dedup.dedup_title(fresh, "title_key")
+
+
+def deduplicated(rows: DataFrame, seen: DataFrame) -> DataFrame:
+    """By link, then against history, then by title."""
+    return _steps(rows, seen)[2].drop("title_key")
+
+
+def pre_candidate_drops(raw: DataFrame, rows: DataFrame, seen: DataFrame) -> DataFrame:
+    """method, reason, n: what raw records (source_type) lost before they were candidates; rows are canonical()'s. A
+    reason's count is the difference of two steps' counts, so nothing but counts is joined."""
+    steps = [raw, rows, *_steps(rows, seen)]
+    counted = [x.groupBy(relevance.normalize_method("source_type").alias("method")).agg(F.count("*").alias("n")).withColumn("step", F.lit(i)) for i, x in enumerate(steps)]
+    wide = reduce(DataFrame.unionByName, counted).filter("method <> ''").groupBy("method").pivot("step", list(range(len(steps)))).agg(F.sum("n"))
+    lost = [F.struct(F.lit(reason).alias("reason"), (F.coalesce(F.col(str(i)), F.lit(0)) - F.coalesce(F.col(str(i + 1)), F.lit(0))).alias("n")) for i, reason in enumerate(V.PRE_CANDIDATE_REASONS)]
+    return wide.select("method", F.explode(F.array(*lost)).alias("x")).select("method", "x.reason", "x.n").filter("n > 0")
 
 
 def enriched(rows: DataFrame, pages: DataFrame, least: int = 500) -> DataFrame:

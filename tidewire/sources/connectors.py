@@ -10,7 +10,7 @@ import json
 import os
 from urllib.parse import urlencode
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import markup
@@ -25,7 +25,9 @@ REGISTER = "https://www.federalregister.gov/api/v1/documents.json"
 SEARCH_API = {"endpoint": "https://serpapi.com/search.json", "engine": "google_news", "api_key_env": "SERPAPI_API_KEY"}
 MOST = {"query_rss": 30, "search_result": 20, "search_api": 10, "official_api": 10, "structured_web": 8}
 RECENCY = "when:1d"
-_REQUEST = "source_id string, source_name string, source_type string, provider string, query string, query_group string, most int, url string, error string"
+#: Cards of a result page that are read; the cap of a query is configured.
+CARDS = 1000
+_REQUEST = "source_id string, source_name string, source_type string, provider string, query string, query_group string, most int, url string, error string, request int"
 
 
 def _queries(source: dict, config: dict) -> list[dict] | None:
@@ -44,7 +46,8 @@ def requests_of(source: dict, config: dict) -> list[tuple]:
     """The rows of _REQUEST for one source; a row with an error and no URL where it can't be asked."""
     kind = str(source.get("source_type", "rss")).strip().lower() or "rss"
     provider, name = str(source.get("provider", "")).strip().lower(), str(source.get("name", ""))
-    most = int(source.get("max_results_per_query") or source.get("max_items_per_run") or source.get("max_items") or MOST.get(kind, 1 << 30))
+    own = source.get({"rss": "max_items", "structured_web": "max_items_per_run"}.get(kind, "max_results_per_query"))
+    most = int(own) if isinstance(own, int) and own > 0 else int(own or MOST.get(kind, 0)) or None
     row = lambda url, query="", group="", error="": (str(source.get("id", "")), name, kind, provider, query, group, most, url, error)
     fail = lambda error: [row("", error=error)]
     if kind == "rss":
@@ -85,57 +88,89 @@ def requests_of(source: dict, config: dict) -> list[tuple]:
 
 def planned(spark: SparkSession, config: dict) -> DataFrame:
     """The requests of all enabled sources."""
-    rows = [r for s in config.get("sources", []) if s.get("enabled", True) for r in requests_of(s, config)]
+    rows = [(*r, i) for s in config.get("sources", []) if s.get("enabled", True) for i, r in enumerate(requests_of(s, config))]
     return spark.createDataFrame(rows, _REQUEST)
 
 
-def fetched(requests: DataFrame, transport: str = "capture", path: str = "") -> DataFrame:
-    """requests with status, body (text) and error."""
+def fetched(requests: DataFrame, transport: str = "capture", path: str = "", headers: dict | None = None) -> DataFrame:
+    """requests with status, body (text), modified and error. headers: by URL, as configured."""
     spark = requests.sparkSession
     spark.dataSource.register(fetching.FetchSource)
-    urls = [r.url for r in requests.filter("url <> ''").select("url").distinct().collect()]  # configuration: a row a URL
-    got = spark.read.format("fetch").option("urls", json.dumps(urls)).option("transport", transport).option("path", path).load()
-    got = got.select("url", "status", markup.decode_udf()("body").alias("body"), F.col("error").alias("failed"))
+    urls = [r.url for r in requests.filter("url <> ''").select("url").distinct().collect()]  # a row a request
+    got = spark.read.format("fetch").option("urls", json.dumps(urls)).option("transport", transport).option("path", path).option("headers", json.dumps(headers or {})).load()
+    got = got.select("url", "status", markup.decode_udf()("body").alias("body"), "modified", F.col("error").alias("failed"))
     return requests.join(got, "url", "left").withColumn("error", F.coalesce(F.nullif("error", F.lit("")), "failed", F.lit(""))).drop("failed")
 
 
-_FIELDS = ("title", "summary", "content", "link", "published", "source_name", "attachment_link", "search_provider", "search_query", "search_display_time", "search_rank")
+def headers_of(config: dict) -> dict[str, dict]:
+    """The headers of each URL of a source that configures some."""
+    return {r[7]: s["headers"] for s in config.get("sources", []) if isinstance(s.get("headers"), dict) for r in requests_of(s, config) if r[7]}
+
+
+def _extraction(spark: SparkSession, config: dict) -> DataFrame:
+    """source_id, extractor and selectors (a map) of each structured source: configuration."""
+    rows = [(str(s.get("id", "")), str(s.get("extractor", "css_selector")).strip().lower(), {str(k): str(v) for k, v in (s.get("selectors") if isinstance(s.get("selectors"), dict) else {}).items()}) for s in config.get("sources", [])]
+    return spark.createDataFrame(rows, "source_id string, extractor string, selectors map<string,string>").dropDuplicates(["source_id"])
+
+
+def article_requests(answers: DataFrame, config: dict, year: int) -> DataFrame:
+    """The article pages that structured sources' entry pages and sitemaps list, as requests: each link once, a source's
+    first `most`; request is a page's place."""
+    ways = _extraction(answers.sparkSession, config)
+    entries = answers.filter("error = '' and source_type = 'structured_web'").join(F.broadcast(ways), "source_id")
+    selector = F.coalesce(F.try_element_at("selectors", F.lit("article_link")), F.lit("a"))
+    pages = entries.filter("extractor <> 'sitemap'")
+    listed = feeds.article_links(pages, selector).unionByName(feeds.parse_sitemaps(entries.filter("extractor = 'sitemap'")), allowMissingColumns=True)
+    placed = feeds.site_links(listed, year)
+    first = placed.groupBy("source_id", "link").agg(F.min("pos").alias("pos"), F.max("most").alias("most"))
+    kept = feeds.capped_items(first, F.col("most")).withColumnRenamed("pos", "request")
+    names = answers.select("source_id", "source_name").distinct()
+    return kept.join(F.broadcast(names), "source_id").select("source_id", "source_name", F.lit("structured_web").alias("source_type"), F.lit("").alias("provider"), F.lit("").alias("query"), F.lit("").alias("query_group"), "most", F.col("link").alias("url"), F.lit("").alias("error"), F.col("request").cast("int").alias("request"))
+
+
+def article_rows(article_pages: DataFrame, config: dict, as_of: Column | None = None) -> DataFrame:
+    """Items of fetched article pages (source_id, url, body and request), by each source's own selectors."""
+    ways = _extraction(article_pages.sparkSession, config)
+    given = article_pages.filter(F.col("body").isNotNull()).join(F.broadcast(ways), "source_id")
+    found = given.withColumn("x", markup.article_columns("url", "body", F.col("selectors"), F.col("extractor") == "json_ld", as_of))
+    place = F.col("request") if "request" in article_pages.columns else F.lit(0)
+    rows = found.select("source_id", place.alias("request"), F.lit(0).alias("pos"), "x.title", "x.summary", "x.content", "x.link", "x.published", "x.attachment_link")
+    return rows.filter((F.col("title") != "") & (F.col("link") != "") & ~feeds.invalid_record("source_id", "title", "link"))
+
+
+_FIELDS = ("title", "summary", "content", "link", "published", "source_name", "attachment_link", "search_provider", "search_query", "search_display_time", "search_rank", "feed_published", "discovery_query", "discovery_query_group")
 
 
 def raw_records(answers: DataFrame, fetched_at: str, config: dict, article_pages: DataFrame | None = None) -> DataFrame:
-    """Raw records (schemas.RAW and seq) of all types' answers, in the order of sources and positions.
-    article_pages (source_id, url, body) holds the article pages of structured sources."""
-    ok = answers.filter("error = ''")
+    """Raw records (schemas.RAW and seq) of all types' answers, in the order of sources, requests and positions, within
+    each connector's cap. article_pages (source_id, url, body, request) holds structured sources' pages."""
+    ok = answers.filter("error = ''").withColumn("capped_by", F.when(F.col("source_type") == "rss", -1).otherwise(F.col("request")))
     kind = lambda k: ok.filter(F.col("source_type") == k)
+    discovered = {"feed_published": F.col("published"), "discovery_query": F.col("query"), "discovery_query_group": F.col("query_group")}
     parts = [
-        feeds.parse_feeds(kind("rss")), feeds.parse_feeds(kind("query_rss")), feeds.parse_search_api(kind("search_api")), feeds.parse_official_api(kind("official_api")),
-        *[feeds.parse_result_pages(kind("search_result").filter(F.col("provider") == p), p).withColumn("pos", F.col("search_rank") - 1) for p in RESULT_PAGES],
+        feeds.parse_feeds(kind("rss")), feeds.parse_feeds(kind("query_rss")).withColumns(discovered), feeds.parse_search_api(kind("search_api")), feeds.parse_official_api(kind("official_api")),
+        *[feeds.parse_result_pages(kind("search_result").filter(F.col("provider") == p), p, CARDS).withColumn("pos", F.col("search_rank") - 1) for p in RESULT_PAGES],
     ]
     if article_pages is not None:
-        selectors = {str(s.get("id", "")): s.get("selectors") or {} for s in config.get("sources", [])}
-        for extractor in (False, True):
-            ids = [str(s.get("id", "")) for s in config.get("sources", []) if (str(s.get("extractor", "")).lower() == "json_ld") == extractor]
-            for sid in ids:
-                pages = article_pages.filter(F.col("source_id") == sid).withColumn("x", markup.article_udf(selectors[sid], extractor)("url", "body"))
-                rows = pages.select("source_id", F.lit(0).alias("pos"), "x.*").filter(~feeds.invalid_record("source_id", "title", "link"))
-                parts.append(rows.filter((F.col("title") != "") & (F.col("link") != "")))
+        parts.append(article_rows(article_pages, config))
     whole = parts[0]
     for more in parts[1:]:
         whole = whole.unionByName(more, allowMissingColumns=True)
+    whole = feeds.capped_items(whole.withColumn("capped_by", F.coalesce("capped_by", F.lit(-1))), F.col("most"), ("request", "pos"), ("source_id", "capped_by"))
     have = [c for c in _FIELDS if c in whole.columns]
     payload = F.map_filter(F.create_map(*[x for c in have for x in (F.lit(c), F.col(c).cast("string"))]), lambda k, v: v.isNotNull())
     dimension = answers.sparkSession.createDataFrame(
         [(str(s.get("id", "")), str(s.get("name", "")), str(s.get("source_type", "rss")).lower(), str(s.get("region", "foreign")).lower(), str(s.get("source_company_id", "")), i) for i, s in enumerate(config.get("sources", []))],
         "source_id string, name string, source_type string, region string, company_hint string, ord int",
     )
-    rows = whole.select("source_id", "pos", F.col("link").alias("url"), payload.alias("payload")).join(F.broadcast(dimension), "source_id")
+    rows = whole.select("source_id", "request", "pos", F.col("link").alias("url"), payload.alias("payload")).join(F.broadcast(dimension), "source_id")
     resolved = feeds.resolve_wrappers(rows, "url")
     wrapped = F.col("source_type") == "query_rss"
     more = F.create_map(F.lit("resolved_url"), "resolved_url", F.lit("resolved_ok"), F.col("resolved_ok").cast("string"), F.lit("resolver_method"), "resolver_method", F.lit("google_news_link"), "url")
     payload = F.when(wrapped, F.map_concat(F.map_filter("payload", lambda k, v: k != "link"), more, F.create_map(F.lit("link"), F.when(F.col("resolved_ok"), F.col("resolved_url")).otherwise(F.col("url"))))).otherwise(F.col("payload"))
     return resolved.select(
         "source_id", F.col("name").alias("source_name"), "source_type", "region", "company_hint", F.lit(fetched_at).alias("fetched_at"), "url", payload.alias("payload"),
-        (F.col("ord").cast("long") * 1_000_000 + F.col("pos")).alias("seq"),
+        (F.shiftleft(F.col("ord").cast("long"), 42) + F.shiftleft(F.coalesce("request", F.lit(0)).cast("long"), 24) + F.col("pos")).alias("seq"),
     )
 
 

@@ -1,4 +1,5 @@
-"""A Spark data source that fetches URLs, one partition for each, and gives (url, status, body, error).
+"""A Spark data source that fetches URLs, one partition for each, and gives (url, status, body, error,
+modified: the Last-Modified header, or what a capture NAME.modified says).
 
 Errors become rows, so one bad source never fails a run. The transport is injectable: "capture" (the
 default) reads a folder of captured bodies, "http" uses the network with retries and linear backoff.
@@ -63,6 +64,7 @@ def last_modified(url: str, timeout: float = 15) -> str:
 class FetchReader(DataSourceReader):
     def __init__(self, options: dict):
         self.urls, self.transport, self.path = json.loads(options.get("urls", "[]")), options.get("transport", "capture"), options.get("path", "")
+        self.headers = json.loads(options.get("headers", "{}"))
         self.timeout, self.tries = float(options.get("timeout", 20)), int(options.get("tries", 3))
 
     def partitions(self):
@@ -74,14 +76,18 @@ class FetchReader(DataSourceReader):
         try:
             if self.transport == "capture":
                 with open(os.path.join(self.path, capture_name(partition.url)), "rb") as f:
-                    status, body = 200, f.read()
+                    status, body, modified = 200, f.read(), ""
+                if os.path.exists(f.name + ".modified"):
+                    with open(f.name + ".modified", encoding="utf-8") as m:
+                        modified = m.read().strip()
             else:
-                status, body, _ = http_get(partition.url, self.timeout, self.tries)
-            yield partition.url, status, body, ""
+                status, body, headers = http_get(partition.url, self.timeout, self.tries, headers=self.headers.get(partition.url))
+                modified = headers.get("Last-Modified", "") or last_modified(partition.url)
+            yield partition.url, status, body, "", modified
         except urllib.error.HTTPError as e:
-            yield partition.url, e.code, b"", str(e)[:500]
+            yield partition.url, e.code, b"", str(e)[:500], ""
         except OSError as e:
-            yield partition.url, 0, b"", ("404 not found" if isinstance(e, FileNotFoundError) else str(e))[:500]
+            yield partition.url, 0, b"", ("404 not found" if isinstance(e, FileNotFoundError) else str(e))[:500], ""
 
 
 class FetchSource(DataSource):
@@ -90,7 +96,7 @@ class FetchSource(DataSource):
         return "fetch"
 
     def schema(self):
-        return "url string, status int, body binary, error string"
+        return "url string, status int, body binary, error string, modified string"
 
     def reader(self, schema):
         return FetchReader(self.options)
