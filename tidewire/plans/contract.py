@@ -310,7 +310,31 @@ def parse_dates(spark, d):
     return _t(spark, d, "events").select("event_id", dates.utc_iso(parsed["ts"]).alias("iso"), parsed["status"].alias("status"))
 
 
+def _as_raw(spark, d) -> DataFrame:
+    """Documents as raw records whose links repeat; some have no title."""
+    items, sources = _items(spark, d)
+    kinds = sources.select("source_id", "source_type")
+    title = F.when(F.col("doc_id") % 29 == 0, "").otherwise(F.col("title"))
+    rows = items.join(kinds, "source_id").withColumns({"title": title, "link": F.concat_ws("/", "source_id", (F.col("doc_id") % 700).cast("string")), "published_at_utc": F.length("content")})
+    return rows.withColumn("fingerprint", tx.fingerprint("title"))
+
+
+def pre_candidate_reasons(spark, d):
+    raw = _as_raw(spark, d)
+    seen = raw.filter(F.col("doc_id") % 17 == 0).select(F.col("link").alias("resolved_url"), F.lit("").alias("fingerprint"))
+    from .daily import pre_candidate_drops
+
+    return pre_candidate_drops(raw, raw.filter("title <> ''"), seen)
+
+
+def items_by_source_status(spark, d):
+    items, _ = _items(spark, d)
+    status = F.when(F.col("published_missing"), "missing").otherwise(F.col("published_parse_status"))
+    return reports.counts_by(items.withColumn("status", status), "source_id", "status")
+
+
 _QUERIES = (
+    pre_candidate_reasons, items_by_source_status,
     clean_text_pages, normalize_title_docs, normalize_url_pages, tokenize_counts, detect_language_docs, dedup_link_pages, dedup_title_docs, history_antijoin, prev_day_window, recency_days,
     keyword_hits, relevance_score, drop_reasons_top3, pass_rate, kept_by_source, stage_funnel, reason_method_pivot, url_rules, source_cap, tfidf, cosine_pairs, tfidf_text, cosine_pairs_text, semantic_dedup, title_jaccard_dedup, infer_tags,
     impact_distribution, topic_digest, notify_topn, company_infer, region_infer, sentence_validate, article_extract, link_extract, page_titles, enrich_longer, seen_upsert, cache_ttl, error_classify, source_health, config_violations, parse_dates,
@@ -417,7 +441,15 @@ def oracle_sql() -> dict[str, str]:
           select x.doc_id a, y.doc_id b from u x join u y on x.term = y.term and x.doc_id < y.doc_id group by 1, 2 having sum(x.w * y.w) >= 0.75 - 1e-12"""
     titles = f"""with t as materialized (select doc_id, list_distinct({_TOKENS.format(_TITLE)}) ts from documents), e as (select doc_id, len(ts) n, unnest(ts) term from t)
           select x.doc_id a, y.doc_id b from e x join e y on x.term = y.term and x.doc_id < y.doc_id group by 1, 2, x.n, y.n having count(*) / (x.n + y.n - count(*)) >= 0.45"""
+    raw = f"""raw as (select doc_id, case when doc_id % 29 = 0 then '' else {_TITLE} end title, source || '/' || (doc_id % 700) link, length(text) published,
+          (['rss', 'query_rss', 'search_api', 'structured_web', 'search_result'])[cast(regexp_extract(source, '(\\d+)$', 1) as int) % 5 + 1] "method" from documents)"""
     return {
+        "pre_candidate_reasons": f"""with {raw}, seen as (select link from raw where doc_id % 17 = 0), a as (select *, row_number() over (partition by link order by published desc nulls last, doc_id) l from raw where title <> ''),
+          b as (select * from a where l = 1), h as (select *, "method" in ('query_rss', 'search_result') and link in (select link from seen) old from b),
+          k as (select *, {_KEY.replace('__C__', 'title')} k1 from h where not old), t as (select *, row_number() over (partition by case when k1 <> '' then k1 else lower(trim(title)) end order by published desc nulls last, doc_id) r from k)
+          select * from (select "method", '缺少标题或链接' reason, count(*) n from raw where title = '' group by 1 union all select "method", '一级去重（链接）', count(*) from a where l > 1 group by 1
+          union all select "method", '历史去重（已见文章）', count(*) from h where old group by 1 union all select "method", '二级去重（标题）', count(*) from t where r > 1 group by 1) where "method" <> 'query_rss'""",
+        "items_by_source_status": "select source source_id, case when doc_id % 41 = 0 then 'missing' else 'ok' end status, count(*) n from documents group by all",
         "semantic_dedup": greedy(similar),
         "title_jaccard_dedup": greedy(titles),
         "link_extract": """with l as (select page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) h, generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)"', 1), 1) i from pages),

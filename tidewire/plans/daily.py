@@ -85,7 +85,7 @@ def pre_candidate_drops(raw: DataFrame, rows: DataFrame, seen: DataFrame) -> Dat
     steps = [raw, rows, *_steps(rows, seen)]
     counted = [x.groupBy(relevance.normalize_method("source_type").alias("method")).agg(F.count("*").alias("n")).withColumn("step", F.lit(i)) for i, x in enumerate(steps)]
     wide = reduce(DataFrame.unionByName, counted).filter("method <> ''").groupBy("method").pivot("step", list(range(len(steps)))).agg(F.sum("n"))
-    lost = [F.struct(F.lit(reason).alias("reason"), (F.coalesce(F.col(str(i)), F.lit(0)) - F.coalesce(F.col(str(i + 1)), F.lit(0))).alias("n")) for i, reason in enumerate(V.PRE_CANDIDATE_REASONS)]
+    lost = [F.struct(F.lit(reason).alias("reason"), (F.coalesce(F.col(str(i)), F.lit(0)) - F.coalesce(F.col(str(i + 1)), F.lit(0))).alias("n")) for i, reason in enumerate(V.PRE_CANDIDATE_REASONS.values())]
     return wide.select("method", F.explode(F.array(*lost)).alias("x")).select("method", "x.reason", "x.n").filter("n > 0")
 
 

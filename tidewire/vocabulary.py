@@ -145,6 +145,3 @@ ERROR_RULES = (
     ("incomplete_read", "响应数据不完整（服务端提前关闭连接）", (("incompleteread",),)),
 )
 UNKNOWN_ERROR = ("unknown_error", "抓取异常")
-
-#: What takes a raw record out before it is a candidate, in the order of the steps (fixed values).
-PRE_CANDIDATE_REASONS = ("缺少标题或链接", "一级去重（链接）", "历史去重（已见文章）", "二级去重（标题）")
