@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import importlib
 
+from . import fields
+
 #: Query name: module with query(spark, sf_dir) and perhaps ORACLE_SQL.
 MODULES = {
     "op1_mixing": "mixing",
@@ -24,8 +26,8 @@ def _modules():
 
 
 def queries() -> dict:
-    return {name: module.query for name, module in _modules().items()}
+    return {name: module.query for name, module in _modules().items()} | {q.__name__: q for q in fields.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: module.ORACLE_SQL for name, module in _modules().items() if getattr(module, "ORACLE_SQL", None)}
+    return {name: module.ORACLE_SQL for name, module in _modules().items() if getattr(module, "ORACLE_SQL", None)} | fields.SQL
