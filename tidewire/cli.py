@@ -22,7 +22,7 @@ from . import schemas
 from .operators import digest, relevance, reports, state, validate
 from .plans import daily
 from .sources import connectors, fetching, records
-from .tables import written
+from .tables import clear, written
 
 STAGES = ("validate", "fetch", "parse", "filter", "enrich", "summarize", "render", "notify")
 
@@ -117,6 +117,7 @@ def main(argv: list[str] | None = None) -> int:
             for r in found:
                 print(f"{r.table} {r.id}: {r.rule} {r.value}", file=sys.stderr)
             if found:
+                report.stage(stage, "failed")
                 return 1
         elif stage == "fetch":
             headers = connectors.headers_of(config)
@@ -172,6 +173,7 @@ def main(argv: list[str] | None = None) -> int:
             text = digest.message(top, a.date, a.html_url, read("judged").count(), kept)
             report.patch(push_status=notified(text, a.webhook, a.date, a.html_url))
         report.stage(stage)
+    clear(spark)
     if a.once and a.stage == "all":
         records.write_text(spark, a.date, gate)
     return 0

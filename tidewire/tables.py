@@ -27,10 +27,20 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def _own(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all tables this application wrote; call it when its results are written elsewhere."""
+    of = spark._jvm.org.apache.hadoop.fs.Path(_own(spark))
+    of.getFileSystem(spark._jsc.hadoopConfiguration()).delete(of, True)
+
+
 def written(df: DataFrame) -> DataFrame:
     """df as a written table; its row count is taken on the way."""
     spark = df.sparkSession
-    path, seen = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}", Observation()
+    path, seen = f"{_own(spark)}/{uuid.uuid4().hex}", Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._rows_written, table._path = seen.get["rows"], path
