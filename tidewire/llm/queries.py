@@ -18,6 +18,7 @@ MODULES = {
     "op8_lm_scoring": "lm",
     "op9_pii": "pii",
     "op10_line_dedup": "line_dedup",
+    "op11_lexical_search": "lexical",
 }
 
 

@@ -12,7 +12,7 @@ import zipfile
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from ..tables import bytes_of, rows_of, shared_dir, small, written  # noqa: F401
+from ..tables import BROADCAST_BYTES, BROADCAST_ROWS, bytes_of, rows_of, shared_dir, small, written  # noqa: F401
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
