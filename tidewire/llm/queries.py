@@ -19,6 +19,7 @@ MODULES = {
     "op9_pii": "pii",
     "op10_line_dedup": "line_dedup",
     "op11_lexical_search": "lexical",
+    "op12_vector_codes": "codebooks",
 }
 
 

@@ -71,5 +71,11 @@ def is_empty(df: DataFrame) -> bool:
     return not rows_of(df) if hasattr(df, "_rows_written") else not df.take(1)
 
 
+def drop(table: DataFrame) -> None:
+    """Delete a written table that nothing reads any more."""
+    of = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._path)
+    of.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(of, True)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
