@@ -20,6 +20,7 @@ MODULES = {
     "op10_line_dedup": "line_dedup",
     "op11_lexical_search": "lexical",
     "op12_vector_codes": "codebooks",
+    "op13_ngram_join": "ngram_join",
 }
 
 
