@@ -11,9 +11,9 @@ runs that fall on it, as wide as its size asks for. Bits that differ come from r
 so their count bounds the overlap from above; pairs within the bound are decided by the exact
 intersection of both sorted arrays of runs.
 
-First every tile is tied to one leader, which links groups of copies at a row an entry. Tiles whose entries are
-then in different components are compared in whole, in cells of two blocks of entries, and only pairs
-of different components that pass the bound leave a cell. So components are those of all links, and neither
+First every tile is tied to one leader, and those whose entries are then in different components to another, which
+links groups of copies at a row an entry. Tiles still mixed are compared in whole, in cells of two blocks
+of entries, and only pairs of different components that pass the bound leave a cell. So components are those of all links, and neither
 a list nor a task holds a tile.
 
 Runs are known by 64-bit hashes of their words. Defined results: null text counts as empty; texts without
@@ -197,6 +197,19 @@ def _compared(cells: DataFrame, percent: int) -> DataFrame:
     return dealt.select("key", "lo", "hi", "side", "id", "label", "size", "own", "map").mapInArrow(runtime.frugal(compare), "a long, b long")
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels (id, label) after more links (a, b); what they add is a row for each pair of labels."""
+    if runtime.is_empty(links):
+        return labels
+    at = runtime.small(labels)
+    a, b = (at.select(F.col("id").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
+    ends = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+    tops = linking.min_labels(runtime.written(ends.filter("a <> b").distinct()))
+    known = labels.select("id", "label").union(tops.select("id", F.col("id").alias("label"))).distinct()
+    top = runtime.small(tops).select(F.col("id").alias("label"), F.col("label").alias("top"))
+    return runtime.written(known.join(top, "label", "left").select("id", F.coalesce("top", "label").alias("label")))
+
+
 def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of docs."""
     sets = sketched(docs, words, percent)
@@ -243,17 +256,23 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     def linked(pairs: DataFrame) -> DataFrame:
         return runtime.written(linking.verified(pairs, payload(pairs), load, alike))
 
-    links = linked(runtime.written(_bounded(runtime.written(tied), maps, percent)))
-    labels = linking.min_labels(links)
-    mixed = linking._mixed(tiled.join(runtime.small(tiles.select("key")), "key", "left_semi"), labels)
+    def unsettled(labels: DataFrame) -> DataFrame:
+        return linking._mixed(tiled.join(runtime.small(tiles.select("key")), "key", "left_semi"), labels)
+
+    labels = linking.min_labels(linked(runtime.written(_bounded(runtime.written(tied), maps, percent))))
+    mixed = unsettled(labels)
+    if not runtime.is_empty(mixed):  # once more, each run's tile by a leader of its own
+        place = F.struct(F.xxhash64("id", "key").alias("h"), F.col("id"), F.col("label"))
+        leads = runtime.written(mixed.groupBy("key").agg(F.min(F.when(F.col("own"), place)).alias("lead")).select("key", F.col("lead.id").alias("lead"), F.col("lead.label").alias("led")))
+        tied = mixed.join(runtime.small(leads), "key").filter("label <> led").select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
+        labels = _merged(labels, linked(runtime.written(_bounded(runtime.written(tied), maps, percent))))
+        mixed = unsettled(labels)
     if not runtime.is_empty(mixed):
         sizes = runtime.written(mixed.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
         block = F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int")
         dealt = mixed.join(runtime.small(sizes), "key").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         cells = dealt.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), (F.col("block") > F.col("other")).cast("int").alias("side"), "id", "label", "own")
-        more = linked(runtime.written(_compared(cells.join(runtime.small(maps), "id"), percent).distinct()))
-        if not runtime.is_empty(more):
-            labels = linking.min_labels(runtime.written(links.union(more).distinct()))
+        labels = _merged(labels, linked(runtime.written(_compared(cells.join(runtime.small(maps), "id"), percent).distinct())))
     named = entries.join(runtime.small(labels), "id", "left").withColumn("label", F.coalesce("label", "id"))
     least = runtime.written(named.groupBy("label").agg(F.min("least").alias("component_id")))
     known = runtime.written(named.join(runtime.small(least), "label").select("d1", "d2", "component_id"))
