@@ -1,8 +1,12 @@
 """TF-IDF and cosines over whole texts, against brute force."""
 
 import math
+import random
 from collections import Counter
 
+import pytest
+
+from tidewire.operators import similarity
 from tidewire.plans import contract
 
 
@@ -20,3 +24,22 @@ def test_whole_texts(spark, tmp_path):
     cosine = {(i, j): sum(x * want[j].get(w, 0) for w, x in want[i].items()) / norm[i] / norm[j] for i in range(6) for j in range(i + 1, 6)}
     pairs = {(r.a, r.b): r.cosine for r in contract.cosine_pairs_text(spark, str(tmp_path)).collect()}
     assert pairs.keys() == {k for k, x in cosine.items() if x >= 0.75} >= {(0, 1)} and all(abs(x - cosine[k]) < 1e-6 for k, x in pairs.items())
+
+
+@pytest.mark.parametrize("list_rows, cell_pairs, threshold", [(2000, 20_000, 0.75), (2, 1, 0.75), (3, 7, 0.3), (2000, 5, 0.99)])
+def test_cosine_pairs_in_blocks(spark, monkeypatch, list_rows, cell_pairs, threshold):
+    """Near copies, a term that nearly all rows hold, rows without weight: whatever the blocks, the pairs are brute force's."""
+    monkeypatch.setattr(similarity, "LIST_ROWS", list_rows)
+    monkeypatch.setattr(similarity, "CELL_PAIRS", cell_pairs)
+    r = random.Random(7)
+    rows = [{f"t{r.randrange(60)}": r.random() + 0.01 for _ in range(r.randint(1, 12))} | {"the": 0.3} for _ in range(40)]
+    for i in range(0, 40, 3):
+        rows.append({t: w * r.uniform(0.8, 1.2) for t, w in rows[i].items() if r.random() < 0.9})
+    rows += [{"lone": 2.0}, {"the": 0.0}, {}]
+    norm = [math.sqrt(sum(w * w for w in v.values())) for v in rows]
+    want = {(i, j): sum(w * rows[j].get(t, 0) for t, w in rows[i].items()) / norm[i] / norm[j] for i in range(len(rows)) for j in range(i + 1, len(rows)) if norm[i] and norm[j]}
+    want = {k: c for k, c in want.items() if c >= threshold}
+    vectors = spark.createDataFrame([(i, t, w) for i, v in enumerate(rows) for t, w in v.items()], "id long, term string, w double")
+    got = {(x.a, x.b): x.cosine for x in similarity.cosine_pairs(vectors, "id", threshold).collect()}
+    assert got.keys() == want.keys() and all(abs(c - want[k]) < 1e-9 for k, c in got.items())
+    assert similarity.cosine_pairs(vectors.limit(0), "id", threshold).collect() == []

@@ -7,6 +7,11 @@ row, in rounds: a row without an unsettled earlier neighbour stays and beats its
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -14,6 +19,9 @@ from pyspark.sql.window import Window as W
 from ..functions import text as tx
 from ..tables import BROADCAST_ROWS, rows_of, small, written
 
+#: Entries of a block of an inverted list; candidate pairs of a cell in which whole vectors meet.
+LIST_ROWS, CELL_PAIRS = 2000, 20_000
+
 
 def term_counts(rows: DataFrame, key: str, text: Column | str) -> DataFrame:
     """key, term, n: how often each token occurs in each row."""
@@ -37,21 +45,70 @@ def first_of_equal(rows: DataFrame, place: str, tokens: str) -> DataFrame:
     return rows.filter(F.size(tokens) > 0).join(firsts, place, "left_semi").unionByName(rows.filter(F.size(tokens) == 0))
 
 
+def _listed(unit: DataFrame, threshold: float) -> DataFrame:
+    """The inverted lists' entries (tid, k, w, left, rest) by which rows meet. Terms have one order, frequent ones first; left is the
+    norm of a row's terms up to this one, and rest the norm of those before it. Two rows whose rarest common term this is
+    share nothing beyond it, so their cosine is at most the product of their lefts."""
+    order = W.partitionBy("k").orderBy(F.desc("df"), "tid").rowsBetween(W.unboundedPreceding, 0)
+    square = F.col("w") * F.col("w")
+    rows = unit.withColumn("_q", F.sum(square).over(order)).filter((F.col("_q") >= threshold * threshold - 1e-9) & (F.col("df") > 1))
+    return rows.select("tid", "k", "w", F.sqrt("_q").alias("left"), F.sqrt(F.greatest(F.lit(0.0), F.col("_q") - square)).alias("rest"))
+
+
+def _candidates(lists: DataFrame, threshold: float) -> DataFrame:
+    """a, b (a < b) of rows whose partial products over the lists, and the norms of what is left, allow the threshold. A list
+    longer than LIST_ROWS is cut into blocks of rows, and pairs of blocks meet in tasks of their own."""
+    blocks = written(lists.groupBy("tid").agg(F.ceil(F.count("*") / LIST_ROWS).cast("int").alias("blocks"), F.count("*").alias("n")).filter("n > 1").select("tid", "blocks"))
+    dealt = lists.join(small(blocks), "tid").withColumn("block", F.pmod(F.xxhash64("k", "tid"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = written(dealt.select("tid", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), (F.col("block") > F.col("other")).alias("second"), "k", "w", "left", "rest"))
+    x, y = (cells.select("tid", "lo", "hi", *[F.col(c).alias(f"{c}_{side}") for c in ("k", "w", "left", "rest", "second")]) for side in "xy")
+    apart = F.when(F.col("lo") == F.col("hi"), F.col("k_x") < F.col("k_y")).otherwise(~F.col("second_x") & F.col("second_y"))
+    met = x.join(y, ["tid", "lo", "hi"]).filter(apart & (F.col("left_x") * F.col("left_y") >= threshold - 1e-9))
+    # of the common terms, those in no such meeting come before the last that is in one
+    partial = met.groupBy(F.least("k_x", "k_y").alias("a"), F.greatest("k_x", "k_y").alias("b")).agg(F.sum(F.col("w_x") * F.col("w_y")).alias("part"), F.min(F.col("rest_x") * F.col("rest_y")).alias("rest"))
+    return partial.filter(F.col("part") + F.least(F.col("rest"), F.lit(threshold)) >= threshold - 1e-9).select("a", "b")
+
+
+def _products(pairs: pa.Table, rows: pa.Table) -> pa.Table:
+    """pairs (lo, hi, a, b) with the dot product of their rows (r_lo, r_hi, k, tids, ws)."""
+    place = {k: i for i, k in enumerate(rows.column("k").to_pylist())}
+    tids, ws = (rows.column(c).combine_chunks() for c in ("tids", "ws"))
+    edges = np.concatenate([[0], np.cumsum(pc.list_value_length(tids).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    _, term = np.unique(tids.flatten().to_numpy(), return_inverse=True)
+    weight, dense = ws.flatten().to_numpy(), np.zeros(int(term.max(initial=-1)) + 1)
+    a, b = (np.array([place[k] for k in pairs.column(c).to_pylist()], np.int64) for c in "ab")
+    out = np.zeros(len(a))
+    order = np.argsort(a, kind="stable")
+    firsts = np.flatnonzero(np.diff(a[order], prepend=-1))
+    for start, end in zip(firsts, np.append(firsts[1:], len(a)), strict=True):
+        own = slice(edges[a[order[start]]], edges[a[order[start]] + 1])
+        dense[term[own]] = weight[own]
+        for i in order[start:end]:
+            other = slice(edges[b[i]], edges[b[i] + 1])
+            out[i] = dense[term[other]] @ weight[other]
+        dense[term[own]] = 0.0
+    return pa.table({"a": pairs.column("a"), "b": pairs.column("b"), "cosine": pa.array(out)})
+
+
 def cosine_pairs(vectors: DataFrame, key: str, threshold: float) -> DataFrame:
-    """a, b (a < b), cosine of the pairs at or above threshold. Vectors are scaled first, and only terms
-    that can bring a pair to the threshold meet: a row's rarest terms until the rest can't reach it."""
+    """a, b (a < b), cosine of the pairs at or above threshold (above 0). Vectors are scaled first; rows meet in the inverted lists of
+    their rare terms, pairs that partial products and remaining norms rule out go, and only for what is left are whole
+    vectors brought together: in cells of two blocks of rows, each vector once a cell, so that none travels once a pair."""
+    vectors = written(vectors.select(key, "term", "w"))
     norms = vectors.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")).filter("norm > 0")
-    unit = vectors.join(norms, key).select(F.col(key).alias("k"), "term", (F.col("w") / F.col("norm")).alias("w"))
-    # terms have one order, so the rarest that a pair shares is a head of both: all they share is left out of a row else, and
-    # what is left out has a norm below threshold
-    held = unit.groupBy("term").agg(F.count("*").alias("df"))
-    order = W.partitionBy("k").orderBy(F.desc("df"), "term").rowsBetween(W.unboundedPreceding, 0)
-    left = F.coalesce(F.sum(F.col("w") * F.col("w")).over(order), F.lit(0.0))
-    heads = unit.join(held, "term").withColumn("left", left).filter(F.col("left") >= threshold * threshold - 1e-9).select("k", "term")
-    a, b = heads.select(F.col("k").alias("a"), "term"), heads.select(F.col("k").alias("b"), "term")
-    met = a.join(b, "term").filter("a < b").select("a", "b").distinct()
-    full = met.join(unit.select(F.col("k").alias("a"), "term", F.col("w").alias("wa")), "a").join(unit.select(F.col("k").alias("b"), "term", F.col("w").alias("wb")), ["b", "term"])
-    return full.groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine")).filter(F.col("cosine") >= threshold - 1e-12)
+    terms = written(vectors.groupBy("term").agg(F.count("*").alias("df")).withColumn("tid", F.monotonically_increasing_id()))
+    unit = written(vectors.join(norms, key).join(terms, "term").select(F.col(key).alias("k"), "tid", "df", (F.col("w") / F.col("norm")).alias("w")))
+    pairs = written(_candidates(_listed(unit, threshold), threshold))
+    blocks = math.isqrt(2 * rows_of(pairs) // CELL_PAIRS) + 1
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
+    placed = pairs.select(F.least(at("a"), at("b")).alias("lo"), F.greatest(at("a"), at("b")).alias("hi"), "a", "b")
+    wanted = placed.select("lo", "hi", F.explode(F.array("a", "b")).alias("k")).distinct()
+    whole = unit.join(small(written(wanted.select("k").distinct())), "k", "left_semi").groupBy("k").agg(F.collect_list(F.struct("tid", "w")).alias("v"))
+    rows = wanted.join(whole, "k").select(F.col("lo").alias("r_lo"), F.col("hi").alias("r_hi"), "k", F.col("v.tid").alias("tids"), F.col("v.w").alias("ws"))
+    kind = unit.schema["k"].dataType.simpleString()
+    found = placed.groupBy("lo", "hi").cogroup(rows.groupBy("r_lo", "r_hi")).applyInArrow(_products, f"a {kind}, b {kind}, cosine double")
+    return found.filter(F.col("cosine") >= threshold - 1e-12)
 
 
 def jaccard_pairs(sets: DataFrame, key: str, threshold: float) -> DataFrame:
