@@ -128,11 +128,17 @@ def test_feeds(spark):
     assert [(r.content, r.attachment_link) for r in feeds.parse_official_api(reg).collect()] == [("ex", "http://p")]
 
 
-def test_fetch_source_reads_captures_and_reports_errors(spark, tmp_path):
+def test_captures_are_read_as_a_table(spark, tmp_path):
     (tmp_path / fetching.capture_name("http://a/1")).write_bytes(b"hello")
-    spark.dataSource.register(fetching.FetchSource)
-    rows = spark.read.format("fetch").option("urls", json.dumps(["http://a/1", "http://a/2"])).option("path", str(tmp_path)).load().collect()
-    assert sorted((r.url, r.status, bytes(r.body), r.error != "") for r in rows) == [("http://a/1", 200, b"hello", False), ("http://a/2", 0, b"", True)]
+    (tmp_path / fetching.capture_name("http://a/1", "x=1")).write_bytes(b"posted")
+    (tmp_path / f"{fetching.capture_name('http://a/1')}.modified").write_text(" Sun, 14 Jan 2024 03:00:00 GMT\n")
+    (tmp_path / "run" / "day=1").mkdir(parents=True)
+    (tmp_path / "run" / "day=1" / "part-0").write_bytes(b"else")
+    asked = spark.createDataFrame([("a", "http://a/1", None), ("b", "http://a/1", None), ("c", "http://a/2", None), ("d", None, None), ("e", "http://a/1", "x=1")], "id string, url string, data string")
+    got = {r.id: (r.status, bytes(r.body) if r.body is not None else None, r.failed, r.modified) for r in fetching.answered(asked, "capture", str(tmp_path)).collect()}
+    hello = (200, b"hello", "", "Sun, 14 Jan 2024 03:00:00 GMT")
+    assert got == {"a": hello, "b": hello, "c": (0, b"", "404 not found", ""), "d": (None, None, None, None), "e": (200, b"posted", "", "")}
+    assert {r.failed for r in fetching.answered(asked.filter("url is not null"), "capture", str(tmp_path / "none")).collect()} == {"404 not found"}
 
 
 def test_records(spark, tmp_path):

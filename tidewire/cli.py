@@ -109,6 +109,11 @@ def main(argv: list[str] | None = None) -> int:
         got = connectors.fetched(asked, a.transport, a.captures)
         return written(got.select(F.col("url").alias("link"), F.col("body").alias("html"), F.col("modified").alias("last_modified"), "error"))
 
+    def texts(requests) -> DataFrame:
+        """link, body: what wrapped links ask for, with one try a page."""
+        got = connectors.fetched(requests.withColumn("error", F.lit("")), a.transport, a.captures, fetching.Policy(timeout=15, tries=1))
+        return got.select("link", "body")
+
     for stage in STAGES if a.stage == "all" else (a.stage,):
         if stage == "validate":
             companies = companies_of(spark, config)
@@ -120,15 +125,15 @@ def main(argv: list[str] | None = None) -> int:
                 report.stage(stage, "failed")
                 return 1
         elif stage == "fetch":
-            headers = connectors.headers_of(config)
-            answers = written(connectors.fetched(connectors.planned(spark, config), a.transport, a.captures, headers))
+            answers = written(connectors.fetched(connectors.planned(spark, config), a.transport, a.captures))
             articles = written(connectors.fetched(connectors.article_requests(answers, config, int(a.date[:4])), a.transport, a.captures))
-            raw = written(connectors.raw_records(answers, f"{a.date}T00:00:00Z", config, articles.filter("error = ''")))
+            raw = written(connectors.raw_records(answers, f"{a.date}T00:00:00Z", config, articles.filter("error = ''"), texts))
             write(raw, "raw")
             stats = written(connectors.source_stats(answers.select("source_id", "source_name", "source_type", "error").unionByName(articles.select("source_id", "source_name", "source_type", "error")), raw))
             write(stats, "source_stats")
             records.write_health(stats, f"{a.root}/health/run_date={a.date}")
             report.add(source_stats=stats, total_items_raw=raw.count(), raw_by_method=reports.counts_by(raw.withColumn("method", relevance.normalize_method("source_type")), "method"))
+            report.patch(**reports.resolver_metrics(raw.filter("source_type = 'query_rss'")).first().asDict())
         elif stage == "parse":
             raw, known = read("raw"), state.retained(seen, a.date)
             rows = written(daily.canonical(raw, as_of, pages(daily.to_verify(raw, as_of))))

@@ -115,14 +115,25 @@ def breakdown(counts: DataFrame, name: str = "reason") -> DataFrame:
 
 
 def discovery_metrics(rows: DataFrame) -> DataFrame:
-    """One row of counts over canonical discovery records: resolved or not, verified or not and why, by kind of source."""
+    """One row of counts over canonical discovery records: verified or not and why, by kind of source."""
     search, query = F.col("source_type") == "search_result", F.col("source_type") == "query_rss"
-    resolved, ok, code = F.coalesce("resolved_ok", F.lit(False)), F.col("published_parse_status") == "ok", F.col("query_rss_verify_error_code")
-    counts = {"discovery_items_canonical_count": search | query, "query_rss_resolved_count": query & resolved, "query_rss_resolve_fail_count": query & ~resolved, "search_result_fetch_success_count": search & ok, "search_result_fetch_fail_count": search & ~ok, "search_result_verified_count": search & ok}
+    ok, code = F.col("published_parse_status") == "ok", F.col("query_rss_verify_error_code")
+    counts = {"discovery_items_canonical_count": search | query, "search_result_fetch_success_count": search & ok, "search_result_fetch_fail_count": search & ~ok, "search_result_verified_count": search & ok}
     counts |= {f"query_rss_{c}_count": (search | query) & (code == c) for c in ("fetch_forbidden", "fetch_timeout", "fetch_ssl_error", "fetch_other", "published_not_found")}
     return rows.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in counts.items()])
 
 
+def resolver_metrics(raw: DataFrame) -> DataFrame:
+    """One row of counts over raw query_rss records: resolved or not, and which way failed."""
+    of = lambda k: F.coalesce(F.try_element_at("payload", F.lit(k)), F.lit(""))
+    ok, method = of("resolved_ok") == "true", of("resolver_method")
+    counts = {
+        "query_rss_resolved_count": ok, "query_rss_resolve_fail_count": ~ok, "query_rss_resolve_failed_token_decode_count": (of("resolver_token_decode_ok") != "true") & (method != "not_google_news"),
+        "query_rss_resolve_failed_html_extract_count": method == "failed_html_extract", "query_rss_resolve_failed_google_link_left_count": method == "failed_google_link_left",
+    }
+    return raw.agg(*[F.count_if(c).alias(n) for n, c in counts.items()])
+
+
 def filter_metrics(judged: DataFrame) -> DataFrame:
     """One row of counts over judged rows."""
     reason, keep = F.col("relevance_reason"), F.col("relevance_keep")

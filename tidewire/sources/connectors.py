@@ -6,8 +6,8 @@ The plan of requests is a small table made on the driver (one row a URL); bodies
 
 from __future__ import annotations
 
-import json
 import os
+from collections.abc import Callable
 from urllib.parse import urlencode
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..functions import markup
 from ..functions import summaries as sm
 from ..functions import text as tx
-from . import feeds, fetching
+from ..tables import small, written
+from . import feeds, fetching, wrappers
 
 #: Endpoints, default parameters and limits of each provider.
 NEWS_RSS = "https://news.google.com/rss/search"
@@ -86,25 +87,24 @@ def requests_of(source: dict, config: dict) -> list[tuple]:
     return [row(f"{settings['endpoint']}?{urlencode({'engine': settings['engine'], 'q': r['q'], 'api_key': key, 'num': most} | {k: r[k] for k in ('hl', 'gl', 'ceid', 'location') if r.get(k)})}", r["q"]) for r in queries]
 
 
+def _with_headers(requests: DataFrame, config: dict) -> DataFrame:
+    """requests with the headers that their source configures."""
+    rows = [(str(s.get("id", "")), {str(k): str(v) for k, v in s["headers"].items()}) for s in config.get("sources", []) if isinstance(s.get("headers"), dict)]
+    known = requests.sparkSession.createDataFrame(rows, "source_id string, headers map<string,string>").dropDuplicates(["source_id"])
+    return requests.join(F.broadcast(known), "source_id", "left").withColumn("headers", F.coalesce("headers", F.create_map().cast("map<string,string>")))
+
+
 def planned(spark: SparkSession, config: dict) -> DataFrame:
     """The requests of all enabled sources."""
     rows = [(*r, i) for s in config.get("sources", []) if s.get("enabled", True) for i, r in enumerate(requests_of(s, config))]
-    return spark.createDataFrame(rows, _REQUEST)
-
-
-def fetched(requests: DataFrame, transport: str = "capture", path: str = "", headers: dict | None = None) -> DataFrame:
-    """requests with status, body (text), modified and error. headers: by URL, as configured."""
-    spark = requests.sparkSession
-    spark.dataSource.register(fetching.FetchSource)
-    urls = [r.url for r in requests.filter("url <> ''").select("url").distinct().collect()]  # a row a request
-    got = spark.read.format("fetch").option("urls", json.dumps(urls)).option("transport", transport).option("path", path).option("headers", json.dumps(headers or {})).load()
-    got = got.select("url", "status", markup.decode_udf()("body").alias("body"), "modified", F.col("error").alias("failed"))
-    return requests.join(got, "url", "left").withColumn("error", F.coalesce(F.nullif("error", F.lit("")), "failed", F.lit(""))).drop("failed")
+    return _with_headers(spark.createDataFrame(rows, _REQUEST), config)
 
 
-def headers_of(config: dict) -> dict[str, dict]:
-    """The headers of each URL of a source that configures some."""
-    return {r[7]: s["headers"] for s in config.get("sources", []) if isinstance(s.get("headers"), dict) for r in requests_of(s, config) if r[7]}
+def fetched(requests: DataFrame, transport: str = "capture", path: str = "", policy: fetching.Policy = fetching.Policy()) -> DataFrame:
+    """requests (any table of url and error) with status, body (text), modified and error."""
+    got = fetching.answered(requests, transport, path, policy)
+    said = F.coalesce(F.nullif("error", F.lit("")), "failed", F.lit(""))
+    return got.withColumns({"body": F.when(F.col("status").isNotNull(), markup.decode_udf()("body")), "error": said}).drop("failed", "final_url")
 
 
 def _extraction(spark: SparkSession, config: dict) -> DataFrame:
@@ -125,7 +125,8 @@ def article_requests(answers: DataFrame, config: dict, year: int) -> DataFrame:
     first = placed.groupBy("source_id", "link").agg(F.min("pos").alias("pos"), F.max("most").alias("most"))
     kept = feeds.capped_items(first, F.col("most")).withColumnRenamed("pos", "request")
     names = answers.select("source_id", "source_name").distinct()
-    return kept.join(F.broadcast(names), "source_id").select("source_id", "source_name", F.lit("structured_web").alias("source_type"), F.lit("").alias("provider"), F.lit("").alias("query"), F.lit("").alias("query_group"), "most", F.col("link").alias("url"), F.lit("").alias("error"), F.col("request").cast("int").alias("request"))
+    named = kept.join(F.broadcast(names), "source_id").select("source_id", "source_name", F.lit("structured_web").alias("source_type"), F.lit("").alias("provider"), F.lit("").alias("query"), F.lit("").alias("query_group"), "most", F.col("link").alias("url"), F.lit("").alias("error"), F.col("request").cast("int").alias("request"))
+    return _with_headers(named, config)
 
 
 def article_rows(article_pages: DataFrame, config: dict, as_of: Column | None = None) -> DataFrame:
@@ -141,9 +142,10 @@ def article_rows(article_pages: DataFrame, config: dict, as_of: Column | None =
 _FIELDS = ("title", "summary", "content", "link", "published", "source_name", "attachment_link", "search_provider", "search_query", "search_display_time", "search_rank", "feed_published", "discovery_query", "discovery_query_group")
 
 
-def raw_records(answers: DataFrame, fetched_at: str, config: dict, article_pages: DataFrame | None = None) -> DataFrame:
+def raw_records(answers: DataFrame, fetched_at: str, config: dict, article_pages: DataFrame | None = None, ask: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Raw records (schemas.RAW and seq) of all types' answers, in the order of sources, requests and positions, within
-    each connector's cap. article_pages (source_id, url, body, request) holds structured sources' pages."""
+    each connector's cap. article_pages (source_id, url, body, request) holds structured sources' pages; ask fetches
+    what wrapped links need (see wrappers.resolved)."""
     ok = answers.filter("error = ''").withColumn("capped_by", F.when(F.col("source_type") == "rss", -1).otherwise(F.col("request")))
     kind = lambda k: ok.filter(F.col("source_type") == k)
     discovered = {"feed_published": F.col("published"), "discovery_query": F.col("query"), "discovery_query_group": F.col("query_group")}
@@ -164,9 +166,10 @@ def raw_records(answers: DataFrame, fetched_at: str, config: dict, article_pages
         "source_id string, name string, source_type string, region string, company_hint string, ord int",
     )
     rows = whole.select("source_id", "request", "pos", F.col("link").alias("url"), payload.alias("payload")).join(F.broadcast(dimension), "source_id")
-    resolved = feeds.resolve_wrappers(rows, "url")
     wrapped = F.col("source_type") == "query_rss"
-    more = F.create_map(F.lit("resolved_url"), "resolved_url", F.lit("resolved_ok"), F.col("resolved_ok").cast("string"), F.lit("resolver_method"), "resolver_method", F.lit("google_news_link"), "url")
+    links = written(wrappers.resolved(rows.filter(wrapped).select("url").distinct(), "url", ask))
+    resolved = rows.join(small(links), "url", "left")
+    more = F.create_map(F.lit("resolved_url"), "resolved_url", F.lit("resolved_ok"), F.col("resolved_ok").cast("string"), F.lit("resolver_method"), "resolver_method", F.lit("resolver_token_decode_ok"), F.col("token_decoded").cast("string"), F.lit("google_news_link"), "url")
     payload = F.when(wrapped, F.map_concat(F.map_filter("payload", lambda k, v: k != "link"), more, F.create_map(F.lit("link"), F.when(F.col("resolved_ok"), F.col("resolved_url")).otherwise(F.col("url"))))).otherwise(F.col("payload"))
     return resolved.select(
         "source_id", F.col("name").alias("source_name"), "source_type", "region", "company_hint", F.lit(fetched_at).alias("fetched_at"), "url", payload.alias("payload"),

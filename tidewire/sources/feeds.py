@@ -107,28 +107,3 @@ def invalid_record(source_id: Column | str, title: Column | str, link: Column |
         | ((sid == "waymo_blog_structured") & ((F.lower(name) == "latest news") | has("/blog/search", "?t=")))
         | ((sid == "singapore_lta_news_structured") & ((F.upper(name) == "LTA.GOV.SG") | has("/2020/", "/2019/", "/2018/")))
     )
-
-
-def is_wrapper_domain(host: Column) -> Column:
-    """Hosts of the search engine itself (fixed values), which no resolved link may have."""
-    return F.exists(F.array(*[F.lit(d) for d in ("google.com", "gstatic.com", "googleapis.com", "googleusercontent.com", "youtube.com")]), lambda d: (host == d) | F.endswith(host, F.concat(F.lit("."), d)))
-
-
-def valid_resolved(url: Column | str) -> Column:
-    host = tx.host(url)
-    return F.lower(tx.url_part(url, 1)).isin("http", "https") & F.contains(host, F.lit(".")) & ~is_wrapper_domain(host)
-
-
-def resolve_wrappers(items: DataFrame, link: str = "link", fetched: DataFrame | None = None) -> DataFrame:
-    """Adds resolved_url, resolved_ok, resolver_method: links that wrap no other stay, tokens are decoded, and
-    what is left is looked up in fetched (link, target), a table that a connector filled; else it fails."""
-    token = markup.token_udf()(F.col(link))
-    rows = items.withColumns({"_wrapped": F.endswith(tx.host(link), F.lit("news.google.com")), "_decoded": F.when(F.endswith(tx.host(link), F.lit("news.google.com")), token)})
-    if fetched is not None:
-        rows = rows.join(fetched.select(F.col("link").alias(link), F.col("target").alias("_target")), link, "left")
-    else:
-        rows = rows.withColumn("_target", F.lit(None).cast("string"))
-    method = F.when(~F.col("_wrapped"), "not_gnews").when(valid_resolved("_decoded"), "token_decode").when(valid_resolved("_target"), "fetched").otherwise("failed")
-    rows = rows.withColumn("resolver_method", method)
-    url = F.when(method == "not_gnews", F.col(link)).when(method == "token_decode", F.col("_decoded")).when(method == "fetched", F.col("_target")).otherwise("")
-    return rows.withColumns({"resolved_url": url, "resolved_ok": method != "failed"}).drop("_wrapped", "_decoded", "_target")
