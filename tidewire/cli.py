@@ -136,10 +136,11 @@ def main(argv: list[str] | None = None) -> int:
             report.patch(**reports.resolver_metrics(raw.filter("source_type = 'query_rss'")).first().asDict())
         elif stage == "parse":
             raw, known = read("raw"), state.retained(seen, a.date)
-            rows = written(daily.canonical(raw, as_of, pages(daily.to_verify(raw, as_of))))
+            marked = written(daily.canonical(raw, as_of, pages(daily.to_verify(raw, as_of)), marked=True))
+            rows = marked.filter("usable").drop("usable")
             write(daily.deduplicated(rows, known), "canonical")
             left = read("canonical")
-            report.add(pre_candidate_drop_breakdown=reports.breakdown(daily.pre_candidate_drops(raw, rows, known)), canonical_by_source=reports.counts_by(left, "source_id"), published_parse_status_dist=reports.counts_by(left, "published_parse_status"))
+            report.add(pre_candidate_drop_breakdown=reports.breakdown(daily.pre_candidate_drops(marked, known)), canonical_by_source=reports.counts_by(left, "source_id"), published_parse_status_dist=reports.counts_by(left, "published_parse_status"))
             report.patch(**reports.discovery_metrics(rows).first().asDict(), **reports.canonical_metrics(left, a.date).first().asDict())
         elif stage == "filter":
             rows = [(str(s.get("id", "")), str(s.get("source_type", "rss")), str(s.get("source_profile", "")), str(s.get("category", "")), *[[str(x) for x in s.get(k, [])] for k in ("entry_urls", "external_link_allow_domains", "url_allow_patterns", "url_block_patterns", "include_keywords", "exclude_keywords")]) for s in config.get("sources", [])]

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window as W
 
 from .. import vocabulary as V
 from ..functions import dates, markup, summaries as sm, text as tx
-from ..operators import dedup, digest, relevance, reports, similarity, state, validate
+from ..operators import dedup, digest, keywords, relevance, reports, similarity, state, validate
 
 #: Words of the tables' own language, in place of a news vocabulary.
 WORDS = ("license", "the", "und", "para", "les", "idiot", "version", "reserved")
@@ -85,6 +85,15 @@ def keyword_hits(spark, d):
     return _docs(spark, d).select("doc_id", F.array_join(tx.hits(F.lower("text"), WORDS), ",").alias("hits"))
 
 
+def keyword_table_hits(spark, d):
+    """Which words of a whole table occur in each text: words of the benchmark's texts, of four letters or more."""
+    terms = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0))
+    words = _t(spark, d, "benchmark").select(F.explode(terms).alias("word")).distinct().withColumn("place", F.crc32("word"))
+    hits = keywords.table_hits(_t(spark, d, "documents").select("doc_id", F.lower("text").alias("low")), "low", words)
+    found = F.array_sort("hits.word")
+    return hits.select("doc_id", F.size(found).alias("n_hits"), F.md5(F.array_join(found, ",")).alias("hits_md5"))
+
+
 SETTINGS = relevance.Settings(
     mode="high_recall", core={"foreign": ("license", "idiot", "version"), "domestic": ("und",)}, context={"foreign": ("the", "para")}, brand={"foreign": ("les",)},
     exclude={"foreign": ("reserved",)}, company_aliases=("apache", "mit"), blocked_publishers={"foreign": ("src19",)}, fast_pass_titles=("scum", "trash"),
@@ -324,7 +333,7 @@ def pre_candidate_reasons(spark, d):
     seen = raw.filter(F.col("doc_id") % 17 == 0).select(F.col("link").alias("resolved_url"), F.lit("").alias("fingerprint"))
     from .daily import pre_candidate_drops
 
-    return pre_candidate_drops(raw, raw.filter("title <> ''"), seen)
+    return pre_candidate_drops(raw.withColumn("usable", F.col("title") != ""), seen)
 
 
 def items_by_source_status(spark, d):
@@ -334,7 +343,7 @@ def items_by_source_status(spark, d):
 
 
 _QUERIES = (
-    pre_candidate_reasons, items_by_source_status,
+    keyword_table_hits, pre_candidate_reasons, items_by_source_status,
     clean_text_pages, normalize_title_docs, normalize_url_pages, tokenize_counts, detect_language_docs, dedup_link_pages, dedup_title_docs, history_antijoin, prev_day_window, recency_days,
     keyword_hits, relevance_score, drop_reasons_top3, pass_rate, kept_by_source, stage_funnel, reason_method_pivot, url_rules, source_cap, tfidf, cosine_pairs, tfidf_text, cosine_pairs_text, semantic_dedup, title_jaccard_dedup, infer_tags,
     impact_distribution, topic_digest, notify_topn, company_infer, region_infer, sentence_validate, article_extract, link_extract, page_titles, enrich_longer, seen_upsert, cache_ttl, error_classify, source_health, config_violations, parse_dates,
@@ -466,6 +475,9 @@ def oracle_sql() -> dict[str, str]:
           select doc_id, source from rows where not (source in ('src0', 'src1', 'src2', 'src3') and (link in (select link from seen) or fingerprint in (select fingerprint from seen where doc_id % 2 = 0)))""",
         "prev_day_window": "select event_type, count(*) n, round(sum(value), 4) \"value\" from events where ts >= timestamp '2024-01-13 16:00:00' and ts < timestamp '2024-01-14 16:00:00' group by 1",
         "recency_days": "select ts >= timestamp '2024-01-23 00:00:00' recent, cast(ts + interval 8 hour as date) = date '2024-01-15' same_day, count(*) n from events group by all",
+        "keyword_table_hits": """with w as materialized (select distinct unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) word from benchmark),
+          h as (select doc_id, list(word order by word) hs from documents join w on contains(lower(text), word) group by 1)
+          select doc_id, coalesce(len(hs), 0) n_hits, md5(array_to_string(coalesce(hs, []), ',')) hits_md5 from documents left join h using (doc_id)""",
         "keyword_hits": "select doc_id, array_to_string(list_filter([" + ", ".join(f"'{w}'" for w in sorted(WORDS)) + "], lambda w: contains(lower(text), w)), ',') hits from documents",
         "relevance_score": f"{judged} select doc_id, \"method\", reason relevance_reason, cast(score as int) relevance_score from judged",
         "drop_reasons_top3": f"{judged}, c as (select zh reason_zh, count(*) n from judged where not keep group by 1) select reason_zh, n, round(n / (select sum(n) from c) * 100.0, 4) \"share\" from c order by n desc, reason_zh limit 3",

@@ -4,7 +4,6 @@ them where a later one reads them twice."""
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +17,9 @@ DISCOVERY = ("query_rss", "search_result")
 VERIFY_CODES = {"access_forbidden": "fetch_forbidden", "timeout": "fetch_timeout", "ssl_error": "fetch_ssl_error"}
 
 
-def canonical(raw: DataFrame, as_of: Column, pages: DataFrame | None = None) -> DataFrame:
-    """Canonical records of raw rows (with seq, their position) that have a title and a link. Discovery
+def canonical(raw: DataFrame, as_of: Column, pages: DataFrame | None = None, marked: bool = False) -> DataFrame:
+    """Canonical records of raw rows (with seq, their position) that have a title and a link; marked, all rows, with
+    usable false where one of both is missing. Discovery
     rows' dates are verified in pages (link, html, last_modified, error), if given; a search result's own
     time is trusted."""
     of = lambda k: F.coalesce(F.try_element_at("payload", F.lit(k)), F.lit(""))
@@ -30,7 +30,8 @@ def canonical(raw: DataFrame, as_of: Column, pages: DataFrame | None = None) ->
         "title": tx.clean_text(of("title")), "content": F.substring(content, 1, 8000), "link": link, "source_type": kind, "_raw": tx.strip(of("published")),
         "source_name": tx.strip(F.coalesce(F.nullif(of("source_name"), F.lit("")), F.col("source_name"))), "region": F.lower(tx.strip(F.coalesce("region", F.lit("foreign")))),
         "discovery_query_group": F.lower(tx.strip(of("discovery_query_group"))), "_resolved": F.lower(of("resolved_ok")) == "true", "_url": tx.strip(of("resolved_url")),
-    }).filter((F.col("title") != "") & (F.col("link") != ""))
+    }).withColumn("usable", (F.col("title") != "") & (F.col("link") != ""))
+    rows = rows if marked else rows.filter("usable").drop("usable")
     rows = rows.withColumn("_feed", dates.parse_datetime("_raw", as_of))
     discovery = F.col("source_type").isin(*DISCOVERY)
     trusted = (F.col("source_type") == "search_result") & (F.col("_feed.status") == "ok")
@@ -68,25 +69,42 @@ def to_verify(raw: DataFrame, as_of: Column) -> DataFrame:
     return rows.select("link").distinct()
 
 
-def _steps(rows: DataFrame, seen: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    titled = dedup.dedup_link(rows).withColumn("title_key", F.coalesce(F.nullif(tx.normalize_title("title"), F.lit("")), F.lower(tx.strip("title"))))
-    fresh = dedup.unseen(titled, seen, F.col("source_type").isin(*DISCOVERY))
-    return titled, fresh, dedup.dedup_title(fresh, "title_key")
+def _title_key() -> Column:
+    return F.coalesce(F.nullif(tx.normalize_title("title"), F.lit("")), F.lower(tx.strip("title")))
 
 
 def deduplicated(rows: DataFrame, seen: DataFrame) -> DataFrame:
     """By link, then against history, then by title."""
-    return _steps(rows, seen)[2].drop("title_key")
-
-
-def pre_candidate_drops(raw: DataFrame, rows: DataFrame, seen: DataFrame) -> DataFrame:
-    """method, reason, n: what raw records (source_type) lost before they were candidates; rows are canonical()'s. A
-    reason's count is the difference of two steps' counts, so nothing but counts is joined."""
-    steps = [raw, rows, *_steps(rows, seen)]
-    counted = [x.groupBy(relevance.normalize_method("source_type").alias("method")).agg(F.count("*").alias("n")).withColumn("step", F.lit(i)) for i, x in enumerate(steps)]
-    wide = reduce(DataFrame.unionByName, counted).filter("method <> ''").groupBy("method").pivot("step", list(range(len(steps)))).agg(F.sum("n"))
-    lost = [F.struct(F.lit(reason).alias("reason"), (F.coalesce(F.col(str(i)), F.lit(0)) - F.coalesce(F.col(str(i + 1)), F.lit(0))).alias("n")) for i, reason in enumerate(V.PRE_CANDIDATE_REASONS.values())]
-    return wide.select("method", F.explode(F.array(*lost)).alias("x")).select("method", "x.reason", "x.n").filter("n > 0")
+    titled = dedup.dedup_link(rows).withColumn("title_key", _title_key())
+    fresh = dedup.unseen(titled, seen, F.col("source_type").isin(*DISCOVERY))
+    return dedup.dedup_title(fresh, "title_key").drop("title_key")
+
+
+def pre_candidate_drops(marked: DataFrame, seen: DataFrame) -> DataFrame:
+    """method, reason, n: what records lost before they were candidates. marked are canonical()'s rows and, with usable
+    false, those it leaves out. deduplicated()'s steps are followed in one pass: a link's records are counted by
+    method and combined to the first of them, firsts are marked by history and combined again by title, and
+    every row carries what it stands for. Counts are combined before they move, so a frequent link or title is a
+    few rows a task."""
+    no_title, dup_link, old, dup_title = (F.lit(r) for r in V.PRE_CANDIDATE_REASONS.values())
+    place = F.struct("published_at_utc", (-F.col("seq")).alias("minus"))  # the greatest is the first; a null time is the last
+    key = lambda c: F.coalesce(F.nullif(tx.text(c), F.lit("")), F.concat(F.lit("\0"), tx.text("seq")))  # noqa: E731  an empty key has no equal
+    method, found = relevance.normalize_method("source_type"), F.coalesce(F.col("source_type").isin(*DISCOVERY), F.lit(False))
+    rows = marked.select("usable", method.alias("method"), F.when(F.col("usable"), key("link")).alias("link_key"), F.struct("link", "fingerprint", found.alias("found"), _title_key().alias("title"), method.alias("method"), F.col("seq")).alias("x"), place.alias("place"))
+    by_method = rows.groupBy("usable", "link_key", "method").agg(F.count("*").alias("n"), F.max_by("x", "place").alias("x"), F.max("place").alias("place"))
+    by_link = by_method.groupBy("usable", "link_key").agg(F.collect_list(F.struct("method", "n")).alias("counts"), F.max_by("x", "place").alias("x"), F.max("place").alias("place"))
+    urls = seen.select(F.col("resolved_url").alias("_url")).filter(tx.text("_url") != "").distinct()
+    prints = seen.select(F.col("fingerprint").alias("_print")).filter(tx.text("_print") != "").distinct()
+    known = by_link.join(urls, F.col("usable") & (F.col("x.link") == F.col("_url")), "left").join(prints, F.col("usable") & (F.col("x.fingerprint") == F.col("_print")), "left")
+    seen_before = F.col("x.found") & (F.col("_url").isNotNull() | F.col("_print").isNotNull())
+    lost = F.transform("counts", lambda c: F.struct(F.lit(False).alias("live"), c["method"].alias("method"), F.when(F.col("usable"), dup_link).otherwise(no_title).alias("reason"), (c["n"] - (F.col("usable") & (c["method"] == F.col("x.method"))).cast("long")).alias("n")))
+    first = F.array(F.struct((~seen_before).alias("live"), F.col("x.method").alias("method"), F.when(seen_before, old).otherwise(dup_title).alias("reason"), F.lit(1).cast("long").alias("n")))
+    each = known.select("x", "place", F.explode(F.when(F.col("usable"), F.concat(lost, first)).otherwise(lost)).alias("y"))
+    titled = each.select("y.*", "place", F.when(F.col("y.live"), F.coalesce(F.nullif("x.title", F.lit("")), F.concat(F.lit("\0"), tx.text("x.seq")))).alias("title_key"))
+    counted = titled.groupBy("live", "title_key", "method", "reason").agg(F.sum("n").alias("n"), F.max("place").alias("place"))
+    by_title = counted.groupBy("live", "title_key").agg(F.collect_list(F.struct("method", "reason", "n")).alias("counts"), F.max_by("method", "place").alias("first"))
+    left = by_title.select("live", "first", F.explode("counts").alias("c")).select("c.method", "c.reason", (F.col("c.n") - (F.col("live") & (F.col("c.method") == F.col("first"))).cast("long")).alias("n"))
+    return left.filter("method <> ''").groupBy("method", "reason").agg(F.sum("n").alias("n")).filter("n > 0")
 
 
 def enriched(rows: DataFrame, pages: DataFrame, least: int = 500) -> DataFrame:
