@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
-from .operators import digest, relevance, reports, state, validate
+from .operators import digest, relevance, reports, rules, state
 from .plans import daily
 from .sources import connectors, fetching, records
 from .tables import clear, written
@@ -116,9 +116,7 @@ def main(argv: list[str] | None = None) -> int:
 
     for stage in STAGES if a.stage == "all" else (a.stage,):
         if stage == "validate":
-            companies = companies_of(spark, config)
-            rows = [(str(s.get("id", "")), str(s.get("name", "")), str(s.get("region", "")), str(s.get("source_type", "rss")), str(s.get("source_company_id", "")), [str(u) for u in (s.get("entry_urls") or s.get("rss_urls") or [])]) for s in config.get("sources", [])]
-            found = validate.violations(companies, spark.createDataFrame(rows, "id string, name string, region string, source_type string, source_company_id string, entry_urls array<string>")).collect()
+            found = rules.broken(rules.config_rows(spark, config)).orderBy("table", "id", "rule").collect()  # of the configuration
             for r in found:
                 print(f"{r.table} {r.id}: {r.rule} {r.value}", file=sys.stderr)
             if found:

@@ -1,4 +1,5 @@
-"""Checks of a configuration as violations, not as the first failure: (table, id, rule, value) rows."""
+"""Checks of tables of companies and sources as violations: (table, id, rule, value) rows. See rules for a whole
+configuration's."""
 
 from __future__ import annotations
 
@@ -8,9 +9,9 @@ from pyspark.sql import functions as F
 from .. import vocabulary as V
 from ..functions import text as tx
 
-SOURCE_TYPES = ("rss", "query_rss", "search_api", "search_result", "official_api", "structured_web", "browser_structured")
+SOURCE_TYPES = ("rss", "query_rss", "search_api", "search_result", "official_api", "structured_web")
 REGIONS = ("domestic", "foreign")
-EXTRACTORS = ("css", "json_ld", "rss")
+EXTRACTORS = ("css_selector", "json_ld", "sitemap")
 _OUT = ["table", "id", "rule", "value"]
 
 

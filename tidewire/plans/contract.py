@@ -12,7 +12,7 @@ from pyspark.sql.window import Window as W
 
 from .. import vocabulary as V
 from ..functions import dates, markup, summaries as sm, text as tx
-from ..operators import dedup, digest, keywords, relevance, reports, similarity, state, validate
+from ..operators import dedup, digest, keywords, relevance, reports, rules, similarity, state, validate
 
 #: Words of the tables' own language, in place of a news vocabulary.
 WORDS = ("license", "the", "und", "para", "les", "idiot", "version", "reserved")
@@ -308,6 +308,23 @@ def config_violations(spark, d):
     return validate.violations(companies, sources)
 
 
+def config_rules(spark, d):
+    """Customers as sources, nations as companies and segments as query sets, under the whole table of rules."""
+    n, text = F.col("c_custkey"), lambda c, kind="string": F.struct(F.lit(kind).alias("kind"), c.cast("string").alias("text"), F.lit(None).cast("array<struct<kind:string,text:string>>").alias("items"))
+    linked = F.struct(F.lit("list").alias("kind"), F.lit("").alias("text"), F.array(F.struct(F.lit("string").alias("kind"), F.concat(F.when(n % 9 == 0, "ftp").otherwise("https"), F.lit("://h/"), n.cast("string")).alias("text"))).alias("items"))
+    kind = F.element_at(F.array(*[F.lit(x) for x in (*rules.KINDS, "browser_structured")]), (n % 7 + 1).cast("int"))
+    fields = {
+        "id": text(n), "row": text(F.lit(""), "object"), "region": text(F.when(n % 10 == 0, "moon").otherwise("Foreign ")), "source_type": text(kind), "source_company_id": text(F.when(n % 4 == 0, "x9").otherwise(F.col("c_nationkey").cast("string"))),
+        "provider": text(F.when(n % 3 == 0, "google_news").otherwise("bing_news")), "query_set": text(F.when(n % 8 == 0, "none").otherwise(F.col("c_mktsegment"))), "max_results_per_query": text(F.when(n % 11 == 0, "1.5").otherwise(" 12 ")),
+        "rss_urls": linked, "extractor": text(F.when(n % 13 == 0, "css").otherwise("json_ld")),
+    }
+    sources = _t(spark, d, "customer").select(F.lit("sources").alias("table"), n.cast("string").alias("id"), F.concat(kind, F.lit(":json_ld")).alias("kind"), F.create_map(*[x for k, v in fields.items() for x in (F.lit(k), v)]).alias("fields"))
+    none = F.create_map().cast(f"map<string,{rules.CELL}>")
+    named = _t(spark, d, "nation").select(F.lit("companies").alias("table"), F.col("n_nationkey").cast("string").alias("id")).unionByName(_t(spark, d, "customer").select(F.lit("query_sets").alias("table"), F.col("c_mktsegment").alias("id")).distinct())
+    listed = named.select("table", "id", F.lit("").alias("kind"), F.when(F.col("table") == "query_sets", F.create_map(F.lit("rows"), text(F.lit(""), "list"))).otherwise(none).alias("fields"))
+    return rules.broken(sources.unionByName(listed))
+
+
 def parse_dates(spark, d):
     """Event times as text in five forms, read back."""
     form = F.col("event_id") % 5
@@ -343,7 +360,7 @@ def items_by_source_status(spark, d):
 
 
 _QUERIES = (
-    keyword_table_hits, pre_candidate_reasons, items_by_source_status,
+    config_rules, keyword_table_hits, pre_candidate_reasons, items_by_source_status,
     clean_text_pages, normalize_title_docs, normalize_url_pages, tokenize_counts, detect_language_docs, dedup_link_pages, dedup_title_docs, history_antijoin, prev_day_window, recency_days,
     keyword_hits, relevance_score, drop_reasons_top3, pass_rate, kept_by_source, stage_funnel, reason_method_pivot, url_rules, source_cap, tfidf, cosine_pairs, tfidf_text, cosine_pairs_text, semantic_dedup, title_jaccard_dedup, infer_tags,
     impact_distribution, topic_digest, notify_topn, company_infer, region_infer, sentence_validate, article_extract, link_extract, page_titles, enrich_longer, seen_upsert, cache_ttl, error_classify, source_health, config_violations, parse_dates,
@@ -508,6 +525,15 @@ def oracle_sql() -> dict[str, str]:
         "error_classify": f"select event_type, {code(message)} code, {label(code(message))} \"label\", count(*) n from events group by all",
         "source_health": f"""with m as (select user_id % 20 s, case when user_id % 20 < 5 then {message} else '' end e from events), g as (select 's' || s source_id, count(*) n, max(e) e from m group by 1)
           select source_id, n fetched_items, case when e = '' then 'ok' else 'partial' end status, {code('e')} error_reason_code from g""",
+        "config_rules": """with s as (select cast(c_custkey as varchar) id, c_custkey n, ['rss', 'search_api', 'structured_web', 'query_rss', 'official_api', 'search_result', 'browser_structured'][c_custkey % 7 + 1] kind,
+            case when c_custkey % 3 = 0 then 'google_news' else 'bing_news' end provider, case when c_custkey % 8 = 0 then 'none' else c_mktsegment end query_set from customer),
+          f as (select id, 'region:one_of' as "rule", 'moon' as "value" from s where n % 10 = 0 union all select id, 'source_type:one_of', kind from s where kind = 'browser_structured'
+            union all select id, 'source_company_id:known_or_empty', 'x9' from s where n % 4 = 0 union all select id, 'rss_urls:links', 'ftp://h/' || id from s where kind = 'rss' and n % 9 = 0
+            union all select id, 'entry_urls:links', '' from s where kind = 'structured_web' union all select id, 'extractor:one_of', 'css' from s where kind = 'structured_web' and n % 13 = 0
+            union all select id, 'provider:known', provider from s where kind = 'search_api' union all select id, 'query_set:known', query_set from s where kind in ('query_rss', 'search_result', 'search_api') and query_set = 'none'
+            union all select id, 'provider:one_of', provider from s where kind = 'official_api' or (kind = 'query_rss' and provider <> 'google_news') or (kind = 'search_result' and provider <> 'bing_news')
+            union all select id, 'max_results_per_query:int', '1.5' from s where kind in ('query_rss', 'search_result', 'official_api') and n % 11 = 0)
+          select 'sources' as "table", id, "rule", "value" from f""",
         "config_violations": """select 'companies' as "table", cast(n_regionkey as varchar) id, 'unique_id' as "rule", cast(count(*) as varchar) as "value" from nation group by n_regionkey having count(*) > 1
           union all select 'sources', cast(s_suppkey as varchar), 'region', 'moon' from supplier where s_suppkey % 3 = 0 union all select 'sources', cast(s_suppkey as varchar), 'source_type', 'ftp' from supplier where s_suppkey % 4 = 0
           union all select 'sources', cast(s_suppkey as varchar), 'unknown_source_company_id', cast(s_nationkey as varchar) from supplier where s_nationkey not in (select n_regionkey from nation)""",
