@@ -207,13 +207,14 @@ def test_streaming(spark, tmp_path):
 
 def test_cli_from_captures_to_digest(spark, tmp_path):
     from tidewire import cli
+    from tidewire.operators import versions
     from tidewire.sources import connectors
 
     config = {
         "defaults": {"core_keywords_foreign": ["robotaxi"]}, "companies": [{"id": "w", "name": "Waymo", "aliases": []}], "query_sets": {"q": ["robotaxi", {"q": "l4", "group": "G"}]},
         "sources": [
             {"id": "r", "name": "R", "source_type": "rss", "rss_urls": ["http://r/feed"], "region": "foreign"}, {"id": "off", "name": "Off", "enabled": False, "rss_urls": ["http://x/f"], "region": "foreign"},
-            {"id": "b", "name": "B", "source_type": "search_result", "provider": "bing_news", "query_set": "q", "region": "foreign"}, {"id": "g", "name": "G", "source_type": "query_rss", "query_set": "q", "region": "foreign"},
+            {"id": "b", "name": "B", "source_type": "search_result", "provider": "bing_news", "query_set": "q", "region": "foreign"}, {"id": "g", "name": "G", "source_type": "query_rss", "provider": "google_news", "query_set": "q", "region": "foreign"},
         ],
     }
     urls = [r.url for r in connectors.planned(spark, config).collect()]
@@ -225,7 +226,7 @@ def test_cli_from_captures_to_digest(spark, tmp_path):
     stats = {r.source_id: (r.status, r.error_reason_code) for r in spark.read.parquet(str(tmp_path / "out/source_stats")).collect()}
     assert stats == {"r": ("ok", ""), "b": ("fail", "not_found"), "g": ("fail", "not_found")}
     assert "Waymo robotaxi" in (tmp_path / "out/digest/2024-01-15.html").read_text()
-    assert spark.read.parquet(str(tmp_path / "out/state/seen")).count() == 3
+    assert versions.table(spark, str(tmp_path / "out/state/seen")).count() == 3
 
 
 def test_cli_from_structured_sites_to_the_report(spark, tmp_path, monkeypatch):
@@ -238,7 +239,7 @@ def test_cli_from_structured_sites_to_the_report(spark, tmp_path, monkeypatch):
             {"id": "web", "name": "Web", "source_type": "structured_web", "entry_urls": ["http://w/news"], "max_items_per_run": 2, "selectors": {"article_link": "a.item", "title": "h2"}, "region": "foreign"},
             {"id": "map", "name": "Map", "source_type": "structured_web", "extractor": "sitemap", "entry_urls": ["http://m/sitemap.xml"], "region": "foreign"},
             {"id": "r", "name": "R", "source_type": "rss", "rss_urls": ["http://r/1", "http://r/2"], "max_items": 3, "region": "foreign"},
-            {"id": "g", "name": "G", "source_type": "query_rss", "query_set": "q", "max_results_per_query": 2, "region": "foreign"},
+            {"id": "g", "name": "G", "source_type": "query_rss", "provider": "google_news", "query_set": "q", "max_results_per_query": 2, "region": "foreign"},
         ],
     }
 

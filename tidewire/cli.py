@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
-from .operators import digest, relevance, reports, rules, state
+from .operators import digest, relevance, reports, rules, state, versions
 from .plans import daily
 from .sources import connectors, fetching, records
 from .tables import clear, written
@@ -100,7 +100,7 @@ def main(argv: list[str] | None = None) -> int:
     seen_path, gate = f"{a.root}/state/seen", f"{a.root}/state/run_to_end_{a.date}"
     if a.once and records._exists(spark, gate):
         return 0
-    seen = spark.read.schema(schemas.SEEN).parquet(seen_path) if state.recovered(spark, seen_path) else spark.createDataFrame([], schemas.SEEN)
+    seen = versions.table(spark, seen_path, schemas.SEEN)
     report = Report(spark, f"{a.root}/reports/{a.date}/run_report.json", a.date)
 
     def pages(links) -> DataFrame:
@@ -153,12 +153,16 @@ def main(argv: list[str] | None = None) -> int:
             report.patch(enriched_count=read("enriched").filter("enriched").count())
         elif stage == "summarize":
             cache_path = f"{a.root}/state/cache"
-            cache = spark.read.schema(schemas.CACHE).parquet(cache_path) if state.recovered(spark, cache_path) else spark.createDataFrame([], schemas.CACHE)
+            cache = versions.table(spark, cache_path, schemas.CACHE)
             brief = written(daily.briefs(read("enriched"), cache, as_of))
             write(brief, "brief")
-            state.swap_in(state.cache_after(state.pruned(cache, as_of), brief, f"{a.date}T00:00:00+00:00"), cache_path)
+            stamp, key = f"{a.date}T00:00:00+00:00", state.seen_key("resolved_url", "fingerprint")
+            versions.retried(lambda: versions.changed(brief, cache_path, F.col("fingerprint"), lambda old, new: state.cache_after(state.pruned(old, as_of), new, stamp), schemas.CACHE))
             report.patch(brief_count=brief.count())
-            state.swap_in(state.upserted(state.retained(seen, a.date), brief.select(F.col("link").alias("resolved_url"), "fingerprint"), a.date), seen_path)
+            links = brief.select(F.col("link").alias("resolved_url"), "fingerprint")
+            versions.retried(lambda: versions.changed(links, seen_path, key, lambda old, new: state.upserted(state.retained(old, a.date), new, a.date), schemas.SEEN))
+            for path in (cache_path, seen_path):
+                versions.forget(spark, path)
         elif stage == "render":
             named = digest.company_names(digest.digest_rows(read("brief"), a.top_n), companies_of(spark, config))
             judged, rows = read("judged"), [r.asDict() for r in named.orderBy("place").collect()]  # 2 * top_n rows
