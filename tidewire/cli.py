@@ -3,7 +3,7 @@
 Stages: validate, fetch, parse, filter, enrich, summarize, render, notify, all. Each reads the stage before
 from ROOT/<stage>/run_date=<date> and writes its own; state lies in ROOT/state, the run's report in
 ROOT/reports/<date>. Network is used only with --transport http. With --once a date that was run to its end
-is not run again. notify posts to --webhook (signed with the secret in DIGEST_WEBHOOK_SECRET, if set) and is
+is not run again. With --provider model summaries come from the model whose key is in DEEPSEEK_API_KEY. notify posts to --webhook (signed with the secret in DIGEST_WEBHOOK_SECRET, if set) and is
 skipped without one.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
-from .operators import digest, relevance, reports, rules, state, versions
+from .operators import digest, provider, relevance, reports, rules, state, versions
 from .plans import daily
 from .sources import connectors, fetching, records
 from .tables import clear, written
@@ -85,6 +85,7 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument(f"--{name}", required=True)
     p.add_argument("--captures", default="")
     p.add_argument("--transport", choices=("capture", "http"), default="capture")
+    p.add_argument("--provider", choices=("fallback", "model"), default="fallback")
     p.add_argument("--top-n", type=int, default=12)
     p.add_argument("--webhook", default="")
     p.add_argument("--html-url", default="")
@@ -154,7 +155,11 @@ def main(argv: list[str] | None = None) -> int:
         elif stage == "summarize":
             cache_path = f"{a.root}/state/cache"
             cache = versions.table(spark, cache_path, schemas.CACHE)
-            brief = written(daily.briefs(read("enriched"), cache, as_of))
+            model = provider.model_of(dict(os.environ)) if a.provider == "model" else None
+            ask = (lambda rows: provider.summarized(rows, model[0], provider.over_http(model[1]))) if model else None
+            told = written(daily.judged_summaries(read("enriched"), cache, as_of, ask))
+            report.patch(**provider.metrics(told).first().asDict())
+            brief = written(daily.shown(told))
             write(brief, "brief")
             stamp, key = f"{a.date}T00:00:00+00:00", state.seen_key("resolved_url", "fingerprint")
             versions.retried(lambda: versions.changed(brief, cache_path, F.col("fingerprint"), lambda old, new: state.cache_after(state.pruned(old, as_of), new, stamp), schemas.CACHE))

@@ -122,6 +122,16 @@ def fallback(title: Column | str, content: Column | str) -> Column:
     )
 
 
+def last_resort(title: Column | str, content: Column | str) -> Column:
+    """What is shown where even the fallback breaks a rule."""
+    what, why, so_what = V.LAST_RESORT
+    whole = F.concat_ws(" ", tx.text(title), tx.text(content))
+    return F.struct(
+        tx.text(title).alias("title_zh"), ensure_sentence(F.coalesce(F.nullif(tx.text(title), F.lit("")), F.lit(what))).alias("what"), ensure_sentence(F.lit(why)).alias("why"), ensure_sentence(F.lit(so_what)).alias("so_what"),
+        infer_impact_targets(whole).alias("impact_targets"), infer_tags(whole).alias("tags"), F.lit(0.5).alias("confidence"), F.lit(2).alias("importance"),
+    )
+
+
 def from_cache(entry: Column, title: Column | str, content: Column | str) -> Column:
     """A cached summary, normalised; an old entry with one text is split into its sentences."""
     legacy = sentences(entry["summary_zh"])

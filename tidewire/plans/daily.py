@@ -116,15 +116,34 @@ def enriched(rows: DataFrame, pages: DataFrame, least: int = 500) -> DataFrame:
     return both.withColumns({"enriched": F.coalesce(better, F.lit(False)), "content": F.when(better, F.col("_body")).otherwise(F.col("content"))}).drop("_body")
 
 
-def briefs(rows: DataFrame, cache: DataFrame, as_of: Column, provider=None) -> DataFrame:
-    """Briefs by a valid cache entry, else by the provider (a function from rows to rows with a struct
-    `summary`, null where it fails), else by the fallback."""
+def judged_summaries(rows: DataFrame, cache: DataFrame, as_of: Column, provider=None) -> DataFrame:
+    """rows with s, the summary that is shown, and how it came about: cached_status, first_status, second_status and
+    fallback_status, each "ok", "failed" or a broken rule, null where there was no such try. A valid cache entry comes first, then the
+    provider (a function from rows with wanted to rows with a struct `summary`, null where it fails, as
+    operators.provider.summarized), then fixed sentences, and other ones if they break a rule."""
+    rule = lambda c: sm.validation(f"{c}.what", f"{c}.why", f"{c}.so_what", f"{c}.impact_targets")
     held = state.with_cached(rows, cache, as_of)
-    held = provider(held) if provider is not None else held.withColumn("summary", F.lit(None).cast("struct<title_zh:string,what:string,why:string,so_what:string,impact_targets:array<string>,tags:array<string>,confidence:double,importance:int>"))
-    cached = F.when(F.col("cached").isNotNull(), sm.from_cache(F.col("cached"), "title", "content"))
-    good = sm.validation("summary.what", "summary.why", "summary.so_what", "summary.impact_targets") == "ok"
-    model = F.when(F.col("summary").isNotNull() & good, sm.normalized(F.col("summary"), "title", "content"))
-    held = held.withColumn("s", F.coalesce(cached, model, sm.fallback("title", "content")))
+    held = held.withColumn("_c", F.when(F.col("cached").isNotNull(), sm.from_cache(F.col("cached"), "title", "content")))
+    held = held.withColumn("cached_status", F.when(F.col("_c").isNotNull(), rule("_c")))
+    held = held.withColumn("wanted", F.coalesce(F.col("cached_status") != "ok", F.lit(True)))
+    if provider is not None:
+        held = provider(held)
+    none = {"summary": F.lit(None).cast("struct<title_zh:string,what:string,why:string,so_what:string,impact_targets:array<string>,tags:array<string>,confidence:double,importance:int>"), "first_status": F.lit(None).cast("string"), "second_status": F.lit(None).cast("string")}
+    held = held.withColumns({k: v for k, v in none.items() if k not in held.columns})
+    held = held.withColumns({"_m": F.when(F.col("wanted") & F.col("summary").isNotNull() & (rule("summary") == "ok"), sm.normalized(F.col("summary"), "title", "content")), "_f": sm.fallback("title", "content")})
+    alone = F.col("wanted") & F.col("_m").isNull()
+    held = held.withColumn("fallback_status", F.when(alone, rule("_f")))
+    shown = F.when(~F.col("wanted"), F.col("_c")).when(~alone, F.col("_m")).when(F.col("fallback_status") == "ok", F.col("_f")).otherwise(sm.last_resort("title", "content"))
+    return held.withColumn("s", shown).drop("_c", "_m", "_f", "wanted", "cached", "summary")
+
+
+def briefs(rows: DataFrame, cache: DataFrame, as_of: Column, provider=None) -> DataFrame:
+    """Briefs of judged_summaries()."""
+    return shown(judged_summaries(rows, cache, as_of, provider))
+
+
+def shown(held: DataFrame) -> DataFrame:
+    """judged_summaries' rows as briefs."""
     company = F.coalesce(F.nullif(tx.strip("company_hint"), F.lit("")), F.lit("other"))
     return held.select(
         "id", "source_id", "source_name", "region", company.alias("company_id"), F.col("s.title_zh").alias("title_zh"), sm.compose("s.what", "s.why", "s.so_what").alias("summary_zh"),

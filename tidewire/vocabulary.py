@@ -145,3 +145,5 @@ ERROR_RULES = (
     ("incomplete_read", "响应数据不完整（服务端提前关闭连接）", (("incompleteread",),)),
 )
 UNKNOWN_ERROR = ("unknown_error", "抓取异常")
+#: What, why and so-what of a summary whose fallback breaks a rule.
+LAST_RESORT = ("该资讯已发布", "背景是行业商业化与监管环境持续变化", "这将影响Robotaxi运营策略、竞争格局与资本预期")
