@@ -29,12 +29,12 @@ def term_counts(rows: DataFrame, key: str, text: Column | str) -> DataFrame:
 
 
 def tfidf(rows: DataFrame, key: str, text: Column | str) -> DataFrame:
-    """key, term, w = n / tokens * (ln((1 + rows) / (1 + rows with the term)) + 1). Texts are read once."""
+    """key, term, w = n / tokens * (ln((1 + rows) / (1 + rows with the term)) + 1), and df, the rows with the term. Texts are read
+    once; weights leave by key, as what works on whole vectors needs them."""
     counts = written(term_counts(rows, key, text))
-    tokens = counts.groupBy(key).agg(F.sum("n").alias("tokens"))
     held = counts.groupBy("term").agg(F.count("*").alias("df"))
-    both = counts.join(tokens, key).join(held, "term").withColumn("rows", F.lit(rows.count()))
-    return both.select(key, "term", ((F.col("n") / F.col("tokens")) * (F.log((1.0 + F.col("rows")) / (1.0 + F.col("df"))) + 1.0)).alias("w"))
+    both = counts.join(held, "term").withColumns({"rows": F.lit(rows.count()), "tokens": F.sum("n").over(W.partitionBy(key))})
+    return both.select(key, "term", ((F.col("n") / F.col("tokens")) * (F.log((1.0 + F.col("rows")) / (1.0 + F.col("df"))) + 1.0)).alias("w"), "df")
 
 
 def first_of_equal(rows: DataFrame, place: str, tokens: str) -> DataFrame:
@@ -45,14 +45,25 @@ def first_of_equal(rows: DataFrame, place: str, tokens: str) -> DataFrame:
     return rows.filter(F.size(tokens) > 0).join(firsts, place, "left_semi").unionByName(rows.filter(F.size(tokens) == 0))
 
 
+def _unit(vectors: DataFrame, key: str) -> DataFrame:
+    """k and v: a row's terms by hash (tid) with df, w of the scaled vector and q, the square of its norm up to this term. Terms
+    have one order, frequent ones first."""
+    if "df" not in vectors.columns:
+        vectors = vectors.join(vectors.groupBy("term").agg(F.count("*").alias("df")), "term")
+    own = W.partitionBy("k")
+    order = own.orderBy(F.desc("df"), "tid").rowsBetween(W.unboundedPreceding, 0)
+    rows = vectors.select(F.col(key).alias("k"), F.xxhash64("term").alias("tid"), "df", "w").filter("k is not null")
+    rows = rows.withColumn("_n", F.sqrt(F.sum(F.col("w") * F.col("w")).over(own))).filter("_n > 0").withColumn("w", F.col("w") / F.col("_n"))
+    return rows.withColumn("q", F.sum(F.col("w") * F.col("w")).over(order)).groupBy("k").agg(F.collect_list(F.struct("tid", "df", "w", "q")).alias("v"))
+
+
 def _listed(unit: DataFrame, threshold: float) -> DataFrame:
-    """The inverted lists' entries (tid, k, w, left, rest) by which rows meet. Terms have one order, frequent ones first; left is the
-    norm of a row's terms up to this one, and rest the norm of those before it. Two rows whose rarest common term this is
-    share nothing beyond it, so their cosine is at most the product of their lefts."""
-    order = W.partitionBy("k").orderBy(F.desc("df"), "tid").rowsBetween(W.unboundedPreceding, 0)
-    square = F.col("w") * F.col("w")
-    rows = unit.withColumn("_q", F.sum(square).over(order)).filter((F.col("_q") >= threshold * threshold - 1e-9) & (F.col("df") > 1))
-    return rows.select("tid", "k", "w", F.sqrt("_q").alias("left"), F.sqrt(F.greatest(F.lit(0.0), F.col("_q") - square)).alias("rest"))
+    """The inverted lists' entries (tid, k, w, left, rest) by which rows meet: left is the norm of a row's terms up to this one,
+    and rest the norm of those before it. Two rows whose rarest common term this is share nothing beyond it, so their
+    cosine is at most the product of their lefts."""
+    far = F.filter("v", lambda x: (x["q"] >= threshold * threshold - 1e-9) & (x["df"] > 1))
+    rows = unit.select("k", F.explode(far).alias("x"))
+    return rows.select("x.tid", "k", "x.w", F.sqrt("x.q").alias("left"), F.sqrt(F.greatest(F.lit(0.0), F.col("x.q") - F.col("x.w") * F.col("x.w"))).alias("rest"))
 
 
 def _candidates(lists: DataFrame, threshold: float) -> DataFrame:
@@ -94,18 +105,15 @@ def _products(pairs: pa.Table, rows: pa.Table) -> pa.Table:
 def cosine_pairs(vectors: DataFrame, key: str, threshold: float) -> DataFrame:
     """a, b (a < b), cosine of the pairs at or above threshold (above 0). Vectors are scaled first; rows meet in the inverted lists of
     their rare terms, pairs that partial products and remaining norms rule out go, and only for what is left are whole
-    vectors brought together: in cells of two blocks of rows, each vector once a cell, so that none travels once a pair."""
-    vectors = written(vectors.select(key, "term", "w"))
-    norms = vectors.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")).filter("norm > 0")
-    terms = written(vectors.groupBy("term").agg(F.count("*").alias("df")).withColumn("tid", F.monotonically_increasing_id()))
-    unit = written(vectors.join(norms, key).join(terms, "term").select(F.col(key).alias("k"), "tid", "df", (F.col("w") / F.col("norm")).alias("w")))
+    vectors brought together: in cells of two blocks of rows, each vector once a cell, so that none travels once a pair. Terms are known
+    by 64-bit hashes."""
+    unit = written(_unit(vectors, key))
     pairs = written(_candidates(_listed(unit, threshold), threshold))
     blocks = math.isqrt(2 * rows_of(pairs) // CELL_PAIRS) + 1
     at = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
     placed = pairs.select(F.least(at("a"), at("b")).alias("lo"), F.greatest(at("a"), at("b")).alias("hi"), "a", "b")
     wanted = placed.select("lo", "hi", F.explode(F.array("a", "b")).alias("k")).distinct()
-    whole = unit.join(small(written(wanted.select("k").distinct())), "k", "left_semi").groupBy("k").agg(F.collect_list(F.struct("tid", "w")).alias("v"))
-    rows = wanted.join(whole, "k").select(F.col("lo").alias("r_lo"), F.col("hi").alias("r_hi"), "k", F.col("v.tid").alias("tids"), F.col("v.w").alias("ws"))
+    rows = wanted.join(unit, "k").select(F.col("lo").alias("r_lo"), F.col("hi").alias("r_hi"), "k", F.col("v.tid").alias("tids"), F.col("v.w").alias("ws"))
     kind = unit.schema["k"].dataType.simpleString()
     found = placed.groupBy("lo", "hi").cogroup(rows.groupBy("r_lo", "r_hi")).applyInArrow(_products, f"a {kind}, b {kind}, cosine double")
     return found.filter(F.col("cosine") >= threshold - 1e-12)
