@@ -434,6 +434,25 @@ def test_language_model_beats_the_base_on_held_out_documents(spark):
     assert sum(r.score for r in rows) / n > sum(r.base_score for r in rows) / n + 0.3
 
 
+def test_rounds_of_many_trainers_come_near_one_trainer_on_all_tokens(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    words, counted = lm.learned_words(docs.filter(~lm.held_out(docs["doc_id"])))
+    rows = runtime.written(lm.encoded(docs, words))
+    learned, rest = (runtime.written(rows.filter(x)) for x in (~lm.held_out(rows["doc_id"]), lm.held_out(rows["doc_id"])))
+
+    def a_token(given, trainers: int) -> float:
+        monkeypatch.setattr(lm, "TRAINER_TOKENS", -(-words.total // trainers))
+        r = lm.scored_rows(rest, words, counted, lm.trained(given, words)).agg({"score": "sum", "n_tokens": "sum"}).first()
+        return r["sum(score)"] / r["sum(n_tokens)"]
+
+    whole = a_token(learned, 1)
+    for trainers in (4, 16):
+        share = a_token(learned.filter(learned["doc_id"] % trainers == 0), 1)
+        got = a_token(learned, trainers)
+        print(trainers, whole, share, got)
+        assert got > share and got > whole - 0.05
+
+
 def test_models_average_by_levels(spark, monkeypatch):
     texts = [(i, " ".join(random.Random(i).choices(["alpha", "beta", "gamma"], k=40))) for i in range(60)]
     frame = spark.createDataFrame(texts, "doc_id long, text string")

@@ -8,9 +8,12 @@ of symbols, then symbols in a class. Biases start at the unigram probabilities.
 
 Training: truncated backpropagation over windows, state carried on and reset where a document begins (or
 a piece of PIECE_TOKENS of a longer one). All tokens of all training documents are learned from once, dealt
-by hash to trainers of about TRAINER_TOKENS, so the trainers' number grows with the input. A
-trainer's outcome is the mean of its parameters over its second half; those of all trainers are averaged,
-weighted by tokens, where they lie, chunk by chunk, in as many levels as their number needs.
+by hash to trainers of about TRAINER_TOKENS, so the trainers' number grows with the input. Several trainers go
+in ROUNDS, each round's tokens GROWTH times those of the one before: all start from one network, learn from
+their shares of the round, and are averaged. A parameter's mean is weighted by the root of what its squared
+gradients grew by, so a word that few trainers met isn't held back by the others; Adagrad's sums grow by the
+mean. The last round's outcome is the mean of a trainer's parameters over its second half. Averaging happens
+where the models lie, chunk by chunk, in as many levels as their number needs.
 
 Texts are read twice: to count words, and to encode all documents for training and scoring.
 
@@ -39,6 +42,8 @@ SYMBOLS, TAILS, CLASSES, EMBED, STATE = 4096, 64, 64, 16, 24
 #: Streams side by side at most, steps of a window, updates of a trainer at least (else fewer streams), Adagrad's rate.
 LANES, WINDOW, UPDATES, RATE = 256, 16, 400, 0.4
 TRAINER_TOKENS, PIECE_TOKENS = 4_000_000, 1 << 16
+#: Rounds of several trainers, and how much each is larger than the one before.
+ROUNDS, GROWTH = 8, 1.3
 #: Chunks of the parameters, and models that a task averages.
 CHUNKS, AVERAGED = 16, 64
 #: Words of the broadcast table; entries at which a task's counter is handed on.
@@ -162,6 +167,7 @@ class Network:
 
         per = SYMBOLS // CLASSES
         p = (counts.astype(float) + 0.5).reshape(per, CLASSES).T
+        self.squares = None  # Adagrad's sums, by parameter
         self.p = {
             "embed": normal(SYMBOLS, EMBED, scale=0.3), "wx": normal(EMBED, 3 * STATE, scale=0.25), "wh": normal(STATE, 3 * STATE, scale=0.2),
             "b": np.zeros(3 * STATE, np.float32), "wc": normal(STATE, CLASSES, scale=0.02), "bc": np.log(p.sum(1) / p.sum()).astype(np.float32),
@@ -171,11 +177,17 @@ class Network:
     def flat(self) -> np.ndarray:
         return np.concatenate([x.ravel() for x in self.p.values()])
 
-    def load(self, flat: np.ndarray) -> "Network":
-        at = 0
-        for k, x in self.p.items():
-            self.p[k] = flat[at : at + x.size].reshape(x.shape).astype(np.float32)
-            at += x.size
+    def flat_squares(self) -> np.ndarray:
+        return np.concatenate([self.squares[k].ravel() if self.squares else np.full(x.size, 1e-3, x.dtype) for k, x in self.p.items()])
+
+    def _cut(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        ends = np.cumsum([x.size for x in self.p.values()])
+        return {k: part.reshape(x.shape).astype(np.float32) for (k, x), part in zip(self.p.items(), np.split(flat, ends[:-1]), strict=True)}
+
+    def load(self, flat: np.ndarray, squares: np.ndarray | None = None) -> "Network":
+        if squares is not None:
+            self.squares = self._cut(squares)
+        self.p = self._cut(flat)
         return self
 
     def step(self, x: np.ndarray, h: np.ndarray):
@@ -233,15 +245,16 @@ class Network:
         out[order] += within
         return out
 
-    def train(self, given: np.ndarray, stream: np.ndarray, starts: np.ndarray) -> int:
+    def train(self, given: np.ndarray, stream: np.ndarray, starts: np.ndarray, updates: int = UPDATES, every: int = 16) -> None:
         """One pass over a stream of targets, each after its given symbol; starts marks where a state begins. Adagrad;
-        the outcome is the mean of the parameters over the second half."""
-        lanes = max(1, min(LANES, len(stream) // (WINDOW * UPDATES)))
+        the outcome is the mean of the parameters over the second half, taken every so many windows (0: the last ones)."""
+        lanes = max(1, min(LANES, len(stream) // (WINDOW * updates)))
         per = -(-len(stream) // lanes)  # lanes overlap a little rather than leave an end out
         if not len(stream):
-            return 0
+            return
         at = np.linspace(0, len(stream) - per, lanes).astype(np.int64)
-        squares, room = {k: np.full_like(x, 1e-3) for k, x in self.p.items()}, {k: np.empty_like(x) for k, x in self.p.items()}
+        self.squares = squares = self.squares or {k: np.full_like(x, 1e-3) for k, x in self.p.items()}
+        room = {k: np.empty_like(x) for k, x in self.p.items()}
         h, mean, taken = np.zeros((lanes, STATE), np.float32), {k: np.zeros_like(x) for k, x in self.p.items()}, 0
         for t in range(0, per, WINDOW):
             rows = np.arange(t, min(per, t + WINDOW))[:, None] + at[None, :]
@@ -259,13 +272,12 @@ class Network:
                 np.divide(g, step, out=step)
                 step *= RATE
                 self.p[k] -= step
-            if t >= per // 2 and t // WINDOW % 16 == 0:
+            if every and t >= per // 2 and t // WINDOW % every == 0:
                 taken += 1
                 for k, x in self.p.items():
                     mean[k] += x
         if taken:
             self.p = {k: x / np.float32(taken) for k, x in mean.items()}
-        return len(stream)
 
     def gradients(self, xs, ts, fs, h):
         """Of the mean loss of a window (steps x lanes), and the state after it."""
@@ -437,34 +449,63 @@ def trained(rows: DataFrame, words: Vocabulary) -> Network:
             yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(piece, pa.int32()), pa.array(ids, pa.binary())], names=["row", "piece", "ids"])
 
     runtime.prepare(spark, 500)
+    rounds = ROUNDS if trainers > 1 else 1  # one trainer has nothing to average
+    shares = np.cumsum(GROWTH ** np.arange(rounds))
+    place = F.pmod(F.xxhash64(F.lit("round"), "row", "piece"), F.lit(1 << 30))
+    in_round = sum((F.when(place >= int(x * (1 << 30)), 1).otherwise(0) for x in shares[:-1] / shares[-1]), F.lit(0))
     pieces = rows.select("row", "ids").mapInArrow(runtime.frugal(cut), "row long, piece int, ids binary")
-    dealt = pieces.withColumn("trainer", F.pmod(F.xxhash64("row", "piece"), F.lit(trainers)))
-    counts = spark.sparkContext.broadcast(words.counts)
+    dealt = pieces.withColumn("trainer", F.pmod(F.xxhash64("row", "piece"), F.lit(trainers))).withColumn("round", in_round)
+    if rounds > 1:  # sorted, so that a round reads its own pages
+        dealt = runtime.written(dealt.sortWithinPartitions("round"))
+    for i in range(rounds):
+        # as many tasks as trainers, however few bytes a round has
+        mine = dealt.filter(F.col("round") == i).drop("round").repartition(trainers, "trainer") if rounds > 1 else dealt.drop("round")
+        network = _round(mine, words.counts, network, trainers, UPDATES // rounds, (16 if rounds == 1 else 4) if i == rounds - 1 else 0)
+    if rounds > 1:
+        runtime.drop(dealt)
+    network.squares = None  # scoring needs none
+    return network
+
+
+def _round(dealt: DataFrame, counts: np.ndarray, network: Network, trainers: int, updates: int, every: int) -> Network:
+    """What trainers that start from network come to on average. dealt: row, piece, ids, trainer."""
+    held = dealt.sparkSession.sparkContext.broadcast((counts, network.flat(), network.flat_squares()))
 
     def train(table: pa.Table) -> pa.Table:
         table = table.sort_by([("row", "ascending"), ("piece", "ascending")])
         lists = [np.frombuffer(x, np.int16) for x in table.column("ids").to_pylist()]
         starts = np.zeros(sum(map(len, lists)) - len(lists), bool)
         starts[np.cumsum([0, *[len(x) - 1 for x in lists[:-1]]])] = True
-        mine = Network(counts.value)
-        n = mine.train(np.concatenate([x[:-1] for x in lists]), np.concatenate([x[1:] for x in lists]), starts)
-        parts = np.array_split(mine.flat(), CHUNKS)
-        return pa.table({"chunk": pa.array(np.arange(CHUNKS, dtype=np.int32)), "trainer": pa.repeat(table.column("trainer")[0], CHUNKS), "n": pa.array(np.full(CHUNKS, n, np.int64)), "part": pa.array([x.astype(float).tobytes() for x in parts], pa.binary())})
+        counts, flat, squares = held.value
+        mine = Network(counts).load(flat, squares)
+        mine.train(np.concatenate([x[:-1] for x in lists]), np.concatenate([x[1:] for x in lists]), starts, updates, every)
+        parts, grown = ([x.tobytes() for x in np.array_split(y, CHUNKS)] for y in (mine.flat(), mine.flat_squares() - squares))
+        return pa.table({"chunk": pa.array(np.arange(CHUNKS, dtype=np.int32)), "trainer": pa.repeat(table.column("trainer")[0], CHUNKS), "n": pa.array(np.ones(CHUNKS, np.int64)), "part": pa.array(parts, pa.binary()), "grown": pa.array(grown, pa.binary()), "weight": pa.nulls(CHUNKS, pa.binary())})
 
     def average(table: pa.Table) -> pa.Table:
-        total, weight = 0, 0
-        for n, part in sorted(zip(table.column("n").to_pylist(), table.column("part").to_pylist(), strict=True)):
-            total, weight = total + n * np.frombuffer(part), weight + n
-        return pa.table({"chunk": table.column("chunk").slice(0, 1), "trainer": table.column("of").slice(0, 1), "n": pa.array([weight], pa.int64()), "part": pa.array([(total / weight).tobytes()], pa.binary())})
-
-    schema = "chunk int, trainer long, n long, part binary"
+        """A trainer's own row holds 32-bit numbers and no weight; a mean's row 64-bit ones, so levels don't matter."""
+        total = grown = weight = 0
+        for r in sorted(table.to_pylist(), key=lambda r: r["trainer"]):
+            kind = np.float32 if r["weight"] is None else np.float64
+            part, more = (np.frombuffer(r[k], kind).astype(float) for k in ("part", "grown"))
+            own = np.sqrt(np.maximum(more, 0)) + 1e-12 if r["weight"] is None else np.frombuffer(r["weight"])
+            total, grown, weight = total + own * part, grown + more, weight + own
+        sums = {k: pa.array([x.tobytes()], pa.binary()) for k, x in (("part", total / weight), ("grown", grown), ("weight", weight))}
+        return pa.table({"chunk": table.column("chunk").slice(0, 1), "trainer": table.column("of").slice(0, 1), "n": pa.array([sum(table.column("n").to_pylist())], pa.int64()), **sums})
+
+    schema = "chunk int, trainer long, n long, part binary, grown binary, weight binary"
     found = dealt.groupBy("trainer").applyInArrow(train, schema)
     while True:  # a task averages at most about AVERAGED models
         trainers = -(-trainers // AVERAGED)
         found = found.withColumn("of", F.pmod(F.xxhash64("trainer"), F.lit(trainers))).groupBy("chunk", "of").applyInArrow(average, schema)
         if trainers == 1:
             break
-    return network.load(np.concatenate([np.frombuffer(r.part) for r in sorted(found.collect(), key=lambda r: r.chunk)]))  # CHUNKS rows
+    rows = sorted(found.collect(), key=lambda r: r.chunk)  # CHUNKS rows
+    held.unpersist()
+    if not rows:  # no token fell to this round
+        return network
+    flat, grown = (np.concatenate([np.frombuffer(r[k]) for r in rows]) for k in ("part", "grown"))
+    return network.load(flat, network.flat_squares() + grown / rows[0].n)
 
 
 def scored_rows(rows: DataFrame, words: Vocabulary, counted: DataFrame, network: Network) -> DataFrame:
