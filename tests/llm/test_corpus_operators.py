@@ -2,6 +2,8 @@
 empty tables and extra columns."""
 
 import hashlib
+import math
+import operator
 import random
 import re
 import zlib
@@ -354,6 +356,31 @@ def test_top_k(spark, scale):
     assert topk.top_k(frame.limit(0), frame.limit(0)).count() == 0
 
 
+def test_top_k_of_large_components_raises_only_for_answers_beyond_64_bits(spark, monkeypatch):
+    r = random.Random(4)
+    vectors = [(i, [r.uniform(-0.2, 0.2) for _ in range(20)]) for i in range(40)]
+    for i, v in vectors:  # a query's large component lies where no other row's does
+        for at in [i // 4] if i % 4 == 0 else r.sample(range(10, 20), 2):
+            v[at] = r.choice([1e14, -1e14])
+    ids, whole = [i for i, _ in vectors], {i: [math.floor(256 * x) for x in v] for i, v in vectors}
+    frame = spark.createDataFrame(vectors * 2, "vec_id long, embedding array<double>")  # each row twice
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 5)
+    got = {}
+    for row in topk.top_k(frame, frame.filter("vec_id % 4 = 0")).collect():
+        got.setdefault(row.query_id, []).append((row.rank, row.vec_id, row.score))
+    want = {}
+    for q in (i for i in ids if i % 4 == 0):
+        scores = sorted((-sum(map(operator.mul, whole[q], whole[c])), c) for c in ids if c != q for _ in range(4))
+        want[q] = [(k + 1, c, -x) for k, (x, c) in enumerate(scores[:5])]
+    assert {q: sorted(v) for q, v in got.items()} == want
+    across = spark.createDataFrame([(0, [1e15, 0.0]), (1, [0.0, 1e15])], "vec_id long, embedding array<double>")
+    assert sorted(tuple(x) for x in topk.top_k(across, across).collect()) == [(0, 1, 1, 0), (1, 1, 0, 0)]
+    for sign in (1, -1):
+        beyond = spark.createDataFrame([(0, [1e15, 0.0]), (1, [sign * 1e15, 1.0])], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="beyond 64 bits"):
+            topk.top_k(beyond, beyond).collect()
+
+
 def test_ties_stay_in_their_tasks(spark):
     frame = spark.createDataFrame([(i, [0.5] * 8) for i in range(3000)], "vec_id long, embedding array<float>").repartition(3)
     queries = topk.quantised(frame.filter("vec_id % 50 = 0")).collect()
@@ -368,8 +395,6 @@ def test_ties_stay_in_their_tasks(spark):
 
 
 def test_language_model(spark, docs, nothing):
-    import math
-
     train = docs.filter(~lm.held_out(docs["doc_id"]))
     words, counted, network = lm.fit(train)
     got = lm.scored(docs, words, counted, network).collect()

@@ -2,8 +2,9 @@
 
 A vector's components are cut into LISTS ranges; each gives a list of partial scores, and a score is the
 sum over the lists. Partial scores are counted from their list's least value, so that none is negative.
-They come from 32-bit float products whose error has a proven bound, which every comparison allows for;
-only scores themselves are computed in whole numbers.
+They come from 32-bit float products (64-bit ones where components are so large that the former could
+overflow) whose error has a proven bound, which every comparison allows for; only scores themselves are
+computed in whole numbers, of any size where 64 bits might not do.
 
 1. Every task gathers for each query the entries that lead one of its lists, with their whole
    scores. The k-th best of these is a safe cutoff: no answer is below it.
@@ -13,12 +14,13 @@ only scores themselves are computed in whole numbers.
 3. Of those, entries whose bound (the sum of their partial scores) reaches the cutoff are resolved exactly,
    where they lie. A task hands on the k best it holds for each query, whatever their number of ties.
 
-Queries go in blocks of BLOCK_QUERIES, each broadcast to all candidates: a block has a fixed size, and
+Queries go in blocks of about BLOCK_QUERIES rows, dealt by row whatever their ids, each broadcast to all candidates;
 answers leave a task as rows of (query, vector, score), at most k a query.
 
 Defined results: vectors that are null or hold null or non-finite components take no part; only vectors
-of one length are compared; a null vec_id takes no part; rows that repeat a vec_id are each candidates;
-scores beyond 64 bits raise an error; an empty table gives no rows; other columns are ignored.
+of one length are compared; a null vec_id takes no part; rows that repeat a vec_id are each candidates, and
+each queries, whose answers share the k places of their id; an answer's score that 64 bits can't hold raises an
+error, as does a component whose floor they can't; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -57,29 +59,42 @@ def _matrices(batch: pa.RecordBatch, queries: dict):
 
 
 def _partials(queries: np.ndarray, vectors: np.ndarray, lists: int) -> tuple[np.ndarray, np.ndarray]:
-    """(lists, queries, vectors) partial scores as 32-bit floats, and how far off each list's may be."""
+    """(lists, queries, vectors) partial scores as floats, and how far off each list's may be."""
     width = queries.shape[1]
     cuts = [width * i // lists for i in range(lists + 1)]
-    if _most(queries) * _most(vectors) * max(1, width) >= 2**63:
-        raise OverflowError("inner products beyond 64 bits")
-    q, v = queries.astype(np.float32), vectors.astype(np.float32)
+    kind, unit = (np.float32, 2.0**-24) if _narrow(queries, vectors) else (np.float64, 2.0**-53)
+    q, v = queries.astype(kind), vectors.astype(kind)
     out = np.stack([q[:, a:b] @ v[:, a:b].T for a, b in zip(cuts, cuts[1:], strict=False)])
     # rounding of both factors, of their products and of the sums, to first order; doubled
-    off = [2.0 * (b - a + 3) * 2.0**-24 * (b - a) * _most(queries[:, a:b]) * _most(vectors[:, a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+    off = [2.0 * (b - a + 3) * unit * (b - a) * _most(queries[:, a:b]) * _most(vectors[:, a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
     return out, np.array(off)
 
 
 def _most(x: np.ndarray) -> float:
-    return float(max(x.max(initial=0), -x.min(initial=0)))
+    return max(float(x.max(initial=0)), -float(x.min(initial=0)))
 
 
-def _exact(queries: np.ndarray, vectors: np.ndarray, q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Scores of pairs of rows, some at a time."""
-    out, step = np.empty(len(q), np.int64), max(1, CELLS // max(1, queries.shape[1]))
+def _narrow(queries: np.ndarray, vectors: np.ndarray) -> bool:
+    """Whether 64 bits hold every score of these rows."""
+    most = _most(queries), _most(vectors)
+    if max(most) >= 2.0**63:  # where floor() ends
+        raise OverflowError("components beyond 64 bits")
+    return most[0] * most[1] * max(1, queries.shape[1]) < 2.0**63
+
+
+def _exact(queries: np.ndarray, vectors: np.ndarray, q: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(scores of pairs of rows, some at a time; 1 or -1 where one is above or below 64 bits and stands at their end, else 0)."""
+    out, over, step = np.empty(len(q), np.int64), np.zeros(len(q), np.int8), max(1, CELLS // max(1, queries.shape[1]))
     for at in range(0, len(q), step):
         part = slice(at, at + step)
         out[part] = np.einsum("ij,ij->i", queries[q[part]], vectors[v[part]])
-    return out
+    if not _narrow(queries, vectors):
+        large, other = (np.abs(x.astype(float)).max(1, initial=0) for x in (queries, vectors))
+        for i in np.flatnonzero(large[q] * other[v] * max(1, queries.shape[1]) >= 2.0**63):
+            score = sum(x * y for x, y in zip(queries[q[i]].tolist(), vectors[v[i]].tolist(), strict=True))
+            over[i] = (score >= 2**63) - (score < -(2**63))
+            out[i] = min(max(score, -(2**63)), 2**63 - 1)
+    return out, over
 
 
 class _Best:
@@ -117,7 +132,8 @@ def _block(candidates: DataFrame, queries: dict[int, tuple[np.ndarray, np.ndarra
             q, v = np.nonzero(picks & (names[:, None] != ids[None, :]))
             if n not in best:
                 best[n] = _Best(k)
-            best[n].add(q, ids[v], _exact(matrix, vectors, q, v))
+            score, over = _exact(matrix, vectors, q, v)
+            best[n].add(q[over >= 0], ids[v][over >= 0], score[over >= 0])  # one below 64 bits makes no cutoff
         for n, found in best.items():
             names = held.value[n][0]
             sums = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(names) + 1) * lists, lists, dtype=np.int32)), pa.array(least[n].T.ravel().astype(float)))
@@ -139,13 +155,15 @@ def _block(candidates: DataFrame, queries: dict[int, tuple[np.ndarray, np.ndarra
             slack = off.sum() + 1e-9 * np.where(np.isinf(cutoff), 0, np.abs(cutoff)) + 1
             collected = np.zeros(partial.shape[1:], bool)
             for i in range(lists):
-                collected |= partial[i] >= (threshold + least[:, i] - slack)[:, None].astype(np.float32)
+                collected |= partial[i] >= (threshold + least[:, i] - slack)[:, None].astype(partial.dtype)
             total = partial.sum(0)
             slack = slack + 2.0**-22 * lists * np.abs(partial).max(initial=0)  # the sum's own rounding
             collected &= total >= (cutoff - slack)[:, None]
             q, v = np.nonzero(collected & (names[:, None] != ids[None, :]))
-            score = _exact(matrix, vectors, q, v)
-            good = score >= cutoff[q] - 1e-9 * np.abs(np.where(np.isinf(cutoff[q]), 0, cutoff[q]))
+            score, over = _exact(matrix, vectors, q, v)
+            if np.any((over > 0) | ((over < 0) & np.isinf(cutoff[q]))):
+                raise OverflowError("an answer's score is beyond 64 bits")
+            good = (over == 0) & (score >= cutoff[q] - 1e-9 * np.abs(np.where(np.isinf(cutoff[q]), 0, cutoff[q])))
             if n not in best:
                 best[n] = _Best(k)
             best[n].add(q[good], ids[v[good]], score[good])
@@ -159,10 +177,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = LISTS
     """query_id, rank, vec_id, score: the k best of vectors for each query, ties to the smaller vec_id."""
     spark = vectors.sparkSession
     runtime.prepare(spark, CHUNK)
-    candidates, asked = quantised(vectors, scale), runtime.written(quantised(queries, scale))
+    candidates, asked = quantised(vectors, scale), runtime.written(quantised(queries, scale).withColumn("row", F.monotonically_increasing_id()))
     number, found = -(-asked.count() // BLOCK_QUERIES), None
     for i in range(number):
-        rows = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(number)) == i).toArrow() if number > 1 else asked.toArrow()
+        rows = asked.filter(F.pmod(F.xxhash64("row"), F.lit(number)) == i).toArrow() if number > 1 else asked.toArrow()
         by_length: dict[int, tuple[list, list]] = {}
         for name, v in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
             names, vs = by_length.setdefault(len(v), ([], []))
