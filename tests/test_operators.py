@@ -274,6 +274,25 @@ def test_cli_from_structured_sites_to_the_report(spark, tmp_path, monkeypatch):
     assert report["push_status"] == {"status": "success", "error": ""} and posted[0][0] == "http://hook"
     assert report["brief_count"] == spark.read.parquet(str(tmp_path / "out/brief")).count() > 0
     assert cli.main(args) == 0 and len(posted) == 1  # once
+    assert cli.main(["notify", *args[1:-1], "--channel", "group"]) == 0 and posted[1][1]["msgtype"] == "text"
+    assert posted[1][1]["text"]["content"].count("影响对象：") == min(5, report["brief_count"])
+
+
+def test_group_channel(monkeypatch):
+    from tidewire import cli
+
+    row = {"title_zh": " 标题 ", "summary_so_what": "", "summary_zh": "一句。二句。", "impact_targets": ["车企", " ", None], "link": "https://x/1"}
+    none = dict.fromkeys(row)
+    text = digest.group_message([row, none], "2024-01-15", " https://p ", "2024-01-14 00:00:00", "2024-01-15 00:00:00", "简报")
+    assert text == "\n".join(["简报2024-01-14", "", "统计窗口（北京时间）：2024-01-14 00:00:00 ~ 2024-01-15 00:00:00", "", "1. 标题", "So what：一句。", "影响对象：车企", "https://x/1", "", "2. ", "影响对象：未标注", "", "完整网页：https://p"])
+    assert digest.group_message([], "2024-01-15", "", title="简报") == "简报2024-01-15"
+    posted, answers = [], iter([{"errcode": 0, "code": 9}, {"errcode": 93000}, {}])
+    monkeypatch.setenv("DIGEST_WEBHOOK_SECRET", "s")
+    monkeypatch.setattr(fetching, "post_webhook", lambda url, payload: posted.append(payload) or next(answers))
+    assert cli.notified("t", "http://hook", "2024-01-15", "", "group") == {"status": "success", "error": ""}
+    assert posted == [{"msgtype": "text", "text": {"content": "t"}}]
+    assert [cli.notified("t", "http://hook", "2024-01-15", "", "group")["error"] for _ in range(2)] == ["code 93000", "code -1"]
+    assert cli.notified("t", "", "2024-01-15", "", "group")["status"] == "skipped"
 
 
 def test_state_survives_a_broken_swap(spark, tmp_path):

@@ -4,7 +4,7 @@ Stages: validate, fetch, parse, filter, enrich, summarize, render, notify, all.
 from ROOT/<stage>/run_date=<date> and writes its own; state lies in ROOT/state, the run's report in
 ROOT/reports/<date>. Network is used only with --transport http. With --once a date that was run to its end
 is not run again. With --provider model summaries come from the model whose key is in DEEPSEEK_API_KEY. notify posts to --webhook (signed with the secret in DIGEST_WEBHOOK_SECRET, if set) and is
-skipped without one.
+skipped without one. With --channel group the message and the payload are the group channel's, without a signature.
 """
 
 from __future__ import annotations
@@ -63,16 +63,19 @@ class Report:
         self.patch()
 
 
-def notified(text: str, webhook: str, date: str, url: str) -> dict:
+def notified(text: str, webhook: str, date: str, url: str, channel: str = "app") -> dict:
     """Posts the message; what became of it."""
     if not webhook:
         return {"status": "skipped", "error": "no webhook"}
-    payload = {"msg_type": "text", "content": {"text": text}, "uuid": digest.message_id(f"{date}|{text}|{url}")}
-    if secret := os.environ.get("DIGEST_WEBHOOK_SECRET", "").strip():
+    if channel == "group":
+        payload, keys = digest.group_payload(text), ("errcode", "code")
+    else:
+        payload, keys = {"msg_type": "text", "content": {"text": text}, "uuid": digest.message_id(f"{date}|{text}|{url}")}, ("code", "StatusCode", "errcode")
+    if channel != "group" and (secret := os.environ.get("DIGEST_WEBHOOK_SECRET", "").strip()):
         stamp = str(int(time.time()))
         payload |= {"timestamp": stamp, "sign": digest.webhook_sign(secret, stamp)}
     try:
-        code = digest.response_code(fetching.post_webhook(webhook, payload))
+        code = digest.response_code(fetching.post_webhook(webhook, payload), keys)
     except (OSError, ValueError) as e:
         return {"status": "notify_failed", "error": str(e)[:500]}
     return {"status": "success", "error": ""} if code == 0 else {"status": "notify_failed", "error": f"code {code}"}
@@ -88,6 +91,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--provider", choices=("fallback", "model"), default="fallback")
     p.add_argument("--top-n", type=int, default=12)
     p.add_argument("--webhook", default="")
+    p.add_argument("--channel", choices=("app", "group"), default="app")
     p.add_argument("--html-url", default="")
     p.add_argument("--once", action="store_true")
     a = p.parse_args(argv)
@@ -181,10 +185,10 @@ def main(argv: list[str] | None = None) -> int:
             report.add(stage_funnel=funnel)
         else:
             brief = read("brief")
-            top = [r.asDict() for r in digest.top_important(brief, int(config.get("defaults", {}).get("notify_top_n", 8))).collect()]
+            top = [r.asDict() for r in digest.top_important(brief, int(config.get("defaults", {}).get("notify_top_n", 5 if a.channel == "group" else 8))).collect()]
             kept = brief.count()
-            text = digest.message(top, a.date, a.html_url, read("judged").count(), kept)
-            report.patch(push_status=notified(text, a.webhook, a.date, a.html_url))
+            text = digest.group_message(top, a.date, a.html_url) if a.channel == "group" else digest.message(top, a.date, a.html_url, read("judged").count(), kept)
+            report.patch(push_status=notified(text, a.webhook, a.date, a.html_url, a.channel))
         report.stage(stage)
     clear(spark)
     if a.once and a.stage == "all":

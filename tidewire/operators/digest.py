@@ -64,6 +64,31 @@ def message(rows: list, date_text: str, url: str, total: int, kept: int) -> str:
     return "\n".join([*lines, url])
 
 
+#: Fixed texts of the group channel's message.
+GROUP_TITLE, GROUP_WINDOW, GROUP_SO_WHAT, GROUP_TARGETS, GROUP_NO_TARGETS, GROUP_PAGE = "行业简报（统计日）", "统计窗口（北京时间）：", "So what：", "影响对象：", "未标注", "完整网页："
+
+
+def group_message(rows: list, date_text: str, url: str, start: str = "", end: str = "", title: str = GROUP_TITLE) -> str:
+    """The group channel's text: five lines at most a row, blank ones left out, null fields counting as empty. The window's
+    first day, if known, is the day that is reported on."""
+    start, end, url = (x.strip() for x in (start, end, url))
+    parts = [title + (start.split(" ")[0] or date_text)]
+    if start and end:
+        parts.append(f"{GROUP_WINDOW}{start} ~ {end}")
+    for i, r in enumerate(rows, 1):
+        said = {k: (r[k] or "").strip() for k in ("title_zh", "summary_so_what", "summary_zh", "link")}
+        legacy = said["summary_zh"].split("。")[0].strip()
+        so_what = said["summary_so_what"] or (legacy and legacy + "。")
+        targets = " / ".join(x.strip() for x in r["impact_targets"] or [] if x and x.strip())
+        lines = [f"{i}. {said['title_zh']}", so_what and GROUP_SO_WHAT + so_what, GROUP_TARGETS + (targets or GROUP_NO_TARGETS), said["link"]]
+        parts.append("\n".join(x for x in lines if x))
+    return "\n\n".join([*parts, *([GROUP_PAGE + url] if url else [])])
+
+
+def group_payload(text: str) -> dict:
+    return {"msgtype": "text", "text": {"content": text}}
+
+
 def webhook_sign(secret: str, timestamp: str) -> str:
     return b64encode(hmac.new(f"{timestamp}\n{secret}".encode(), b"", hashlib.sha256).digest()).decode()
 
