@@ -4,6 +4,7 @@ import re
 from datetime import datetime, timedelta, timezone
 from urllib.parse import parse_qsl, urlencode, urlparse, urlunparse
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,3 +143,16 @@ def test_article_dates_are_dates(spark):
     assert [got[i].published for i in range(4)] == ["Mon, 15 Jan 2024 08:00:00 GMT", "2024-01-15", "", ""]
     bad = rows.select(markup.article_columns(F.lit("http://h/"), "html", {"title": "h1:first-child>b"}).alias("x")).collect()
     assert all("selector" in r.x.error for r in bad) and rows.select(markup.links_udf("a:not(b)")(F.lit("http://h/"), "html").alias("x")).first().x == []
+
+
+def test_page_titles_end_in_cut_references(spark, tmp_path):
+    """A title cut within a reference; whole references, by name and number, and a bare ampersand."""
+    from tidewire.plans import contract
+
+    titles = ["A &amp;&amp; b &amp", "x &lt; y &#x27;z&#x27;&lt", "plain & simple", "&quot;q&quot; &amp;amp", ""]
+    pages = [(i, "http://h/", f"<html><head><title>{t}</title></head><body><p>&ampx</p></body></html>") for i, t in enumerate(titles)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r.title for r in contract.page_titles(spark, str(tmp_path)).collect()}
+    want = dict(duckdb.sql(contract.oracle_sql()["page_titles"].replace("from pages", f"from '{tmp_path}/pages.parquet/*.parquet'")).fetchall())
+    assert got == want and got[0] == "A && b &amp"
+    assert markup.article("", pages[0][2], {"title": "title"})["title"] == "A && b &"  # what the operator does by itself
