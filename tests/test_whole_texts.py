@@ -43,3 +43,34 @@ def test_cosine_pairs_in_blocks(spark, monkeypatch, list_rows, cell_pairs, thres
     got = {(x.a, x.b): x.cosine for x in similarity.cosine_pairs(vectors, "id", threshold).collect()}
     assert got.keys() == want.keys() and all(abs(c - want[k]) < 1e-9 for k, c in got.items())
     assert similarity.cosine_pairs(vectors.limit(0), "id", threshold).collect() == []
+
+
+@pytest.mark.parametrize("frequent, copy_rows", [(1 << 20, 1000), (3, 2)])
+def test_equal_rows_and_repeated_keys(spark, monkeypatch, tmp_path, frequent, copy_rows):
+    """Copies (in blocks), keys of several rows and none, df beyond the looked up terms: weights and pairs are brute force's, and copies
+    don't meet in lists."""
+    monkeypatch.setattr(similarity, "FREQUENT", frequent)
+    monkeypatch.setattr(similarity, "COPY_ROWS", copy_rows)
+    r = random.Random(3)
+    base = [" ".join(r.choice("abcdefgh") * 2 for _ in range(r.randint(1, 9))) for _ in range(9)]
+    texts = [(i, base[i % 9] if i % 4 else base[0] + " odd") for i in range(30)] + [(3, "more words"), (None, "aa null words"), (None, "bb"), (90, ""), (91, None)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    joined = {}
+    for k, t in texts:
+        joined[k] = joined.get(k, "") + " " + (t or "")
+    counts = {k: Counter(t.split()) for k, t in joined.items()}
+    df = Counter(w for c in counts.values() for w in c)
+    want = {(k, w): n / c.total() * (math.log((1 + len(texts)) / (1 + df[w])) + 1) for k, c in counts.items() if k is not None for w, n in c.items()}
+    got = {(x.doc_id, x.term): x.w for x in similarity.tfidf(frame, "doc_id", "text").collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - x) < 1e-9 for k, x in want.items())
+    rows = {}
+    for (k, w), x in want.items():
+        rows.setdefault(k, {})[w] = x
+    norm = {k: math.sqrt(sum(x * x for x in v.values())) for k, v in rows.items()}
+    cosine = {(a, b): sum(x * rows[b].get(w, 0) for w, x in rows[a].items()) / norm[a] / norm[b] for a in rows for b in rows if a < b}
+    met = []
+    real = similarity._met
+    monkeypatch.setattr(similarity, "_met", lambda *x: met.append(real(*x)) or met[-1])
+    pairs = [(x.a, x.b, x.cosine) for x in similarity.cosine_pairs(similarity.vectors(frame, "doc_id", "text"), "doc_id", 0.75).collect()]
+    assert len(pairs) == len({x[:2] for x in pairs}) and {x[:2] for x in pairs} == {k for k, x in cosine.items() if x >= 0.75 - 1e-12}
+    assert all(abs(x - cosine[a, b]) < 1e-9 for a, b, x in pairs) and met[0].count() < len(pairs)
