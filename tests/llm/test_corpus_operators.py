@@ -334,6 +334,35 @@ def test_toxicity(spark, nothing):
     assert toxicity.score(nothing, model).count() == 0
 
 
+def test_toxicity_uses_all_labelled_rows(spark, monkeypatch):
+    """More rows a class than the 1,000 that fitting once took: every row of a rare language counts for its threshold."""
+    rows = [(i, f"w{i % 40} x{i % 7} " + ("grumbletoad" if i % 2 else "fine"), "xx" if i % 60 < 2 else "en", i % 2) for i in range(4500 * 2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, y int")
+    monkeypatch.setattr(toxicity, "TRAINER_ROWS", 500)  # several trainers, averaged
+    monkeypatch.setattr(toxicity, "AVERAGED", 4)
+    third = frame.filter("pmod(xxhash64('part', doc_id), 3) = 2 and lang = 'xx'").groupBy("y").count().collect()
+    monkeypatch.setattr(toxicity, "LEAST_POSITIVES", min(r["count"] for r in third))
+    model = toxicity.fit(frame, frame.selectExpr("doc_id", "y toxic"))
+    assert set(model.thresholds) == {"en", "xx"}
+    got = toxicity.score(frame, model).collect()
+    assert sum(r.toxic == (r.y == 1) for r in got) / len(got) > 0.99
+
+
+def test_toxicity_thresholds_and_scale_against_brute_force(spark):
+    r = random.Random(4)
+    rows = [(lang, y, 1 / (1 + math.exp(-r.gauss(2 * y - 1, 1.5)))) for lang in ("en", "de", None) for y in [1] * 150 + [0] * 400] + [("few", y, 0.5) for y in [0] * 50 + [1] * 19]
+    found = toxicity.best_thresholds(spark.createDataFrame(rows, "lang string, y int, score double"))
+    f1 = lambda mine, t: 2 * sum(y for _, y, s in mine if s >= t) / (sum(s >= t for *_, s in mine) + sum(y for _, y, _ in mine))
+    assert set(found) == {"en", "de"}
+    for lang, t in found.items():
+        mine = [x for x in rows if x[0] == lang]
+        assert f1(mine, t) == max(f1(mine, k / toxicity.BINS) for k in range(toxicity.BINS // 10, 9 * toxicity.BINS // 10 + 1))
+    slope, shift, known = toxicity.calibrated(spark.createDataFrame([(y, math.log(s / (1 - s))) for _, y, s in rows[:1650]], "y int, logit double"))
+    x, y = np.array([math.log(s / (1 - s)) for _, _, s in rows[:1650]]), np.array([y for _, y, _ in rows[:1650]])
+    p = 1 / (1 + np.exp(-(slope * x + shift)))
+    assert known == 1 and abs((p - y).sum()) < 0.1 and abs(((p - y) * x).sum()) < 0.1
+
+
 # --- 6 top-k -------------------------------------------------------------------------------------------------------
 
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import runtime, textscan
+from . import averaging, runtime, textscan
 
 SYMBOLS, TAILS, CLASSES, EMBED, STATE = 4096, 64, 64, 16, 24
 #: Streams side by side at most, steps of a window, updates of a trainer at least (else fewer streams), Adagrad's rate.
@@ -44,8 +44,8 @@ LANES, WINDOW, UPDATES, RATE = 256, 16, 400, 0.4
 TRAINER_TOKENS, PIECE_TOKENS = 4_000_000, 1 << 16
 #: Rounds of several trainers, and how much each is larger than the one before.
 ROUNDS, GROWTH = 8, 1.3
-#: Chunks of the parameters, and models that a task averages.
-CHUNKS, AVERAGED = 16, 64
+#: Models that a task averages.
+AVERAGED = 64
 #: Words of the broadcast table; entries at which a task's counter is handed on.
 FREQUENT, COUNTER_ENTRIES = 131_072, 2_000_000
 #: Documents scored side by side, and states of a window.
@@ -479,33 +479,13 @@ def _round(dealt: DataFrame, counts: np.ndarray, network: Network, trainers: int
         counts, flat, squares = held.value
         mine = Network(counts).load(flat, squares)
         mine.train(np.concatenate([x[:-1] for x in lists]), np.concatenate([x[1:] for x in lists]), starts, updates, every)
-        parts, grown = ([x.tobytes() for x in np.array_split(y, CHUNKS)] for y in (mine.flat(), mine.flat_squares() - squares))
-        return pa.table({"chunk": pa.array(np.arange(CHUNKS, dtype=np.int32)), "trainer": pa.repeat(table.column("trainer")[0], CHUNKS), "n": pa.array(np.ones(CHUNKS, np.int64)), "part": pa.array(parts, pa.binary()), "grown": pa.array(grown, pa.binary()), "weight": pa.nulls(CHUNKS, pa.binary())})
-
-    def average(table: pa.Table) -> pa.Table:
-        """A trainer's own row holds 32-bit numbers and no weight; a mean's row 64-bit ones, so levels don't matter."""
-        total = grown = weight = 0
-        for r in sorted(table.to_pylist(), key=lambda r: r["trainer"]):
-            kind = np.float32 if r["weight"] is None else np.float64
-            part, more = (np.frombuffer(r[k], kind).astype(float) for k in ("part", "grown"))
-            own = np.sqrt(np.maximum(more, 0)) + 1e-12 if r["weight"] is None else np.frombuffer(r["weight"])
-            total, grown, weight = total + own * part, grown + more, weight + own
-        sums = {k: pa.array([x.tobytes()], pa.binary()) for k, x in (("part", total / weight), ("grown", grown), ("weight", weight))}
-        return pa.table({"chunk": table.column("chunk").slice(0, 1), "trainer": table.column("of").slice(0, 1), "n": pa.array([sum(table.column("n").to_pylist())], pa.int64()), **sums})
-
-    schema = "chunk int, trainer long, n long, part binary, grown binary, weight binary"
-    found = dealt.groupBy("trainer").applyInArrow(train, schema)
-    while True:  # a task averages at most about AVERAGED models
-        trainers = -(-trainers // AVERAGED)
-        found = found.withColumn("of", F.pmod(F.xxhash64("trainer"), F.lit(trainers))).groupBy("chunk", "of").applyInArrow(average, schema)
-        if trainers == 1:
-            break
-    rows = sorted(found.collect(), key=lambda r: r.chunk)  # CHUNKS rows
+        return averaging.rows(table.column("trainer")[0].as_py(), mine.flat(), mine.flat_squares() - squares)
+
+    found = averaging.mean(dealt.groupBy("trainer").applyInArrow(train, averaging.SCHEMA), trainers, AVERAGED)
     held.unpersist()
-    if not rows:  # no token fell to this round
+    if found is None:  # no token fell to this round
         return network
-    flat, grown = (np.concatenate([np.frombuffer(r[k]) for r in rows]) for k in ("part", "grown"))
-    return network.load(flat, network.flat_squares() + grown / rows[0].n)
+    return network.load(found[0], network.flat_squares() + found[1])
 
 
 def scored_rows(rows: DataFrame, words: Vocabulary, counted: DataFrame, network: Network) -> DataFrame:
