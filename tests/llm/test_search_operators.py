@@ -203,6 +203,27 @@ def test_ngram_join(spark, monkeypatch):
     assert len({c for _, _, c in want}) < len(texts) - 30
 
 
+def test_ngram_join_cells_alone(spark, monkeypatch):
+    """Without leaders' links: a group of near copies leaves its cells as forests, and components are those of all links."""
+    r = random.Random(5)
+    base = [f"b{i}" for i in range(120)]
+    texts = [" ".join([*base[:60], f"x{i}", *base[60:]]) for i in range(30)] + [_near(r, base, e) for e in (1, 2, 3, 4, 5) for _ in range(12)]
+    monkeypatch.setattr(ngram_join, "_bounded", lambda pairs, maps, percent: pairs.limit(0).select("a", "b"))
+    want, made, whole = _components(list(enumerate(texts))), [], ngram_join._compared
+
+    def compared(cells, percent):
+        found = whole(cells, percent).cache()
+        made.extend((found.count(), cells.count()))
+        return found
+
+    monkeypatch.setattr(ngram_join, "_compared", compared)
+    for block in (512, 8):
+        monkeypatch.setattr(ngram_join, "BLOCK", block)
+        got = ngram_join.components(_docs(spark, texts, range(len(texts))).repartition(3))
+        assert sorted(map(tuple, got.collect()), key=str) == want
+        assert 0 < made[-2] <= made[-1]
+
+
 def test_ngram_join_on_tables(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = sorted(map(tuple, ngram_join.query(spark, sf_dir).collect()), key=str)

@@ -13,8 +13,10 @@ intersection of both sorted arrays of runs.
 
 First every tile is tied to one leader, and those whose entries are then in different components to another, which
 links groups of copies at a row an entry. Tiles still mixed are compared in whole, in cells of two blocks
-of entries, and only pairs of different components that pass the bound leave a cell. So components are those of all links, and neither
-a list nor a task holds a tile.
+of entries, and only pairs of different components that pass the bound leave a cell. Where they are more than the cell's entries, those of a
+forest of its components leave it, the nearest first; tiles that are then still mixed are settled by the sets themselves, and
+the links that leave a cell are a forest again. So components are those of all links, rows that leave a cell are no more than those in
+it, and neither a list nor a task holds a tile.
 
 Runs are known by 64-bit hashes of their words. Defined results: null text counts as empty; texts without
 words have no runs and are linked with nothing; texts of fewer than four words have one run of them all; rows
@@ -34,8 +36,8 @@ from . import linking, near_dedup, runtime, textscan
 WORDS, PERCENT = 4, 85
 #: One document in SAMPLE is read for frequent runs: those that SEEN of these hold, FREQUENT of them at most.
 SAMPLE, SEEN, FREQUENT = 16, 3, 200_000
-#: Entries of a block of a tile; bits of a bitmap at least and at most.
-BLOCK, LEAST_BITS, MOST_BITS = 512, 512, 1 << 17
+#: Entries of a block of a tile, and runs where their sets are compared; bits of a bitmap at least and at most.
+BLOCK, BLOCK_RUNS, LEAST_BITS, MOST_BITS = 512, 1 << 20, 512, 1 << 17
 _SALT = textscan.mix(np.arange(1, 4, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -157,44 +159,109 @@ def _bounded(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     return sized.select("a", "b", "size_a", "size_b", "map_a", "map_b").mapInArrow(runtime.frugal(test), "a long, b long")
 
 
+def _near(side: np.ndarray, labels: np.ndarray, size: np.ndarray, own: np.ndarray, maps: np.ndarray, percent: int):
+    """For each entry of a cell: its place, those of entries of other labels that the bounds let be alike, and the differing bits.
+    Labels may be changed meanwhile."""
+    two = bool(side.any()) and not bool(side.all())
+    for i in np.flatnonzero(side == 0) if two else range(len(side)):
+        far = np.flatnonzero(side == 1) if two else np.arange(i + 1, len(side))
+        far = far[(labels[far] != labels[i]) & (own[far] | own[i]) & (100 * np.minimum(size[far], size[i]) >= percent * np.maximum(size[far], size[i]))]
+        bits = np.bitwise_count(maps[far] ^ maps[i]).sum(1).astype(np.int64)
+        good = may_link(bits, size[far] + size[i], percent)
+        if good.any():
+            yield i, far[good], bits[good]
+
+
+def _forest(a: np.ndarray, b: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Of pairs (a, b) in the order of their worth, the places of those that join labels not joined before."""
+    _, label = np.unique(labels, return_inverse=True)
+    top, taken = list(range(len(labels))), []
+
+    def root(x: int) -> int:
+        while top[x] != x:
+            top[x] = x = top[top[x]]
+        return x
+
+    for k, (x, y) in enumerate(zip(label[a].tolist(), label[b].tolist(), strict=True)):
+        x, y = root(x), root(y)
+        if x != y:
+            top[x] = y
+            taken.append(k)
+    return np.array(taken, np.int64)
+
+
 def _compared(cells: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different labels in cells (key, lo, hi, side, id, label, size, own, map) that the bounds let be alike."""
+    """Pairs (a, b) of different labels in cells (key, lo, hi, side, id, label, size, own, map) that the bounds let be alike.
+    A cell of more pairs than entries gives those of a forest of its labels, the nearest first, and a row with its key for the rest."""
+
+    def pairs(key: int, rows: list[tuple]):
+        side, ids, labels, size, own = (np.array(x) for x in list(zip(*rows, strict=True))[:5])
+        found = [(np.full(len(far), i), far, bits) for i, far, bits in _near(side, labels, size, own, folded([r[5] for r in rows]), percent)]
+        if not found:
+            return []
+        a, b, bits = (np.concatenate(x) for x in zip(*found, strict=True))
+        if more := len(a) > len(ids):
+            order = np.argsort(bits / (size[a] + size[b]), kind="stable")
+            some = order[_forest(a[order], b[order], labels)]
+            a, b = a[some], b[some]
+        out = [(np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]), [None] * len(a))]
+        return [*out, ([None], [None], [key])] if more else out
 
-    def pairs(rows: list[tuple]):
+    return _by_cell(cells, "a long, b long, key long", pairs)
+
+
+def _linked(cells: DataFrame, load, alike, percent: int) -> DataFrame:
+    """Links (a, b) that join the labels of cells (as for _compared, and payload) as all their links do; a forest in each."""
+
+    def pairs(key: int, rows: list[tuple]):
         side, ids, labels, size, own = (np.array(x) for x in list(zip(*rows, strict=True))[:5])
-        maps = folded([r[5] for r in rows])
-        two = bool(side.any()) and not bool(side.all())
-        for i in np.flatnonzero(side == 0) if two else range(len(ids)):
-            far = np.flatnonzero(side == 1) if two else np.arange(i + 1, len(ids))
-            far = far[(labels[far] != labels[i]) & (own[far] | own[i]) & (100 * np.minimum(size[far], size[i]) >= percent * np.maximum(size[far], size[i]))]
-            if len(far):
-                far = far[may_link(np.bitwise_count(maps[far] ^ maps[i]).sum(1).astype(np.int64), size[far] + size[i], percent)]
-            if len(far):
-                yield np.minimum(ids[far], ids[i]), np.maximum(ids[far], ids[i])
+        sets, found = [r[6] for r in rows], []
+        for i, far, bits in _near(side, labels, size, own, folded([r[5] for r in rows]), percent):
+            for j in far[np.argsort(bits, kind="stable")]:
+                if labels[i] != labels[j] and alike([sets[i]], [sets[j]])[0]:
+                    labels[labels == labels[j]] = labels[i]
+                    found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+        return [tuple(zip(*found, strict=True))] if found else []
+
+    return _by_cell(cells, "a long, b long", pairs, load)
+
+
+def _by_cell(cells: DataFrame, schema: str, pairs, load=None) -> DataFrame:
+    """What pairs(key, rows of side, id, label, size, own, map and what load makes of payload) gives for each cell."""
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def compare(batches):
         at, held, found = None, [], []
 
         def out():
-            a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+            whole = [[x.item() if isinstance(x, np.generic) else x for part in parts for x in part] for parts in zip(*found, strict=True)]
             found.clear()
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in whole], names=names)
 
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
+            columns = [c.to_pylist() for c in batch.columns[:9]]
+            if load:
+                columns.append(load(batch.column(9)))
             for key, lo, hi, *row in zip(*columns, strict=True):
                 if (key, lo, hi) != at:
-                    found += pairs(held) if len(held) > 1 else ()
+                    found += pairs(at[0], held) if len(held) > 1 else ()
                     at, held = (key, lo, hi), []
                 held.append((row[0] if lo != hi else 0, *row[1:]))
             if found:
                 yield out()
-        found += pairs(held) if len(held) > 1 else ()
+        found += pairs(at[0], held) if len(held) > 1 else ()
         if found:
             yield out()
 
     dealt = cells.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    return dealt.select("key", "lo", "hi", "side", "id", "label", "size", "own", "map").mapInArrow(runtime.frugal(compare), "a long, b long")
+    return dealt.select("key", "lo", "hi", "side", "id", "label", "size", "own", "map", *(["payload"] if load else [])).mapInArrow(runtime.frugal(compare), schema)
+
+
+def _cells(mixed: DataFrame, sizes: DataFrame) -> DataFrame:
+    """mixed (key, id, label, own) in cells of two blocks, by sizes (key, blocks)."""
+    block = F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int")
+    dealt = mixed.join(runtime.small(sizes), "key").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), (F.col("block") > F.col("other")).cast("int").alias("side"), "id", "label", "own")
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -269,10 +336,16 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
         mixed = unsettled(labels)
     if not runtime.is_empty(mixed):
         sizes = runtime.written(mixed.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
-        block = F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int")
-        dealt = mixed.join(runtime.small(sizes), "key").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        cells = dealt.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), (F.col("block") > F.col("other")).cast("int").alias("side"), "id", "label", "own")
-        labels = _merged(labels, linked(runtime.written(_compared(cells.join(runtime.small(maps), "id"), percent).distinct())))
+        found = runtime.written(_compared(_cells(mixed, sizes).join(runtime.small(maps), "id"), percent))
+        labels = _merged(labels, linked(runtime.written(found.filter("key is null").select("a", "b").distinct())))
+        more = runtime.written(found.filter("key is not null").select("key").distinct())
+        mixed = linking._mixed(tiled.join(runtime.small(more), "key", "left_semi"), labels)
+    if not runtime.is_empty(mixed):  # tiles with more pairs than these, by the sets themselves
+        entry = mixed.join(runtime.small(maps), "id")
+        sizes = runtime.written(entry.groupBy("key").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_RUNS)).cast("int").alias("blocks")))
+        texts = payload(runtime.written(mixed.select(F.col("id").alias("a"), F.col("id").alias("b")).distinct()))
+        cells = _cells(mixed, sizes).join(runtime.small(maps), "id").join(texts, "id")
+        labels = _merged(labels, runtime.written(_linked(cells, load, alike, percent).distinct()))
     named = entries.join(runtime.small(labels), "id", "left").withColumn("label", F.coalesce("label", "id"))
     least = runtime.written(named.groupBy("label").agg(F.min("least").alias("component_id")))
     known = runtime.written(named.join(runtime.small(least), "label").select("d1", "d2", "component_id"))
