@@ -507,6 +507,17 @@ def test_rounds_of_many_trainers_come_near_one_trainer_on_all_tokens(spark, monk
         assert got > share and got > whole - 0.05
 
 
+def test_base_columns_need_no_training(spark, sf_dir, monkeypatch):
+    want = {(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in lm.query(spark, sf_dir).collect()}
+
+    def trained(*_):
+        raise AssertionError("trained for columns that counts give")
+
+    monkeypatch.setattr(lm, "trained", trained)
+    got = queries.queries()["fields_op8_lm_scoring"](spark, sf_dir).collect()
+    assert {(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in got} == want
+
+
 def test_models_average_by_levels(spark, monkeypatch):
     texts = [(i, " ".join(random.Random(i).choices(["alpha", "beta", "gamma"], k=40))) for i in range(60)]
     frame = spark.createDataFrame(texts, "doc_id long, text string")

@@ -35,7 +35,7 @@ def fields_op3_token_counts(spark, sf_dir: str) -> DataFrame:
 
 
 def fields_op8_lm_scoring(spark, sf_dir: str) -> DataFrame:
-    return lm.query(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+    return lm.base(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
 
 
 def fields_op9_pii(spark, sf_dir: str) -> DataFrame:

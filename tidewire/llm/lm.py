@@ -488,11 +488,11 @@ def _round(dealt: DataFrame, counts: np.ndarray, network: Network, trainers: int
     return network.load(found[0], network.flat_squares() + found[1])
 
 
-def scored_rows(rows: DataFrame, words: Vocabulary, counted: DataFrame, network: Network) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score, score of rows: a written table of encoded()."""
+def scored_rows(rows: DataFrame, words: Vocabulary, counted: DataFrame, network: Network | None) -> DataFrame:
+    """doc_id, n_tokens, n_known, base_score, score of rows: a written table of encoded(). Without a network the score is null."""
     spark = rows.sparkSession
     runtime.prepare(spark, SIDE_BY_SIDE)
-    held = spark.sparkContext.broadcast((network, int(words.symbols[words.words[END]])))
+    held = spark.sparkContext.broadcast((network, int(words.symbols[words.words[END]]))) if network else None
 
     def run(batches):
         network, first = held.value
@@ -501,7 +501,10 @@ def scored_rows(rows: DataFrame, words: Vocabulary, counted: DataFrame, network:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(network.score(texts, first)), *[batch.column(i) for i in range(2, 7)]], names=["row", "network", "doc_id", "n_tokens", "n_known", "base", "share"])
 
     given = rows.select("row", "ids", "doc_id", "n_tokens", "n_known", "base", "share")
-    probable = given.mapInArrow(runtime.frugal(run), "row long, network double, doc_id long, n_tokens long, n_known long, base double, share double")
+    if network:
+        probable = given.mapInArrow(runtime.frugal(run), "row long, network double, doc_id long, n_tokens long, n_known long, base double, share double")
+    else:
+        probable = given.drop("ids").withColumn("network", F.lit(None).cast("double"))
     tails = F.array(*[F.struct(F.lit(int(t)).cast("long").alias("t"), F.lit(int(v)).cast("long").alias("v")) for t, v in words.tails])
     each = rows.select("row", F.explode(F.arrays_zip("tail", "n", "u")).alias("x")).select("row", F.col("x.tail").alias("h"), F.col("x.n").alias("n"), F.col("x.u").alias("u"))
     met = each.join(counted.select("h", "c"), "h", "left").withColumn("c", F.coalesce("c", F.lit(0)))
@@ -533,10 +536,19 @@ def fit(docs: DataFrame) -> tuple[Vocabulary, DataFrame, Network]:
     return words, counted, trained(runtime.written(encoded(docs, words)), words)
 
 
-def query(spark, sf_dir: str) -> DataFrame:
+def _rows(spark, sf_dir: str, learned: bool) -> DataFrame:
     docs = runtime.documents(spark, sf_dir).select("doc_id", "text")
     words, counted = learned_words(docs.filter(~held_out(F.col("doc_id"))))
     rows = runtime.written(encoded(docs, words))
-    network = trained(rows.filter(~held_out(F.col("doc_id"))), words)
+    network = trained(rows.filter(~held_out(F.col("doc_id"))), words) if learned else None
     found = scored_rows(rows, words, counted, network)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(words.total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+def base(spark, sf_dir: str) -> DataFrame:
+    """The columns of query() that the counts alone give, by the same steps; no network is trained for them."""
+    return _rows(spark, sf_dir, False).drop("score")
+
+
+def query(spark, sf_dir: str) -> DataFrame:
+    return _rows(spark, sf_dir, True)
