@@ -74,3 +74,13 @@ def test_equal_rows_and_repeated_keys(spark, monkeypatch, tmp_path, frequent, co
     pairs = [(x.a, x.b, x.cosine) for x in similarity.cosine_pairs(similarity.vectors(frame, "doc_id", "text"), "doc_id", 0.75).collect()]
     assert len(pairs) == len({x[:2] for x in pairs}) and {x[:2] for x in pairs} == {k for k, x in cosine.items() if x >= 0.75 - 1e-12}
     assert all(abs(x - cosine[a, b]) < 1e-9 for a, b, x in pairs) and met[0].count() < len(pairs)
+
+
+def test_semantic_dedup_reads_whole_texts(spark, tmp_path):
+    """Texts that are alike in their first 500 characters alone stay; those that are alike from there on don't."""
+    head = " ".join(f"same{i}" for i in range(80))
+    tails = [" ".join(f"{word}{i}" for i in range(900)) for word in ("one", "two")]
+    texts = [(i, f"{title}\n{head} {tail}", 1) for i, (title, tail) in enumerate([("first", tails[0]), ("second", tails[1]), ("third", tails[1])])]
+    spark.createDataFrame(texts, "doc_id long, text string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    assert len(head) > 500
+    assert sorted(r.doc_id for r in contract.semantic_dedup(spark, str(tmp_path)).collect()) == [0, 1]
